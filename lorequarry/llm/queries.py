@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, linededup, minhash
+from . import huffman, langid, linededup, minhash, packing
 from .shared import table
 
 
@@ -42,5 +42,21 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
-QUERIES = {"op1_line_dedup": op1_line_dedup, "op2_language_id": op2_language_id, "op10_minhash_near_dedup": op10_minhash_near_dedup}
+def _word_bpe() -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), _word_bpe()))
+
+
+def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = huffman.fresh_folder(spark)
+    huffman.write_ids(table(spark, sf_dir, "documents"), _word_bpe(), folder)
+    return huffman.read_ids(spark, folder)
+
+
+QUERIES = {"op1_line_dedup": op1_line_dedup, "op2_language_id": op2_language_id, "op10_minhash_near_dedup": op10_minhash_near_dedup, "op6_best_fit_packing": op6_best_fit_packing, "op7_token_output": op7_token_output}
 ORACLES = {"op1_line_dedup": OP1_SQL}
