@@ -42,11 +42,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(33))
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of each word, and where each row's words begin (rows + 1 values)."""
+def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word, where each row's words begin (rows + 1 values), and the
+    words' first and past-the-last bytes."""
     n = len(data)
     if n == 0:
-        return np.zeros(0, _U), np.zeros(len(offsets), np.int64)
+        none = np.zeros(0, np.int64)
+        return np.zeros(0, _U), np.zeros(len(offsets), np.int64), none, none
     folded = _FOLD[data]
     solid = folded != 32
     first = np.zeros(n + 1, bool)
@@ -60,7 +62,11 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     np.cumsum(_BYTE[folded] * _power(0, n), dtype=_U, out=prefix[1:])
     h = (prefix[e] - prefix[s]) * _power(1, n)[s]
     h = mix(h + (e - s).astype(_U) * _U(0xD6E8FEB86659FD93))
-    return h, np.searchsorted(s, offsets).astype(np.int64)
+    return h, np.searchsorted(s, offsets).astype(np.int64), s, e
+
+
+def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return words(data, offsets)[:2]
 
 
 def shingles(words: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

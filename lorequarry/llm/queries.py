@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import huffman, langid, linededup, minhash, packing
+from . import decontam, huffman, langid, linededup, minhash, packing, quality, simhash
 from .shared import table
 
 
@@ -58,5 +58,33 @@ def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return huffman.read_ids(spark, folder)
 
 
-QUERIES = {"op1_line_dedup": op1_line_dedup, "op2_language_id": op2_language_id, "op10_minhash_near_dedup": op10_minhash_near_dedup, "op6_best_fit_packing": op6_best_fit_packing, "op7_token_output": op7_token_output}
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.fingerprint_table(table(spark, sf_dir, "documents"))
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    model = quality.train(docs, labels.where(~held_out))
+    out = quality.score(docs, model)
+    return out.select("doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+QUERIES = {
+    q.__name__: q
+    for q in (
+        op1_line_dedup,
+        op2_language_id,
+        op4_benchmark_decontamination,
+        op5_document_fingerprints,
+        op6_best_fit_packing,
+        op7_token_output,
+        op9_quality_classifier,
+        op10_minhash_near_dedup,
+    )
+}
 ORACLES = {"op1_line_dedup": OP1_SQL}
