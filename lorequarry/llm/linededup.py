@@ -89,12 +89,20 @@ def dedup_lines(docs: DataFrame, min_length: int = 10, batches: int = 4, fanout:
     """
     drops = dropped_lines(docs.select("doc_id", "text"), min_length, batches, fanout)
     drops = drops.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("pos").alias("_drop"))
-    lines = F.split(F.coalesce("text", F.lit("")), "\n")
     out = docs.drop("n_lines", "n_dropped", "kept_text").join(drops, F.col("doc_id") == F.col("_id"), "left")
-    out = out.withColumn("n_lines", F.size(lines).cast("long"))
-    all_pos = F.sequence(F.lit(0), F.size(lines) - 1)
-    out = out.withColumn("_keep", F.when(F.col("_drop").isNotNull(), F.array_except(all_pos, F.col("_drop"))))
-    out = out.withColumn("n_dropped", F.coalesce(F.col("n_lines") - F.size("_keep"), F.lit(0)).cast("long"))
-    kept = F.array_join(F.transform("_keep", lambda i: F.get(lines, i)), "\n")
-    out = out.withColumn("kept_text", F.coalesce(F.when(F.col("_keep").isNotNull(), kept), "text", F.lit("")))
-    return out.drop("_id", "_drop", "_keep")
+    # the split text is a column of its own, so that a lambda does not split it for each line
+    out = out.withColumn("_lines", F.split(F.coalesce("text", F.lit("")), "\n"))
+    out = out.withColumns(
+        {
+            "n_lines": F.size("_lines").cast("long"),
+            "_keep": F.when(F.col("_drop").isNotNull(), F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_drop"))),
+        }
+    )
+    kept = F.array_join(F.transform("_keep", lambda i: F.get(F.col("_lines"), i)), "\n")
+    out = out.withColumns(
+        {
+            "n_dropped": F.when(F.col("_keep").isNull(), 0).otherwise(F.size("_lines") - F.size("_keep")).cast("long"),
+            "kept_text": F.coalesce(F.when(F.col("_keep").isNotNull(), kept), "text", F.lit("")),
+        }
+    )
+    return out.drop("_id", "_drop", "_keep", "_lines")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, huffman, langid, linededup, minhash, packing, quality, simhash
+from . import chat, decontam, huffman, langid, linededup, minhash, packing, quality, simhash, warc
 from .shared import table
 
 
@@ -42,19 +42,19 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
-def _word_bpe() -> str:
+def word_bpe() -> str:
     import public_tokenizers
 
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), _word_bpe()))
+    return packing.pack(packing.token_pieces(table(spark, sf_dir, "documents"), word_bpe()))
 
 
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = huffman.fresh_folder(spark)
-    huffman.write_ids(table(spark, sf_dir, "documents"), _word_bpe(), folder)
+    huffman.write_ids(table(spark, sf_dir, "documents"), word_bpe(), folder)
     return huffman.read_ids(spark, folder)
 
 
@@ -74,17 +74,73 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
+def op3_chat_quotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.reply_ordered(table(spark, sf_dir, "conversations"))
+
+
+OP3_SQL = r"""
+WITH RECURSIVE msgs AS (
+  SELECT row_number() OVER () AS id, * FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations)),
+split AS (
+  SELECT id, conv_id, turn, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos,
+         unnest(string_split(coalesce(text, ''), chr(10))) AS line FROM msgs),
+fronts AS (SELECT *, regexp_extract(line, '^((?:[ 	]*>)*)', 1) AS front FROM split),
+lines AS (
+  SELECT id, conv_id, turn, pos, line, length(regexp_replace(front, '[^>]', '', 'g')) AS level,
+         trim(substr(line, length(front) + 1), ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS bare FROM fronts),
+begun AS (
+  SELECT *, CASE WHEN bare = '' OR coalesce(lag(bare) OVER w, '') = '' OR lag(level) OVER w <> level THEN 1 ELSE 0 END AS b
+  FROM lines WINDOW w AS (PARTITION BY id ORDER BY pos)),
+runs AS (SELECT *, sum(b) OVER (PARTITION BY id ORDER BY pos) AS run FROM begun),
+passages AS (
+  SELECT id, conv_id, turn, min(level) AS level, string_agg(bare, chr(10) ORDER BY pos) AS p FROM runs GROUP BY id, conv_id, turn, run),
+bodies AS (
+  SELECT id, conv_id, turn, coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT regexp_matches(line, '^[ 	]*>')), '') AS body
+  FROM lines GROUP BY id, conv_id, turn),
+normal AS (
+  SELECT id, conv_id, turn, level, quoted, trim(regexp_replace(translate(p, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	
+]+', ' ', 'g')) AS p
+  FROM (SELECT *, level > 0 AS quoted FROM passages UNION ALL SELECT id, conv_id, turn, 0, body, false FROM bodies)),
+units AS (SELECT * FROM normal WHERE p <> '' AND conv_id IS NOT NULL AND turn IS NOT NULL),
+firsts AS (SELECT conv_id, p, min(turn) AS first FROM units WHERE NOT quoted GROUP BY conv_id, p),
+quotes AS (SELECT u.id, u.conv_id, u.turn, u.level, CASE WHEN first < u.turn THEN first END AS first
+           FROM units u LEFT JOIN firsts f ON u.conv_id = f.conv_id AND u.p = f.p WHERE quoted),
+best AS (SELECT id, min(level) AS level FROM quotes WHERE first IS NOT NULL GROUP BY id),
+replies AS (
+  SELECT q.id, conv_id, turn, count(*) AS n_quotes, count(first) AS n_linked,
+         max(first) FILTER (WHERE q.level = best.level) AS reply_to
+  FROM quotes q LEFT JOIN best ON q.id = best.id GROUP BY q.id, conv_id, turn),
+up AS (
+  SELECT id, conv_id, turn AS at, turn AS root FROM msgs
+  UNION ALL
+  SELECT up.id, up.conv_id, r.turn, r.reply_to FROM up JOIN replies r ON r.conv_id = up.conv_id AND r.turn = up.root AND r.reply_to IS NOT NULL),
+tops AS (SELECT id, min(root) AS root_turn FROM up GROUP BY id)
+SELECT m.conv_id, m.turn, m.role,
+       row_number() OVER (PARTITION BY m.conv_id ORDER BY root_turn, m.turn) - 1 AS position,
+       r.reply_to, root_turn, coalesce(n_quotes, 0) AS n_quotes, coalesce(n_linked, 0) AS n_linked, body
+FROM msgs m JOIN tops USING (id) JOIN bodies b USING (id)
+LEFT JOIN replies r ON r.id = m.id
+"""
+
+
+def op8_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
+    return out.select("page_id", "record_type", "record_id", "refers_to", "target_uri", "source_block_digest", "block_digest", "content_length", F.sha2("record", 256).alias("record_sha256"))
+
+
 QUERIES = {
     q.__name__: q
     for q in (
         op1_line_dedup,
         op2_language_id,
+        op3_chat_quotations,
         op4_benchmark_decontamination,
         op5_document_fingerprints,
         op6_best_fit_packing,
         op7_token_output,
+        op8_warc_derivatives,
         op9_quality_classifier,
         op10_minhash_near_dedup,
     )
 }
-ORACLES = {"op1_line_dedup": OP1_SQL}
+ORACLES = {"op1_line_dedup": OP1_SQL, "op3_chat_quotations": OP3_SQL}
