@@ -52,7 +52,7 @@ def _runs(words: np.ndarray, k: int) -> np.ndarray:
 class Index:
     """Postings with BM25 weights by word, greatest weights by word and block, item word runs."""
 
-    def __init__(self, items: list[tuple[int, str]], df: dict[int, int], n_items: int, mean: float, size: int, blocks: int = 32, k1: float = 1.2, b: float = 0.75):
+    def __init__(self, items: list[tuple[int, str]], df: dict[int, int], n_items: int, mean: float, size: int, blocks: int = 128, k1: float = 1.2, b: float = 0.75):
         words, at = _hashed([t for _, t in items])
         self.ids, self.size = [i for i, _ in items], size
         self.longest = max([1, *np.diff(at).tolist()])

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import cut, part_bounds, part_of
-from .tokens import END_ID, word_tokenizer
+from .tokens import END_ID, encoded, word_tokenizer
 
 LIMIT, INTERVAL, BLOCK_IDS = 20, 256, 1 << 18
 _MAGIC = b"LQH1"
@@ -157,8 +157,8 @@ def _staged(path: str):
 
         part, docs, ids, held = [], [], [], 0
         for batch in batches:
-            for p, d, t in zip(batch.column("part").to_pylist(), batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                x = tok.ids(t) + end
+            for p, d, t in zip(batch.column("part").to_pylist(), batch.column("doc_id").to_pylist(), encoded(tok, batch.column("text").to_pylist())):
+                x = t + end
                 part.append(p), docs.append(d), ids.append(x)
                 held += len(x)
                 if held > 1 << 19:

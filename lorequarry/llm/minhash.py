@@ -1,13 +1,15 @@
 """Near-duplicate classes by MinHash: universal hash minima, banding, verification, components.
 
 Documents with equal shingle sets are one class and enter the search once. Each class has
-`rows * bands` minima of universal hashes; classes that share a band meet in a bucket. A
-bucket's members are compared with its pivots in rounds, one pivot first and twice as many
-each time; between rounds the links found are contracted to components, and a bucket whose
-members are all in one component is done. So a bucket of mutual near copies costs about one
-comparison for each member, never all its pairs, and no pair that could join two components
-is left out. A pair is first verified by its signatures (within five standard errors of the
-threshold) and then on the full sets, taken from the texts again.
+SIGNATURE minima of universal hashes. The first `rows * bands` make its bands; classes that
+share a band meet in a bucket. The last four bits of all minima are its signature. Every
+member is first compared with its buckets' pivots (the member that meets most others), and the
+links found are contracted to components; so a bucket of mutual near copies costs about one
+comparison for each member. Where a pivot's members are then in several components, all pairs
+of different components are compared in blocks of BLOCK members, inside tasks, and only links
+become rows; no pair that shares a band and could join two components is left out. A pair is
+verified by its signatures (five standard errors below the threshold) and confirmed on the
+full sets, taken from the texts again.
 """
 
 from __future__ import annotations
@@ -19,7 +21,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from . import kernels as K
 from .components import components
@@ -28,6 +29,8 @@ from .shared import cut, row_chunks, text_bytes
 _U = np.uint64
 #: Candidate ids that may be broadcast (16 bytes each); beyond it the join is a shuffle.
 BROADCAST_IDS = 1_000_000
+#: Minima of a signature; members of a block of pairs.
+SIGNATURE, BLOCK = 320, 2048
 
 
 def _hashers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -48,7 +51,21 @@ def _minima(values: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def _features(words: int, n: int):
+def _band_keys(minima: np.ndarray, rows: int, bands: int) -> np.ndarray:
+    sig = minima[:, : rows * bands].reshape(len(minima), bands, rows).astype(_U)
+    key = np.broadcast_to(np.arange(bands, dtype=_U) + _U(1), sig.shape[:2])
+    for j in range(rows):
+        key = K.mix(key * _U(0x9FB21C651E98DF25) + sig[:, :, j])
+    return key
+
+
+def _signature(minima: np.ndarray) -> np.ndarray:
+    """The last four bits of each minimum, as bit planes: four longs for every 64 minima."""
+    bits = np.stack([np.packbits((minima >> p) & 1, axis=1).reshape(len(minima), -1, 8) for p in range(4)], 2)
+    return bits.reshape(len(minima), -1).view("<i8")
+
+
+def _features(words: int, rows: int, bands: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
@@ -57,50 +74,44 @@ def _features(words: int, n: int):
                 values, at = K.shingle_sets(data[o[0] : o[-1]], o - o[0], words)
                 size = np.diff(at)
                 full = np.flatnonzero(size > 0)
-                sig = np.empty(hi - lo, object)
+                keys, sig = np.empty(hi - lo, object), np.empty(hi - lo, object)
                 if len(full):
-                    rows = _minima(values, np.append(at[full], at[-1]), n)
-                    sig[full] = [r.tobytes() for r in rows]
+                    minima = _minima(values, np.append(at[full], at[-1]), max(SIGNATURE, rows * bands))
+                    keys[full] = [r.tobytes() for r in _band_keys(minima, rows, bands)]
+                    sig[full] = list(_signature(minima[:, :SIGNATURE]))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(lo, hi - lo),
                         pa.array(size, pa.int64()),
                         pa.array(K.sum_rows(K.mix(values), at).view(np.int64)),
                         pa.array(K.sum_rows(K.mix(values ^ _U(0x5851F42D4C957F2D)), at).view(np.int64)),
-                        pa.array(sig, pa.binary()),
+                        pa.array(keys, pa.binary()),
+                        pa.array(sig, pa.list_(pa.int64())),
                     ],
-                    ["doc_id", "n_shingles", "set_a", "set_b", "sig"],
+                    ["doc_id", "n_shingles", "set_a", "set_b", "keys", "sig"],
                 )
 
     return run
 
 
-def _bands(rows: int, bands: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), "<u4").reshape(batch.num_rows, bands, rows).astype(_U)
-            key = np.broadcast_to(np.arange(bands, dtype=_U) + _U(1), sig.shape[:2])
-            for j in range(rows):
-                key = K.mix(key * _U(0x9FB21C651E98DF25) + sig[:, :, j])
-            ids = np.repeat(np.asarray(batch.column("doc_id")), bands)
-            yield pa.RecordBatch.from_arrays([pa.array(key.reshape(-1).view(np.int64)), pa.array(ids, pa.int64())], ["key", "rep"])
-
-    return run
-
-
-def _alike(least: float):
-    """Keep the pairs whose signatures agree in at least that part of the minima."""
+def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            key = np.frombuffer(b"".join(batch.column("keys").to_pylist()), "<i8")
+            ids = np.repeat(np.asarray(batch.column("doc_id")), len(key) // batch.num_rows)
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(ids, pa.int64())], ["key", "rep"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), "<u4").reshape(batch.num_rows, -1) for c in ("sig_a", "sig_b"))
-                keep = pa.array((a == b).mean(axis=1) >= least)
-                yield batch.select(["a", "b"]).filter(keep)
 
-    return run
+def _agreement(a: str, b: str):
+    """How many minima of two signatures have equal last bits."""
+    total = F.lit(0)
+    for w in range(0, SIGNATURE // 16, 4):
+        apart = None
+        for p in range(w, w + 4):
+            x = F.get(F.col(a), F.lit(p)).bitwiseXOR(F.get(F.col(b), F.lit(p)))
+            apart = x if apart is None else apart.bitwiseOR(x)
+        total = total + F.bit_count(F.bitwise_not(apart))
+    return total
 
 
 def _confirm(words: int, percent: int):
@@ -125,6 +136,73 @@ def _confirm(words: int, percent: int):
     return run
 
 
+def _block_links(words: int, percent: int, least: float):
+    """Links between different components among a block's rows; `main` rows only meet others."""
+
+    def run(table):
+        n = table.num_rows
+        rep, comp = (table.column(c).to_numpy() for c in ("rep", "component"))
+        side = table.column("side").to_numpy()
+        sig = np.array(table.column("sig").to_pylist(), np.int64).reshape(n, -1)
+        several = np.asarray(table.column("several"))
+        values, at = K.shingle_sets(*text_bytes(table.column("text")), words)
+        size = np.diff(at)
+        out: list[tuple[int, int]] = []
+        for x in np.flatnonzero(side == 0):
+            # the other side, or the same side of one block with itself
+            y = np.flatnonzero((comp != comp[x]) & ((side == 1) | ((side == 2) & (rep > rep[x]))))
+            y = y[(100 * size[y] >= percent * size[x]) & (100 * size[x] >= percent * size[y])]
+            if not len(y):
+                continue
+            differ = (sig[y] ^ sig[x]).reshape(len(y), -1, 4)
+            apart = differ[:, :, 0] | differ[:, :, 1] | differ[:, :, 2] | differ[:, :, 3]
+            close = SIGNATURE - np.bitwise_count(apart).sum(axis=1, dtype=np.int64) >= least
+            own = values[at[x] : at[x + 1]]
+            for z in y[close | several[y] | several[x]]:
+                both = len(np.intersect1d(own, values[at[z] : at[z + 1]], assume_unique=True))
+                if 100 * both >= percent * (size[x] + size[z] - both):
+                    out.append((min(rep[x], rep[z]), max(rep[x], rep[z])))
+        a, b = zip(*out) if out else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
+def _in_blocks(met: DataFrame, comps: DataFrame, about: DataFrame, texts: DataFrame, run) -> DataFrame:
+    """The links between components among each pivot's members, found block by block.
+
+    `met` is (a, rep): a pivot and the members of its buckets. The members outside the pivot's
+    own component are dealt to blocks; each block meets itself, the later ones, and the blocks
+    of the pivot's component, whose rows are not compared with each other.
+    """
+    comp = comps.withColumnRenamed("node", "rep")
+    rows = met.unionAll(met.select("a", F.col("a").alias("rep"))).distinct()
+    rows = rows.join(comp, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    mine = comps.select(F.col("node").alias("a"), F.col("component").alias("main"))
+    rows = rows.join(mine, "a", "left").withColumn("main", F.coalesce("main", "a"))
+    rest = F.count(F.when(F.col("component") != F.col("main"), 1))
+    split = rows.groupBy("a").agg(rest.alias("rest"), F.count(F.lit(1)).alias("n")).where("rest > 0")
+    split = split.select("a", F.ceil(F.col("rest") / BLOCK).cast("int").alias("outer"), F.greatest(F.lit(1), F.ceil((F.col("n") - F.col("rest")) / BLOCK)).cast("int").alias("inner"))
+    rows = rows.join(split, "a")
+    h = F.xxhash64("rep")
+    i = F.pmod(h, F.col("outer")).cast("int")
+    j = F.pmod(h, F.col("inner")).cast("int")
+    upto = lambda n: F.sequence(F.lit(0), n - 1)
+    at = lambda left, right, side: F.struct(left.alias("left"), right.alias("right"), side.alias("side"))
+    # a block: (left, right); right counts outer blocks from 0 and the main component's below 0
+    outer = F.concat(
+        F.transform(upto(F.col("outer")), lambda k: at(F.least(i, k), F.greatest(i, k), F.when(i <= k, 0).otherwise(1))),
+        F.array(at(i, i, F.lit(2))),
+        F.transform(upto(F.col("inner")), lambda k: at(i, -1 - k, F.lit(0))),
+    )
+    inner = F.transform(upto(F.col("outer")), lambda k: at(k, -1 - j, F.lit(1)))
+    dealt = rows.select("a", "rep", "component", F.explode(F.when(F.col("component") != F.col("main"), outer).otherwise(inner)).alias("at"))
+    dealt = cut(dealt.select("a", "rep", "component", "at.*"))
+    ids = dealt.select(F.col("rep").alias("id")).distinct()
+    own = _only(texts, "id", ids, dealt.count()).withColumnRenamed("id", "rep").join(about.select("rep", "sig", "several"), "rep")
+    return dealt.join(own, "rep").groupBy("a", "left", "right").applyInArrow(run, "a long, b long").distinct()
+
+
 def _only(df: DataFrame, column: str, ids: DataFrame, n: int) -> DataFrame:
     """Rows whose id is among `ids`: a broadcast where they are few, else a shuffle."""
     ids = ids.withColumnRenamed("id", column)
@@ -152,54 +230,44 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
     0.85, 7e-6 at 0.8 with the defaults.
     """
     t = percent / 100
-    n = rows * bands
     docs = docs.select("doc_id", "text")
-    feats = cut(docs.mapInArrow(_features(words, n), "doc_id long, n_shingles long, set_a long, set_b long, sig binary"))
+    feats = cut(docs.mapInArrow(_features(words, rows, bands), "doc_id long, n_shingles long, set_a long, set_b long, keys binary, sig array<long>"))
     real = feats.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = real.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("rep"))
     ones = classes.select(F.col("rep").alias("doc_id"))
     # a doc_id with two texts is one node: its sets share bands through that id
-    sigs = real.join(ones, "doc_id", "left_semi").select("doc_id", "sig")
+    reps = real.join(ones, "doc_id", "left_semi")
 
-    banded = sigs.mapInArrow(_bands(rows, bands), "key long, rep long")
-    shared = banded.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("key", F.col("lo").alias("pivot"))
+    banded = reps.select("doc_id", "keys").mapInArrow(_banded, "key long, rep long")
+    shared = banded.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.count(F.lit(1)).alias("weight")).where("lo < hi").select("key", "weight")
     members = cut(banded.join(shared, "key").distinct())  # only buckets of two classes or more
-
-    texts, sig = docs.withColumnRenamed("doc_id", "id"), sigs.withColumnRenamed("doc_id", "id")
-    least = t - 5 * math.sqrt(t * (1 - t) / n)
+    # the class that meets most others is likeliest the one that the others were copied from
+    weights = members.groupBy("rep").agg(F.sum("weight").alias("weight"))
+    about = reps.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sig").join(weights, "rep")
+    about = cut(about.groupBy("rep").agg(F.max("weight").alias("weight"), F.min("n").alias("least"), F.max("n").alias("most"), F.first("sig").alias("sig"), (F.min("sig") != F.max("sig")).alias("several")))
+    members = members.select("key", "rep").join(about.select("rep", "weight"), "rep")
+    pivot = members.groupBy("key").agg(F.max(F.struct("weight", (-F.col("rep")).alias("late"))).alias("p")).select("key", (-F.col("p.late")).alias("a"))
+
+    texts = docs.withColumnRenamed("doc_id", "id")
+    equal = t + (1 - t) / 16  # what agrees of two signatures, by chance in the last bits too
+    least = SIGNATURE * equal - 5 * math.sqrt(SIGNATURE * equal * (1 - equal))
+    right = about.drop("weight")
+    left = right.select(F.col("rep").alias("a"), F.col("least").alias("a_least"), F.col("most").alias("a_most"), F.col("sig").alias("a_sig"), F.col("several").alias("a_several"))
+    # sets whose sizes differ too much cannot reach the threshold
+    alike = (100 * F.col("most") >= percent * F.col("a_least")) & (100 * F.col("a_most") >= percent * F.col("least")) & (F.col("several") | F.col("a_several") | (_agreement("sig", "a_sig") >= least))
+
+    def ordered(found: DataFrame) -> DataFrame:
+        return found.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct()
 
     def verified(pairs: DataFrame) -> DataFrame:
-        count = pairs.count()
-        close = cut(_with_both(pairs, sig, "sig", count).select("a", "b", "sig_a", "sig_b").mapInArrow(_alike(least), "a long, b long").distinct())
-        left = close.count()
-        return cut(_with_both(close, texts, "text", left).select("a", "b", "text_a", "text_b").mapInArrow(_confirm(words, percent), "a long, b long").distinct())
-
-    pairs = cut(members.where("rep > pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct())
-    checked, links = pairs, verified(pairs)
-    comps = cut(components(links))
-    done, block, ranked = 1, 1, None
-    while True:
-        # buckets whose remaining members are not all in one component
-        now = members.select("key", "rep") if ranked is None else ranked.where(f"at >= {done}")
-        now = now.join(comps.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        split = now.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-        now = now.join(split, "key")
-        if ranked is None:
-            now = now.withColumn("at", F.row_number().over(Window.partitionBy("key").orderBy("rep")) - 1).where(f"at >= {done}")
-        now = cut(now)
-        if now.isEmpty():
-            break
-        ranked = now.select("key", "rep", "at")
-        pivots = now.where(f"at < {done + block}").select("key", F.col("rep").alias("a"), F.col("component").alias("ca"))
-        pairs = now.join(pivots, (now.key == pivots.key) & (F.col("a") < F.col("rep")) & (F.col("ca") != F.col("component")))
-        pairs = pairs.select("a", F.col("rep").alias("b")).distinct()
-        pairs = cut(pairs.join(checked, ["a", "b"], "left_anti"))
-        if not pairs.isEmpty():
-            more = verified(pairs)
-            checked = checked.unionAll(pairs)
-            if not more.isEmpty():
-                comps = cut(components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more)))
-        done, block = done + block, block * 2
+        return cut(_with_both(pairs, texts, "text", pairs.count()).select("a", "b", "text_a", "text_b").mapInArrow(_confirm(words, percent), "a long, b long").distinct())
+
+    met = cut(members.join(pivot, "key").where("a <> rep").select("a", "rep").distinct())
+    pairs = cut(ordered(met.join(left, "a").join(right, "rep").where(alike)))
+    comps = cut(components(verified(pairs)))
+    more = cut(_in_blocks(met, comps, about, texts, _block_links(words, percent, least)))
+    if not more.isEmpty():
+        comps = cut(components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more)))
 
     of_set = real.select("doc_id", "set_a", "set_b", "n_shingles").join(classes, ["set_a", "set_b", "n_shingles"]).select("doc_id", "rep")
     # an id with several texts ties its classes together

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import cut
-from .tokens import END_ID, word_tokenizer
+from .tokens import END_ID, encoded, word_tokenizer
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -35,8 +35,8 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = 4096) -> DataFrame:
         end = np.array([END_ID], tok.dtype).tobytes()
         for batch in batches:
             rows: list[tuple] = []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = np.frombuffer(tok.ids(text) + end, tok.dtype).astype("<u4")
+            for doc, raw in zip(batch.column("doc_id").to_pylist(), encoded(tok, batch.column("text").to_pylist())):
+                ids = np.frombuffer(raw + end, tok.dtype).astype("<u4")
                 for p, at in enumerate(range(0, len(ids), capacity)):
                     part = ids[at : at + capacity]
                     rows.append((doc, p, at, len(part), zlib.crc32(part.tobytes())))

@@ -8,25 +8,30 @@ must exist on every executor.
 from __future__ import annotations
 
 import os
+import re
 import unicodedata
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
-import regex
 
 END_ID = 1
 #: Pieces that a worker remembers (about 100 bytes each); then it starts anew.
-REMEMBERED = 600_000
-#: How the word tokenizer splits text: contractions, letters, single digits, others (fixed values).
-_PIECE = regex.compile(r"'[sS]|'[tT]|'[rR][eE]|'[vV][eE]|'[mM]|'[lL][lL]|'[dD]|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+REMEMBERED = 400_000
+#: How the word tokenizer splits lower-case text: contractions, letters, single digits, others
+#: (fixed values).
+_PIECE = re.compile(r"'[st]|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
+#: Characters whose lower case depends on more than themselves, that the library and Python
+#: take for white space differently, or that begin a special token.
+_UNUSUAL = re.compile("[İΣ\x1c-\x1f]|<\\|")
 
 
 class WordTokenizer:
-    """ids(text) equals the tokenizers library's encode(text, add_special_tokens=False).ids.
+    """many([text]) equals the tokenizers library's encode(text, add_special_tokens=False).ids.
 
-    No token of this tokenizer spans white space, and its rule for pieces can be applied
-    before its lower-casing where the text is in composed form and has no capital dotted I;
-    other texts, and such as hold a special token's string, are given to the library whole.
+    A text in composed form is lower-cased and split into pieces as the tokenizer does, and
+    each distinct piece is given to the library once. Texts with unusual characters are given
+    to it whole.
     """
 
     def __init__(self, path: str):
@@ -34,46 +39,64 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.chunks: dict[str, bytes] = {"": b""}
-        self.pieces: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes | None] = {}
         vocab = self.library.get_vocab(with_added_tokens=True)
         self.size = max(vocab.values()) + 1
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.last = np.zeros(self.size, bool)  # tokens that end a piece
         self.last[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
-        self.special = tuple(t for t in vocab if t.startswith("<|"))
 
-    def _learn(self, chunks: list[str]) -> None:
-        found = {c: _PIECE.findall(c) for c in chunks}
-        new = list({p for ps in found.values() for p in ps if p not in self.pieces})
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+
+    def _learn(self, pieces: set[str]) -> None:
+        # numerals other than digits are no letters to the library: such pieces stay unknown
+        odd = [p for p in pieces if not p.isalpha() and len(p) > 1 and any(c.isalnum() for c in p) and p[0] != "'"]
+        odd += [p for p in pieces if len(p) == 1 and p.isnumeric() and not p.isdecimal()]
+        self.pieces.update(dict.fromkeys(odd))
+        new = [p for p in pieces if p not in self.pieces]
         for i in range(0, len(new), 5000):
             some = new[i : i + 5000]
             ids = np.array(self.library.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, self.dtype)
-            cuts = np.flatnonzero(self.last[ids]) + 1
-            if len(cuts) == len(some):
-                parts = [x.tobytes() for x in np.split(ids, cuts[:-1])]
+            ends = (np.flatnonzero(self.last[ids]) + 1) * self.dtype.itemsize
+            if len(ends) == len(some):
+                raw, ends = ids.tobytes(), ends.tolist()
+                parts = [raw[a:b] for a, b in zip([0, *ends], ends)]
             else:  # a piece that the library splits further
-                parts = [np.array(e.ids, self.dtype).tobytes() for e in self.library.encode_batch_fast(some, add_special_tokens=False)]
+                parts = [self._whole(p) for p in some]
             self.pieces.update(zip(some, parts))
-        for c, ps in found.items():
-            self.chunks[c] = b"".join([self.pieces[p] for p in ps])
-
-    def ids(self, text: str | None) -> bytes:
-        """The ids as little-endian integers of `dtype`, without an end id; null: none."""
-        if not text:
-            return b""
-        if "<|" in text or not (text.isascii() or (unicodedata.is_normalized("NFC", text) and "İ" not in text)):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
-        chunks = text.replace("\n", " ").split(" ")
-        known = self.chunks
-        new = [c for c in set(chunks) if c not in known]
+
+    def many(self, texts: list[str | None]) -> list[bytes]:
+        """Each text's ids as little-endian integers of `dtype`, without an end id; null: none.
+
+        What is new in the texts is learnt in one call.
+        """
+        split: list[list[str] | None] = []
+        for t in texts:
+            plain = not t or not _UNUSUAL.search(t) and (t.isascii() or unicodedata.is_normalized("NFC", t))
+            split.append(_PIECE.findall((t or "").lower()) if plain else None)
+        if len(self.pieces) > REMEMBERED:
+            self.pieces.clear()
+        new = set().union(*(s for s in split if s)) - self.pieces.keys()
         if new:
-            if len(known) + len(self.pieces) > REMEMBERED:
-                known.clear()
-                self.pieces.clear()
-                new = list(set(chunks))
             self._learn(new)
-        return b"".join(map(known.__getitem__, chunks))
+        out = []
+        for t, pieces in zip(texts, split):
+            found = None if pieces is None else [self.pieces[p] for p in pieces]
+            out.append(self._whole(t) if found is None or None in found else b"".join(found))
+        return out
+
+
+def encoded(tok: WordTokenizer, texts: list[str | None], limit: int = 1 << 20) -> Iterator[bytes]:
+    """The ids of each text, in turns of about `limit` characters."""
+    held, size = [], 0
+    for t in texts:
+        held.append(t)
+        size += len(t or "")
+        if size > limit:
+            yield from tok.many(held)
+            held, size = [], 0
+    yield from tok.many(held)
 
 
 @cache
