@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .shared import row_chunks, text_bytes
+from .shared import row_chunks, small_batches, text_bytes
 
 #: Words of items in one broadcast index (about 200 bytes each); more items make more indexes.
 SHARD_WORDS = 200_000
@@ -197,7 +197,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.4, overlap
     Empty tables give an empty table. Other columns of both tables are not read.
     """
     schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
-    docs, out = docs.select("doc_id", "text"), None
+    docs, out = small_batches(docs).select("doc_id", "text"), None
     for held in indexes(benchmark, size):
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
@@ -219,7 +219,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.4, overlap
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.4, overlap: float = 0.6, size: int = 5) -> DataFrame:
     """The rows of `docs` whose text leaks no item, with all their columns."""
-    schema = docs.schema
+    schema = small_batches(docs).schema
     for held in indexes(benchmark, size):
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:

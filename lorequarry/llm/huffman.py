@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import cut, part_bounds, part_of
+from .shared import cut, part_bounds, part_of, small_batches
 from .tokens import END_ID, encoded, word_tokenizer
 
 LIMIT, INTERVAL, BLOCK_IDS = 20, 256, 1 << 18
@@ -232,7 +232,7 @@ def write_ids(docs: DataFrame, path: str, folder: str, parts: int | None = None)
     Null text has the end id alone. Rows of equal doc_id follow each other; a null doc_id
     comes first. An empty table gives an empty folder of both tables.
     """
-    spark = docs.sparkSession
+    spark = small_batches(docs).sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     bounds = part_bounds(docs, "doc_id", parts)
     staged = docs.select(part_of(F.col("doc_id"), bounds).cast("int").alias("part"), "doc_id", "text")

@@ -7,6 +7,8 @@ from __future__ import annotations
 
 import numpy as np
 
+from .shared import row_chunks
+
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -27,7 +29,7 @@ _powers = [np.ones(1, _U), np.ones(1, _U)]
 def _power(which: int, n: int) -> np.ndarray:
     """The first n powers of the base (0) or its inverse (1), modulo 2^64."""
     if len(_powers[which]) < n:
-        steps = np.full(max(n, 1 << 21), (_BASE, _INVERSE)[which], dtype=_U)
+        steps = np.full(max(1 << 19, 1 << (n - 1).bit_length()), (_BASE, _INVERSE)[which], dtype=_U)
         steps[0] = 1
         _powers[which] = np.cumprod(steps, dtype=_U)
     return _powers[which][:n]
@@ -103,8 +105,14 @@ def distinct_in_rows(values: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Each row's set of k-word shingles as sorted 64-bit hashes."""
-    return distinct_in_rows(*shingles(*word_hashes(data, offsets), k))
+    """Each row's set of k-word shingles as sorted 64-bit hashes; some rows at a time."""
+    values, counts = [np.zeros(0, _U)], [np.zeros(1, np.int64)]
+    for lo, hi in row_chunks(offsets, 1 << 19):
+        o = offsets[lo : hi + 1]
+        v, at = distinct_in_rows(*shingles(*word_hashes(data[o[0] : o[-1]], o - o[0]), k))
+        values.append(v)
+        counts.append(np.diff(at))
+    return np.concatenate(values), np.cumsum(np.concatenate(counts))
 
 
 def sum_rows(values: np.ndarray, at: np.ndarray) -> np.ndarray:

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
 from .kernels import sum_rows
-from .shared import row_chunks, text_bytes
+from .shared import row_chunks, small_batches, text_bytes
 
 #: Languages that a model may have: what the driver holds and broadcasts is this times 2^bits.
 MAX_LANGUAGES = 512
@@ -99,7 +99,7 @@ def train(docs: DataFrame, orders: tuple[int, ...] = (1, 2, 3), bits: int = 16,
 
     Without any labelled row the model has no language and predicts `und`.
     """
-    docs = docs.where("lang IS NOT NULL").select("text", "lang")
+    docs = small_batches(docs).where("lang IS NOT NULL").select("text", "lang")
     per = sorted((r["lang"], r["n"]) for r in docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect())
     if len(per) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
@@ -120,7 +120,7 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     Languages of equal posterior: the first in alphabetical order. Columns named lang_pred or
     score are replaced.
     """
-    docs = docs.drop("lang_pred", "score")
+    docs = small_batches(docs).drop("lang_pred", "score")
     names = docs.columns
     held = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -24,13 +24,13 @@ from pyspark.sql import functions as F
 
 from . import kernels as K
 from .components import components
-from .shared import cut, row_chunks, text_bytes
+from .shared import cut, row_chunks, small_batches, text_bytes
 
 _U = np.uint64
 #: Candidate ids that may be broadcast (16 bytes each); beyond it the join is a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Minima of a signature; members of a block of pairs.
-SIGNATURE, BLOCK = 320, 2048
+SIGNATURE, BLOCK = 320, 1024
 
 
 def _hashers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -230,7 +230,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
     0.85, 7e-6 at 0.8 with the defaults.
     """
     t = percent / 100
-    docs = docs.select("doc_id", "text")
+    docs = small_batches(docs).select("doc_id", "text")
     feats = cut(docs.mapInArrow(_features(words, rows, bands), "doc_id long, n_shingles long, set_a long, set_b long, keys binary, sig array<long>"))
     real = feats.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = real.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("rep"))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import cut
+from .shared import cut, small_batches
 from .tokens import END_ID, encoded, word_tokenizer
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -44,7 +44,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = 4096) -> DataFrame:
             cols = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)] if rows else [pa.array([], k) for k in kinds]
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, _PIECES)
+    return small_batches(docs).select("doc_id", "text").mapInArrow(run, _PIECES)
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:

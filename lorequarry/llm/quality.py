@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .shared import row_chunks, text_bytes
+from .shared import row_chunks, small_batches, text_bytes
 
 _U = np.uint64
 #: Labelled rows that a model is fitted on: those of the least hash of doc_id.
@@ -144,7 +144,7 @@ def train(docs: DataFrame, labels: DataFrame, bits: int = 18, max_rows: int = MA
     """
     chosen = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most max_rows rows
+    joined = small_batches(docs).select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most max_rows rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -197,4 +197,4 @@ def score(docs: DataFrame, model: QualityModel) -> DataFrame:
                 got.append(m.scores(*features(data[o[0] : o[-1]], o - o[0], m.bits)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.concatenate(got))], ["doc_id", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
+    return small_batches(docs).select("doc_id", "text").mapInArrow(run, "doc_id long, score double")

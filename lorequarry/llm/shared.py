@@ -28,6 +28,23 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows and bytes of an Arrow batch that carries whole texts.
+BATCH_ROWS, BATCH_BYTES = 1000, "8m"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """`df`, after its session's default Arrow batch size is lowered; a size set by hand stays.
+
+    Spark's default of 10,000 rows of whole texts is held several times over, outside the
+    heap, for each running task.
+    """
+    conf = df.sparkSession.conf
+    for key, default, ours in (("maxRecordsPerBatch", "10000", str(BATCH_ROWS)), ("maxBytesPerBatch", "67108864b", BATCH_BYTES)):
+        if conf.get(f"spark.sql.execution.arrow.{key}", default) == default:
+            conf.set(f"spark.sql.execution.arrow.{key}", ours)
+    return df
+
+
 def part_bounds(ids: DataFrame, column: str, parts: int) -> list:
     """At most parts - 1 values of `column` that cut it into about equal ranges.
 

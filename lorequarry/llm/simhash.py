@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .shared import cut, part_bounds, part_of, row_chunks, text_bytes
+from .shared import cut, part_bounds, part_of, row_chunks, small_batches, text_bytes
 
 BITS, RADIUS, TERM_WORDS = 128, 3, 3
 
@@ -148,7 +148,7 @@ def fingerprint_table(docs: DataFrame, every: int = 50, radius: int = RADIUS) ->
     a fingerprint within `radius` bits. Other columns are not read. An empty table gives an
     empty table.
     """
-    rows = cut(with_next(docs.select("doc_id", "text")).mapInArrow(_marked, "doc_id long, n_chars long, edited_sha256 string, f1 long, f2 long, edited_fingerprint string, near_edited double, near_next double"))
+    rows = cut(with_next(small_batches(docs).select("doc_id", "text")).mapInArrow(_marked, "doc_id long, n_chars long, edited_sha256 string, f1 long, f2 long, edited_fingerprint string, near_edited double, near_next double"))
     asked = rows.where(F.col("doc_id") % every == 0).select("doc_id", "f1", "f2")
     near = within_radius(asked, rows.select("f1", "f2"), radius).distinct()
     out = rows.join(near, "doc_id", "left")

@@ -17,7 +17,7 @@ import numpy as np
 
 END_ID = 1
 #: Pieces that a worker remembers (about 100 bytes each); then it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 #: How the word tokenizer splits lower-case text: contractions, letters, single digits, others
 #: (fixed values).
 _PIECE = re.compile(r"'[st]|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")

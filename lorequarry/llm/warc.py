@@ -20,6 +20,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from .shared import small_batches
+
 DERIVED = "page_id long, record_type string, record_id string, refers_to string, target_uri string, source_block_digest string, block_digest string, content_length long, record binary"
 _DROP = re.compile(r"<!--.*?(?:-->|$)|<(script|style|noscript|template|head)\b[^>]*>.*?(?:</\1\s*>|$)", re.S | re.I)
 _TAG = re.compile(r"<(/?[a-zA-Z][a-zA-Z0-9]*)[^>]*>|<[!?][^>]*>")
@@ -138,7 +140,7 @@ def responses(pages: DataFrame, date: str = "2024-01-01T00:00:00Z") -> DataFrame
                 raw = [response(u, t, str(i), date) for i, u, t in zip(*(part.column(c).to_pylist() for c in ("page_id", "url", "html")))]
                 yield pa.RecordBatch.from_arrays([part.column("page_id"), pa.array(raw, pa.binary())], ["page_id", "record"])
 
-    return pages.select("page_id", "url", "html").mapInArrow(run, "page_id long, record binary")
+    return small_batches(pages).select("page_id", "url", "html").mapInArrow(run, "page_id long, record binary")
 
 
 def derivatives(records: DataFrame) -> DataFrame:
@@ -164,7 +166,7 @@ def derivatives(records: DataFrame) -> DataFrame:
                 kinds = (pa.int64(), *[pa.string()] * 6, pa.int64(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 9, kinds)], names)
 
-    return records.mapInArrow(run, DERIVED)
+    return small_batches(records).mapInArrow(run, DERIVED)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
