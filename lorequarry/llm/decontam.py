@@ -1,7 +1,7 @@
 """Benchmark decontamination: a BM25 index of the test items, searched by block-max WAND.
 
 Every training text is cut into passages of twice the longest item's words, half overlapping,
-so that each item lies wholly in one. A passage's distinct words are a query. An item's score
+so that each item lies wholly in one; words are runs of letters and digits in lower case. A passage's distinct words are a query. An item's score
 is divided by its score for its own words, so it is the part of the item's BM25 weight that
 the passage holds, and one threshold serves all items. The index keeps, for each word, its
 greatest weight in each block of neighbouring items; a passage and block whose greatest
@@ -13,6 +13,7 @@ and verified by the parts of the question's and the answer's word runs that the
 from __future__ import annotations
 
 import re
+import unicodedata
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -26,6 +27,7 @@ from .shared import row_chunks, small_batches, text_bytes
 
 #: Words of items in one broadcast index (about 200 bytes each); more items make more indexes.
 SHARD_WORDS = 200_000
+_MARKS = re.compile(r"[^\w\x00-\x7f]+")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 
 
@@ -38,8 +40,21 @@ def question_answer(text: str) -> tuple[str, str]:
     return (" ".join(parts[:-1]), parts[-1]) if len(parts) > 1 else (" ".join(parts), "")
 
 
+def plain_bytes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The texts' bytes in compatibility form and lower case, other alphabets' marks as spaces.
+
+    ASCII is left to the word kernel, which folds case and parts words at every mark.
+    """
+    plain = [t if not t or t.isascii() else _MARKS.sub(" ", unicodedata.normalize("NFKC", t).lower()) for t in texts]
+    return text_bytes(pa.array(plain, pa.large_string()))
+
+
+def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return K.word_hashes(data, offsets, K.LETTERS)
+
+
 def _hashed(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    return K.word_hashes(*text_bytes(pa.array(texts, pa.string())))
+    return _words(*plain_bytes(texts))
 
 
 def _runs(words: np.ndarray, k: int) -> np.ndarray:
@@ -114,7 +129,7 @@ class Index:
 
     def search(self, data: np.ndarray, offsets: np.ndarray, threshold: float, overlap: float) -> Iterator[tuple[int, int, float, float, float]]:
         """(row, item, score, question overlap, answer overlap) of the verified hits, best passage."""
-        words, at = K.word_hashes(data, offsets)
+        words, at = _words(data, offsets)
         if not len(words):
             return
         code = np.searchsorted(self.vocab, words)
@@ -162,8 +177,7 @@ def indexes(benchmark: DataFrame, size: int = 5) -> list:
 
     def facts(batches):
         for batch in batches:
-            data, offsets = text_bytes(batch.column("text"))
-            words, at = K.distinct_in_rows(*K.word_hashes(data, offsets))
+            words, at = K.distinct_in_rows(*_hashed(batch.column("text").to_pylist()))
             yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64))], ["word"])
 
     split = r"[^\x20\x09-\x0D]+"
@@ -203,7 +217,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.4, overlap
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             index = held.value
             for batch in batches:
-                data, offsets = text_bytes(batch.column("text"))
+                data, offsets = plain_bytes(batch.column("text").to_pylist())
                 doc = batch.column("doc_id").to_pylist()
                 rows = []
                 for lo, hi in row_chunks(offsets, 1 << 20):
@@ -225,7 +239,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.4,
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             index = held.value
             for batch in batches:
-                data, offsets = text_bytes(batch.column("text"))
+                data, offsets = plain_bytes(batch.column("text").to_pylist())
                 keep = np.ones(batch.num_rows, bool)
                 for lo, hi in row_chunks(offsets, 1 << 20):
                     o = offsets[lo : hi + 1]

@@ -22,6 +22,8 @@ def _fold_table() -> np.ndarray:
 
 
 _FOLD = _fold_table()
+#: As _FOLD, with every ASCII character but letters and digits as a space.
+LETTERS = np.where((_FOLD < 128) & ~np.isin(_FOLD, np.frombuffer(b"abcdefghijklmnopqrstuvwxyz0123456789", np.uint8)), 32, _FOLD).astype(np.uint8)
 _BYTE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64)
 _powers = [np.ones(1, _U), np.ones(1, _U)]
 
@@ -44,14 +46,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(33))
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, offsets: np.ndarray, fold: np.ndarray = _FOLD) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """A 64-bit hash of each word, where each row's words begin (rows + 1 values), and the
     words' first and past-the-last bytes."""
     n = len(data)
     if n == 0:
         none = np.zeros(0, np.int64)
         return np.zeros(0, _U), np.zeros(len(offsets), np.int64), none, none
-    folded = _FOLD[data]
+    folded = fold[data]
     solid = folded != 32
     first = np.zeros(n + 1, bool)
     first[offsets] = True
@@ -67,8 +69,8 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return h, np.searchsorted(s, offsets).astype(np.int64), s, e
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return words(data, offsets)[:2]
+def word_hashes(data: np.ndarray, offsets: np.ndarray, fold: np.ndarray = _FOLD) -> tuple[np.ndarray, np.ndarray]:
+    return words(data, offsets, fold)[:2]
 
 
 def shingles(words: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
