@@ -18,12 +18,25 @@ import numpy as np
 END_ID = 1
 #: Pieces that a worker remembers (about 100 bytes each); then it starts anew.
 REMEMBERED = 400_000
-#: How the word tokenizer splits lower-case text: contractions, letters, single digits, others
-#: (fixed values).
-_PIECE = re.compile(r"'[st]|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
-#: Characters whose lower case depends on more than themselves, that the library and Python
-#: take for white space differently, or that begin a special token.
-_UNUSUAL = re.compile("[İΣ\x1c-\x1f]|<\\|")
+#: How the word tokenizer splits lower-case text: letters, single digits, contractions, others
+#: (fixed values); the second is the same for ASCII alone.
+_PIECE = re.compile(r"[^\W\d_]+|\d|'(?:[stmd]|re|ve|ll)|(?:[^\s\w]+|_)+")
+_ASCII_PIECE = re.compile(r"[a-z]+|[0-9]|'(?:[stmd]|re|ve|ll)|[^\sa-z0-9]+")
+#: What begins a special token, what the library and Python take for white space differently,
+#: and letters whose lower case depends on more than themselves.
+_UNUSUAL = ("<|", "\x1c", "\x1d", "\x1e", "\x1f")
+_UNUSUAL_LETTERS = ("İ", "Σ")
+
+
+def _pieces(t: str) -> list[str] | None:
+    """A text's pieces; None if only the library can tell."""
+    if any(u in t for u in _UNUSUAL):
+        return None
+    if t.isascii():
+        return _ASCII_PIECE.findall(t.lower())
+    if any(u in t for u in _UNUSUAL_LETTERS) or not unicodedata.is_normalized("NFC", t):
+        return None
+    return _PIECE.findall(t.lower())
 
 
 class WordTokenizer:
@@ -71,20 +84,22 @@ class WordTokenizer:
 
         What is new in the texts is learnt in one call.
         """
-        split: list[list[str] | None] = []
-        for t in texts:
-            plain = not t or not _UNUSUAL.search(t) and (t.isascii() or unicodedata.is_normalized("NFC", t))
-            split.append(_PIECE.findall((t or "").lower()) if plain else None)
         if len(self.pieces) > REMEMBERED:
             self.pieces.clear()
-        new = set().union(*(s for s in split if s)) - self.pieces.keys()
-        if new:
-            self._learn(new)
-        out = []
-        for t, pieces in zip(texts, split):
-            found = None if pieces is None else [self.pieces[p] for p in pieces]
-            out.append(self._whole(t) if found is None or None in found else b"".join(found))
-        return out
+        known = self.pieces.get
+        found, gaps = [], []  # what is known of each text, and (its ids, place, piece) to learn
+        for t in texts:
+            pieces = _pieces(t or "")
+            ids = None if pieces is None else list(map(known, pieces))
+            found.append(ids)
+            if ids:
+                for _ in range(ids.count(None)):
+                    at = ids.index(None, gaps[-1][1] + 1 if gaps and gaps[-1][0] is ids else 0)
+                    gaps.append((ids, at, pieces[at]))
+        self._learn({p for _, _, p in gaps})
+        for ids, at, p in gaps:
+            ids[at] = self.pieces[p]
+        return [self._whole(t) if ids is None or None in ids else b"".join(ids) for t, ids in zip(texts, found)]
 
 
 def encoded(tok: WordTokenizer, texts: list[str | None], limit: int = 1 << 20) -> Iterator[bytes]:
