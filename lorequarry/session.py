@@ -6,6 +6,9 @@ import os
 
 from pyspark.sql import SparkSession
 
+#: Where Python workers find the package.
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
 
 def local_session(cores: int | None = None, app: str = "lorequarry") -> SparkSession:
     cores = cores or int(os.environ.get("BENCH_CPUS", "8"))
@@ -16,6 +19,7 @@ def local_session(cores: int | None = None, app: str = "lorequarry") -> SparkSes
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        .config("spark.executorEnv.PYTHONPATH", ROOT)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
