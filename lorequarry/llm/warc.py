@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .shared import small_batches
 
 DERIVED = "page_id long, record_type string, record_id string, refers_to string, target_uri string, source_block_digest string, block_digest string, content_length long, record binary"
-_DROP = re.compile(r"<!--.*?(?:-->|$)|<(script|style|noscript|template|head)\b[^>]*>.*?(?:</\1\s*>|$)", re.S | re.I)
+_DROP = re.compile(r"<!--.*?(?:-->|$)|<(script|style|noscript|template|head|title)\b[^>]*>.*?(?:</\1\s*>|$)", re.S | re.I)
 _TAG = re.compile(r"<(/?[a-zA-Z][a-zA-Z0-9]*)[^>]*>|<[!?][^>]*>")
 _TITLE = re.compile(r"<title\b[^>]*>(.*?)</title", re.S | re.I)
 _LINK = re.compile(r"""<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
