@@ -12,9 +12,9 @@ def csv_table(spark: SparkSession, path: str, schema: str, multiline: bool = Tru
 
 
 def csv_repairable(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
-    """(good rows, raw text of ragged rows)."""
+    """(good rows, ragged rows with what was read of them and the `raw` text)."""
     rows = spark.read.schema(f"{schema}, _bad string").csv(path, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord="_bad", escape='"')
-    return rows.where("_bad IS NULL").drop("_bad"), rows.where("_bad IS NOT NULL").select(F.col("_bad").alias("raw"))
+    return rows.where("_bad IS NULL").drop("_bad"), rows.where("_bad IS NOT NULL").withColumnRenamed("_bad", "raw")
 
 
 def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
