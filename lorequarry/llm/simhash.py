@@ -27,7 +27,7 @@ BITS, RADIUS, TERM_WORDS = 128, 3, 3
 def fingerprints(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """A (rows, 16) array of bytes; a text without words is all zero."""
     out = np.zeros((len(offsets) - 1, BITS // 8), np.uint8)
-    for lo, hi in row_chunks(offsets, 1 << 18):
+    for lo, hi in row_chunks(offsets, 1 << 17):
         o = offsets[lo : hi + 1]
         terms, at = K.shingles(*K.word_hashes(data[o[0] : o[-1]], o - o[0]), TERM_WORDS)
         if not len(terms):
@@ -82,8 +82,8 @@ def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     unpack = zstandard.ZstdDecompressor()
     for batch in batches:
-        for lo in range(0, batch.num_rows, 500):
-            part = batch.slice(lo, 500)
+        for lo in range(0, batch.num_rows, 64):
+            part = batch.slice(lo, 64)
             text = [unpack.decompress(z).decode() for z in part.column("z").to_pylist()]
             follow = [unpack.decompress(z).decode() if z else "" for z in part.column("next").to_pylist()]
             edited = [t[: len(t) - len(t) // 2] + f[: len(t) // 2] for t, f in zip(text, follow)]
