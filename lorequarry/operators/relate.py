@@ -49,3 +49,27 @@ def append_new(old: DataFrame, new: DataFrame, keys: Sequence[str], order: Seque
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     fresh = new.join(old.select(*keys), list(keys), "left_anti").withColumn("_rank", rank).where("_rank = 1").drop("_rank")
     return old.unionByName(fresh.select(old.columns))
+
+
+def orphan_refs(df: DataFrame, id_: str, refs: str, parent: DataFrame, key: str) -> DataFrame:
+    """Distinct (id, ref) of array elements that name no parent; nothing is judged while `parent` is empty."""
+    each = df.select(id_, F.explode(refs).alias("ref")).where("ref IS NOT NULL").distinct()
+    if parent.isEmpty():
+        return each.where("false")
+    return orphans(each, "ref", parent, key)
+
+
+def alias_index(df: DataFrame, alias: str, id_: str, ordinal: str, last: bool = False) -> DataFrame:
+    """(alias, id): trimmed, lower-cased aliases, each with its first or last id by the ordinal."""
+    pick = F.max_by if last else F.min_by
+    return df.where(F.trim(alias) != "").groupBy(F.lower(F.trim(alias)).alias("alias")).agg(pick(id_, ordinal).alias("id"))
+
+
+def scope_end(df: DataFrame, key: str, pos: str, level: str, levels: int, name: str) -> DataFrame:
+    """Adds `name`: where the next row of the key's with a level no deeper starts, null at the end.
+
+    Levels go from 1 to `levels`. One sort serves all levels' windows, so no pairs are made.
+    """
+    after = Window.partitionBy(key).orderBy(pos).rangeBetween(1, Window.unboundedFollowing)
+    ends = [F.min(F.when(F.col(level) <= n, F.col(pos))).over(after) for n in range(1, levels + 1)]
+    return df.withColumn("_ends", F.array(*ends)).withColumn(name, F.try_element_at("_ends", F.col(level))).drop("_ends")

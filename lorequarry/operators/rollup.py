@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -41,3 +41,21 @@ def zero_filled(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
     enum = df.sparkSession.createDataFrame([(v,) for v in values], f"{column} string")
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     return enum.join(counts, column, "left").select(column, F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def stratified(df: DataFrame, group: str, key: str, seed: int) -> DataFrame:
+    """A sixth of each group's rows, but two at least (or all): those with the least hashes of seed and key.
+
+    Ranks are made of counts by hash prefix and ranks inside a prefix, so a group that holds a
+    third of all rows is spread over 4096 sorts. Null is a group too; equal keys rank in no
+    stated order, so keys should be unique.
+    """
+    h = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))), 256)
+    rows = df.withColumn("_h", h).withColumn("_p", F.substring("_h", 1, 3))
+    parts = rows.groupBy(F.col(group).alias("_g"), F.col("_p").alias("_q")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_g").orderBy("_q")
+    parts = parts.withColumn("_size", F.sum("_n").over(Window.partitionBy("_g"))).withColumn("_upto", F.sum("_n").over(before) - F.col("_n"))
+    parts = parts.withColumn("_take", F.least("_size", F.greatest(F.lit(2), F.floor(F.col("_size") / 6))) - F.col("_upto")).where("_take > 0")
+    hit = rows.join(parts, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_p") == F.col("_q")))
+    rank = F.row_number().over(Window.partitionBy(group, "_p").orderBy("_h", key))
+    return hit.withColumn("_r", rank).where("_r <= _take").select(df.columns)

@@ -1,0 +1,3 @@
+"""Importing this package registers all queries in `catalog`."""
+
+from . import catalog, governance  # noqa: F401

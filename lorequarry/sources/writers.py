@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
 def append_unseen(rows: DataFrame, path: str, keys: Sequence[str]) -> None:
     """Append the rows whose key the Parquet table at `path` lacks; running again adds nothing."""
     spark = rows.sparkSession
     rows = rows.dropDuplicates(list(keys))
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target):
+    if _exists(spark, path):
         rows = rows.join(spark.read.parquet(path).select(*keys), list(keys), "left_anti")
     rows.write.mode("append").parquet(path)
 
@@ -26,3 +31,29 @@ def publish(tables: dict[str, DataFrame], root: str, version: str) -> dict[str,
         df.write.mode("errorifexists").parquet(f"{root}/{version}/{name}")
         counts[name] = df.sparkSession.read.parquet(f"{root}/{version}/{name}").count()
     return counts
+
+
+def log_rows(rows: DataFrame, path: str, key: str, mirror: Callable[[DataFrame], object] | None = None, outbox: str | None = None) -> str:
+    """Append to the log at `path`, then mirror; returns logged, mirrored or pending.
+
+    A null, repeated or known key raises ValueError before anything is written. If the mirror
+    fails, the rows go to the outbox as JSON lines with status pending; without an outbox its
+    error is raised.
+    """
+    spark = rows.sparkSession
+    bad = rows.groupBy(key).count().where((F.col("count") > 1) | F.col(key).isNull())
+    if not bad.isEmpty():
+        raise ValueError(f"{key} is null or repeated")
+    if _exists(spark, path) and not rows.join(spark.read.parquet(path).select(key), key, "left_semi").isEmpty():
+        raise ValueError(f"{key} is in the log already")
+    rows.write.mode("append").parquet(path)
+    if mirror is None:
+        return "logged"
+    try:
+        mirror(rows)
+        return "mirrored"
+    except Exception as failure:
+        if outbox is None:
+            raise
+        rows.withColumns({"status": F.lit("pending"), "error": F.lit(str(failure))}).write.mode("append").json(outbox)
+        return "pending"
