@@ -1,11 +1,11 @@
 """Document fingerprints by SimHash, and the search for those within a Hamming radius.
 
 A document's terms are its runs of three words; a term's weight is its number of occurrences.
-Each term's 128-bit hash votes, by weight, for 1 or 0 in each bit. For the search a
-fingerprint stands in 16 permuted tables: one of its four 32-bit blocks in front, followed by
-one quarter of the other 96 bits. Two fingerprints that differ in at most three bits agree in
-one block wholly, and with at most three bits in the rest also in one of its quarters, so they
-share a key of 56 bits in at least one table; none is missed and no list of candidates is cut.
+Each term's 128-bit hash votes, by weight, for 1 or 0 in each bit. The search is exact for any
+radius: the asked fingerprints (16 bytes each) go to every task, and a task compares each of
+its rows with all of them; nothing but the counts found is shuffled. Near copies lie far apart
+in bits: of the 1290 pairs of sf0.1 with a Jaccard of 0.8 or more and unequal shingle sets, none
+is within 3 bits, 56 % within 16, 96 % within 22 and all within COPY_RADIUS.
 """
 
 from __future__ import annotations
@@ -15,13 +15,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import kernels as K
 from .shared import cut, part_bounds, part_of, row_chunks, small_batches, text_bytes
 
 BITS, RADIUS, TERM_WORDS = 128, 3, 3
+#: Bits within which near copies (Jaccard 0.8 of three-word shingles) lie, as measured.
+COPY_RADIUS = 28
+#: Asked fingerprints compared at a time, so that numpy's working arrays stay in cache.
+BLOCK = 16384
 
 
 def fingerprints(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -103,54 +107,62 @@ def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _keys() -> Column:
-    """The 16 table keys of (f1, f2): table number, block in front, quarter of the rest."""
-    low = F.lit(0xFFFFFFFF)
-    block = [F.shiftrightunsigned("f1", 32), F.col("f1").bitwiseAND(low), F.shiftrightunsigned("f2", 32), F.col("f2").bitwiseAND(low)]
-    keys = []
-    for i in range(4):
-        a, b, c = (block[j] for j in range(4) if j != i)
-        q = [
-            F.shiftright(a, 8),
-            F.shiftleft(a.bitwiseAND(F.lit(0xFF)), 16).bitwiseOR(F.shiftright(b, 16)),
-            F.shiftleft(b.bitwiseAND(F.lit(0xFFFF)), 8).bitwiseOR(F.shiftright(c, 24)),
-            c.bitwiseAND(F.lit(0xFFFFFF)),
-        ]
-        keys += [F.struct(F.lit(4 * i + j).alias("t"), block[i].alias("lead"), q[j].alias("sub")) for j in range(4)]
-    return F.array(*keys)
-
-
-def within_radius(queries: DataFrame, all_: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(doc_id, n_near): how many rows of `all_` (f1, f2) lie within `radius` (at most three)
-    bits of each row of `queries` (doc_id, f1, f2), its own row among them.
-
-    Equal fingerprints are one entry with a count, so copies do not multiply.
+def _counts(asked: np.ndarray, rows: np.ndarray, n: np.ndarray, radii: list[int], out: np.ndarray) -> None:
+    """Add to `out` (radii, asked) how many of `rows`, each `n` times, lie within each radius."""
+    for lo in range(0, asked.shape[1], BLOCK):
+        q1, q2 = asked[:, lo : lo + BLOCK]
+        word, apart, more = np.empty(len(q1), np.uint64), np.empty(len(q1), np.uint8), np.empty(len(q1), np.uint8)
+        for (f1, f2), times in zip(rows, n):
+            np.bitwise_count(np.bitwise_xor(q1, f1, out=word), out=apart)
+            np.bitwise_count(np.bitwise_xor(q2, f2, out=word), out=more)
+            apart += more
+            if apart.min() <= max(radii):
+                for k, radius in enumerate(radii):
+                    out[k, lo + np.flatnonzero(apart <= radius)] += times
+
+
+def within_radius(queries: DataFrame, all_: DataFrame, *radii: int) -> DataFrame:
+    """(doc_id, near): for each row of `queries` (doc_id, f1, f2), how many rows of `all_`
+    (f1, f2) lie within each of `radii` bits, its own row among them.
+
+    Every pair is compared. The distinct fingerprints of `queries` are held by the driver and
+    each task, 16 bytes each.
     """
-    if radius > 3:
-        raise ValueError("the tables serve up to three bits")
-    entries = all_.groupBy("f1", "f2").agg(F.count(F.lit(1)).alias("n"))
-    asked = queries.select("f1", "f2").distinct()
-    left = asked.select("f1", "f2", F.explode(_keys()).alias("k")).select(F.col("f1").alias("q1"), F.col("f2").alias("q2"), "k.*")
-    right = entries.select("f1", "f2", "n", F.explode(_keys()).alias("k")).select("f1", "f2", "n", "k.*")
-    apart = F.bit_count(F.col("f1").bitwiseXOR(F.col("q1"))) + F.bit_count(F.col("f2").bitwiseXOR(F.col("q2")))
-    same = [left[c] == right[c] for c in ("t", "lead", "sub")]
-    found = left.join(right, same[0] & same[1] & same[2] & (apart <= radius)).select("q1", "q2", "f1", "f2", "n").distinct()
-    near = found.groupBy(F.col("q1").alias("f1"), F.col("q2").alias("f2")).agg(F.sum("n").alias("n_near"))
-    return queries.join(near, ["f1", "f2"]).select("doc_id", "n_near")
-
-
-def fingerprint_table(docs: DataFrame, every: int = 50, radius: int = RADIUS) -> DataFrame:
+    spark = queries.sparkSession
+    found = queries.select("f1", "f2").distinct().toArrow()
+    asked = spark.sparkContext.broadcast(np.stack([found.column(c).to_numpy().astype(np.int64) for c in ("f1", "f2")]).view(np.uint64))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q = asked.value
+        out = np.zeros((len(radii), q.shape[1]), np.int64)
+        for batch in batches:
+            rows, n = np.unique(np.stack([np.asarray(batch.column(c)) for c in ("f1", "f2")], 1), axis=0, return_counts=True)
+            _counts(q, rows.view(np.uint64), n, list(radii), out)
+        some = np.flatnonzero(out.any(axis=0))
+        for lo in range(0, len(some), BLOCK):
+            at = some[lo : lo + BLOCK]
+            words = q[:, at].view(np.int64)
+            yield pa.RecordBatch.from_arrays([*(pa.array(w) for w in words), *(pa.array(x) for x in out[:, at])], names)
+
+    names = ["f1", "f2", *(f"n{k}" for k in range(len(radii)))]
+    parts = all_.select("f1", "f2").mapInArrow(run, ", ".join(f"{c} long" for c in names))
+    near = parts.groupBy("f1", "f2").agg(F.array(*(F.sum(c) for c in names[2:])).alias("near"))
+    return queries.join(near, ["f1", "f2"]).select("doc_id", "near")
+
+
+def fingerprint_table(docs: DataFrame, every: int = 50, radius: int = RADIUS, copy_radius: int = COPY_RADIUS) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next,
-    n_near; one row per row of `docs` (doc_id, text).
+    n_near, n_near_copies; one row per row of `docs` (doc_id, text).
 
-    Null text counts as empty; texts without words have the fingerprint of zeros. n_near is
-    given for documents whose id is divisible by `every` (else null): how many other rows have
-    a fingerprint within `radius` bits. Other columns are not read. An empty table gives an
+    Null text counts as empty; texts without words have the fingerprint of zeros. n_near and
+    n_near_copies are given for documents whose id is divisible by `every` (else null): how many
+    other rows have a fingerprint within `radius` bits (little but equal texts), and within
+    `copy_radius` bits (near copies). Other columns are not read. An empty table gives an
     empty table.
     """
     rows = cut(with_next(small_batches(docs).select("doc_id", "text")).mapInArrow(_marked, "doc_id long, n_chars long, edited_sha256 string, f1 long, f2 long, edited_fingerprint string, near_edited double, near_next double"))
     asked = rows.where(F.col("doc_id") % every == 0).select("doc_id", "f1", "f2")
-    near = within_radius(asked, rows.select("f1", "f2"), radius).distinct()
+    near = within_radius(asked, rows, radius, copy_radius).distinct()
     out = rows.join(near, "doc_id", "left")
     fingerprint = F.lower(F.concat(F.lpad(F.hex("f1"), 16, "0"), F.lpad(F.hex("f2"), 16, "0")))
-    return out.select("doc_id", "n_chars", "edited_sha256", fingerprint.alias("fingerprint"), "edited_fingerprint", "near_edited", "near_next", (F.col("n_near") - 1).alias("n_near"))
+    return out.select("doc_id", "n_chars", "edited_sha256", fingerprint.alias("fingerprint"), "edited_fingerprint", "near_edited", "near_next", *((F.col("near")[k] - 1).alias(c) for k, c in enumerate(("n_near", "n_near_copies"))))

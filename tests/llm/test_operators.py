@@ -175,6 +175,42 @@ def test_fingerprints(spark, texts, odd):
     assert simhash.fingerprint_table(odd).count() == len(ODD) and simhash.fingerprint_table(odd.limit(0)).count() == 0
 
 
+def test_fingerprints_find_near_copies(spark, docs_of):
+    """Words changed in 300: all near copies are found, and no unrelated text."""
+    rng = np.random.default_rng(5)
+    base = [f"w{x}" for x in rng.integers(0, 400, 300)]
+    rows = [(0, " ".join(base))]
+    for i, changed in enumerate((0, 1, 3, 6, 10), 1):
+        w = list(base)
+        for j in rng.choice(300, changed, replace=False):
+            w[j] = f"x{i}_{j}"
+        rows.append((i, " ".join(w)))
+    rows += [(i, " ".join(f"y{x}" for x in rng.integers(0, 400, 300))) for i in range(50, 60)]
+    sets = {i: _shingles(t, 3) for i, t in rows}
+    copies = [i for i in range(1, 60) if i in sets and len(sets[0] & sets[i]) >= 0.8 * len(sets[0] | sets[i])]
+    got = {r["doc_id"]: r for r in simhash.fingerprint_table(docs_of(rows)).collect()}
+    whole = {i: int(r["fingerprint"], 16) for i, r in got.items()}
+    assert copies == [1, 2, 3, 4, 5] and got[0]["n_near_copies"] == 5 and got[50]["n_near_copies"] == 0
+    assert got[0]["n_near"] == sum((whole[0] ^ whole[i]).bit_count() <= 3 for i in copies) < 5
+    assert got[1]["n_near_copies"] is None
+
+
+def test_within_radius_equals_brute_force(spark, monkeypatch):
+    """Any radius, copies counted, asked fingerprints in several blocks."""
+    monkeypatch.setattr(simhash, "BLOCK", 3)
+    rng = np.random.default_rng(6)
+    bits = rng.integers(0, 2, (8, 128))
+    rows = [b ^ (rng.random(128) < 0.1) for b in bits for _ in range(6)] + [bits[0]] * 3
+    f = [tuple(int(x) for x in np.packbits(b).view(">i8")) for b in rows]
+    all_ = spark.createDataFrame([(i, *x) for i, x in enumerate(f)], "doc_id long, f1 long, f2 long")
+    got = {r[0]: r[1] for r in simhash.within_radius(all_.where("doc_id % 3 = 0"), all_, 0, 14, 28, 70).collect()}
+    want = {i: [sum(int((rows[i] != b).sum()) <= r for b in rows) for r in (0, 14, 28, 70)] for i in range(0, len(rows), 3)}
+    assert got == want
+    words, out = np.array(f).view(np.uint64), np.zeros((4, len(want)), np.int64)
+    simhash._counts(np.ascontiguousarray(words[::3].T), words, np.ones(len(rows), int), [0, 14, 28, 70], out)
+    assert out.T.tolist() == list(want.values())
+
+
 def _library():
     from tokenizers import Tokenizer
 
