@@ -23,10 +23,13 @@ from pyspark.sql import DataFrame, SparkSession
 from .shared import small_batches
 
 DERIVED = "page_id long, record_type string, record_id string, refers_to string, target_uri string, source_block_digest string, block_digest string, content_length long, record binary"
-_DROP = re.compile(r"<!--.*?(?:-->|$)|<(script|style|noscript|template|head|title)\b[^>]*>.*?(?:</\1\s*>|$)", re.S | re.I)
-_TAG = re.compile(r"<(/?[a-zA-Z][a-zA-Z0-9]*)[^>]*>|<[!?][^>]*>")
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title", re.S | re.I)
-_LINK = re.compile(r"""<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+#: Elements whose content is no text. A head is not among them: it holds only these and tags
+#: without content, and all else ends it, whether or not `</head>` follows.
+_DROP = re.compile(r"<!--.*?(?:-->|$)|<(script|style|noscript|noframes|template|title)(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|$)", re.S | re.I)
+#: A tag with its whole name; a `>` in a quoted value does not end it.
+_TAG = re.compile(r"""<(/?[a-zA-Z][^\s/>]*)(?:=\s*+"[^"]*+"|=\s*+'[^']*+'|[^>=]++|=)*+>|<[!?][^>]*>""")
+_TITLE = re.compile(r"<title(?=[\s/>])[^>]*>(.*?)</title(?=[\s/>])", re.S | re.I)
+_LINK = re.compile(r"""<a(?=[\s/])[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _CHARSET = re.compile(rb"""charset\s*=\s*["']?([A-Za-z0-9_.:-]+)""", re.I)
 _SPACE = re.compile(r"[^\S\n]+")
 #: Elements that begin a new line of text (fixed values).

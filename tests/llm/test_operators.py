@@ -283,6 +283,32 @@ def test_warc_round_trip(spark):
             assert block.decode() == "One\nTwo & three"
 
 
+@pytest.mark.parametrize(
+    "page,want",
+    [
+        ("<head><title>T</title><body><p>Hello</p>", "Hello"),
+        ("<html><head><title>T</title><meta name=d content='a > b'><link rel=x><p>Hello</p><div>you</div>", "Hello\nyou"),
+        ("<head><style>x</style>Hello", "Hello"),
+        ("<head lang=en><title>T</title><script>x</script></head><body>Hello</body>", "Hello"),
+        ('<head><meta content="1 > 0"></head>Hello', "Hello"),
+        ("<title-bar>Menu</title-bar><p>One</p><template-x>two</template-x><head-line>three</head-line>", "Menu\nOne\ntwothree"),
+        ("<p-x>a</p-x>b<script-y>c</script-y><style>no</style >d", "abc d"),
+        ("<script>x</script-not></script>Hello", "Hello"),
+        ("<p>One</p><script>never closed <p>no</p>", "One"),
+        ("<a href=x\">Hello</a> 1 < 2", "Hello 1 < 2"),
+    ],
+)
+def test_plain_text_of_open_heads_and_custom_elements(page, want):
+    assert warc.plain_text(page) == want
+
+
+def test_title_and_links_of_custom_elements(spark):
+    page = "<head><title-bar>No</title-bar><a-b href=/no></a-b><title>Yes</title><body><a href=/yes>x</a>"
+    out = warc.derivatives(warc.responses(spark.createDataFrame([(1, "http://a/", page)], "page_id long, url string, html string")))
+    (_, meta), = warc.parse(io.BytesIO(bytes(out.where("record_type = 'metadata'").first()["record"])))
+    assert "title: Yes\r\n" in meta.decode() and "outlink: /yes\r\n" in meta.decode() and "/no" not in meta.decode()
+
+
 def test_chat_odd(spark):
     rows = [(1, 0, "user", "Hello there\nfriend"), (1, 1, "bot", "> hello   there\n> friend\nyes"), (1, 2, "user", ">> hello there\n>> friend\n> yes\nok"), (1, 2, "user", None), (None, 1, "x", "> yes"), (2, None, None, "")]
     got = [tuple(r) for r in chat.reply_ordered(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()]
