@@ -3,7 +3,9 @@
 A line's quote level is the number of `>` in front of it. Neighbouring lines of one level
 form a passage; blank lines part passages. Quoted passages are normalised, hashed and joined
 to the unquoted passages and whole bodies of the conversation's messages; a passage's
-original is the earliest message that holds it. A message answers the original of its
+original is the earliest message that holds it. A passage that is nowhere whole is joined by
+its pieces (lines and sentences) to the pieces of unquoted passages: a piece's original is the
+earliest message that holds it, the passage's the latest of these. A message answers the original of its
 shallowest linked quote (of several, the latest). Only DataFrame functions are used.
 """
 
@@ -17,6 +19,8 @@ from .shared import cut
 _SEP = "\x00"
 _WHITE = " \t\x0b\x0c\r"
 _KEY = ["conv_id", "turn", "m"]
+#: Conversations with quotes that may be broadcast (8 bytes each); beyond it all are searched.
+BROADCAST_CONVERSATIONS = 1_000_000
 
 
 def _normal(text: Column) -> Column:
@@ -35,7 +39,8 @@ def messages(conversations: DataFrame) -> DataFrame:
 
 
 def passages(msgs: DataFrame) -> DataFrame:
-    """(conv_id, turn, m, level, passage): the normalised passages that are not empty."""
+    """(conv_id, turn, m, at, level, passage, raw): the passages that are not empty, normalised
+    and with their lines as they stand; `at` tells a message's passages apart."""
     rows = msgs.select(*_KEY, F.split(F.translate(F.coalesce("text", F.lit("")), _SEP, " "), "\n").alias("lines"))
     front = lambda line: F.regexp_extract(line, "^((?:[ \\t]*>)*)", 1)
     rows = rows.select(*_KEY, F.transform("lines", front).alias("fronts"), "lines")
@@ -47,8 +52,9 @@ def passages(msgs: DataFrame) -> DataFrame:
     # a separator and the level wherever a passage begins; `before` is the line above
     rows = rows.select(*_KEY, "levels", "bare", F.concat(F.array(F.lit(-1)), "levels").alias("before"), F.concat(F.array(F.lit("")), "bare").alias("above"))
     begins = F.zip_with(F.arrays_zip("levels", "bare"), F.arrays_zip("before", "above"), lambda a, b: F.when(a["levels"].isNull(), "").when((a["levels"] != b["before"]) | (a["bare"] == "") | (b["above"] == ""), F.concat(F.lit(_SEP), a["levels"].cast("string"), F.lit(":"), a["bare"])).otherwise(F.concat(F.lit("\n"), a["bare"])))
-    rows = rows.select(*_KEY, F.explode(F.split(F.array_join(begins, ""), _SEP)).alias("p"))
-    rows = rows.select(*_KEY, F.substring_index("p", ":", 1).try_cast("int").alias("level"), _normal(F.regexp_replace("p", "^[0-9]*:", "")).alias("passage"))
+    rows = rows.select(*_KEY, F.posexplode(F.split(F.array_join(begins, ""), _SEP)).alias("at", "p"))
+    raw = F.regexp_replace("p", "^[0-9]*:", "")
+    rows = rows.select(*_KEY, "at", F.substring_index("p", ":", 1).try_cast("int").alias("level"), _normal(raw).alias("passage"), raw.alias("raw"))
     return rows.where("level IS NOT NULL AND passage <> ''")
 
 
@@ -58,14 +64,35 @@ def body(text: Column) -> Column:
     return F.array_join(F.filter(lines, lambda line: ~line.rlike("^[ \\t]*>")), "\n")
 
 
+def pieces(units: DataFrame, *keys: str) -> DataFrame:
+    """(*keys, h1, h2): the hashes of each passage's lines, their sentences and its own."""
+    sentences = lambda text: F.split(text, "(?<=[.!?]) ")
+    lines = F.transform(F.split("raw", "\n"), _normal)
+    rows = units.select(*keys, lines.alias("lines"), sentences(F.col("passage")).alias("own"))
+    parts = F.array_distinct(F.concat("lines", F.flatten(F.transform("lines", sentences)), "own"))
+    return rows.select(*keys, F.explode(parts).alias("piece")).where("piece <> ''").select(*keys, *_hashes(F.col("piece")))
+
+
+def _firsts(original: DataFrame) -> DataFrame:
+    return original.groupBy("conv_id", "h1", "h2").agg(F.min(F.struct("turn", "m")).alias("first"))
+
+
 def links(msgs: DataFrame) -> DataFrame:
     """(conv_id, turn, m, reply_turn, reply_m, n_quotes, n_linked) of messages with quotes."""
-    units = passages(msgs)
-    whole = msgs.select(*_KEY, F.lit(0).alias("level"), _normal(body(F.col("text"))).alias("passage")).where("passage <> ''")
-    original = units.where("level = 0").unionAll(whole).select(*_KEY, *_hashes(F.col("passage")))
-    first = original.groupBy("conv_id", "h1", "h2").agg(F.min(F.struct("turn", "m")).alias("first"))
-    quoted = units.where("level > 0").select(*_KEY, "level", *_hashes(F.col("passage")))
-    found = quoted.join(first, ["conv_id", "h1", "h2"], "left").withColumn("first", F.when(F.col("first.turn") < F.col("turn"), F.col("first")))
+    quoted = cut(passages(msgs.where(F.col("text").rlike("(?:^|\n)[ \t]*>"))).where("level > 0"))
+    asked = quoted.select("conv_id").distinct()
+    if asked.limit(BROADCAST_CONVERSATIONS + 1).count() <= BROADCAST_CONVERSATIONS:
+        msgs = msgs.join(F.broadcast(asked), "conv_id", "left_semi")
+    units = passages(msgs).where("level = 0")
+    whole = msgs.select(*_KEY, _normal(body(F.col("text"))).alias("passage")).where("passage <> ''")
+    first = _firsts(units.select(*_KEY, "passage").unionAll(whole).select(*_KEY, *_hashes(F.col("passage"))))
+    before = F.when(F.col("first.turn") < F.col("turn"), F.col("first"))
+    found = cut(quoted.select("*", *_hashes(F.col("passage"))).join(first, ["conv_id", "h1", "h2"], "left").withColumn("first", before).drop("h1", "h2"))
+    # of what is nowhere whole, the latest original of a piece
+    parts = pieces(found.where("first IS NULL"), *_KEY, "at").join(_firsts(pieces(units, *_KEY)), ["conv_id", "h1", "h2"]).where("first.turn < turn")
+    late = parts.groupBy(*_KEY, "at").agg(F.min(F.struct((-F.col("first.turn")).alias("late"), F.col("first.m").alias("m"))).alias("part"))
+    found = found.select(*_KEY, "at", "level", "first").join(late, [*_KEY, "at"], "left")
+    found = found.withColumn("first", F.coalesce("first", F.when(F.col("part").isNotNull(), F.struct((-F.col("part.late")).alias("turn"), F.col("part.m").alias("m")))))
     # the shallowest level, then the latest original
     choice = F.min(F.when(F.col("first").isNotNull(), F.struct("level", (-F.col("first.turn")).alias("late"), F.col("first.m").alias("m"))))
     out = found.groupBy(*_KEY).agg(choice.alias("to"), F.count(F.lit(1)).alias("n_quotes"), F.count("first").alias("n_linked"))

@@ -315,3 +315,61 @@ def test_chat_odd(spark):
     assert len(got) == 6
     by = {(r[0], r[1], r[8]): r for r in got}
     assert by[1, 1, "yes"][4] == 0 and by[1, 2, "ok"][4] == 1 and by[1, 2, "ok"][5] == 0
+
+
+CHAT = "conv_id long, turn long, role string, text string"
+
+
+def test_chat_links_parts_of_paragraphs(spark):
+    """Interleaved, nested, trimmed, re-wrapped and shortened quotes: (reply_to, root, quotes, linked)."""
+    rows = [
+        (1, 0, "a", "A\nB"),
+        (1, 1, "b", "> A\nyes\n> B\nno"),
+        (1, 2, "a", ">> B\n> no\nwhy"),
+        (2, 0, "a", "First line\nIt works. Is it fast? I think\nso, mostly."),
+        (2, 1, "b", "Other words\nA"),
+        (2, 2, "c", "> is it FAST?\nyes"),
+        (2, 3, "d", "> It works.  Is it fast?\n> I think so, mostly.\nre-wrapped"),
+        (2, 4, "e", "> [...]\n> other words\nshortened"),
+        (2, 5, "f", "> yes\n> re-wrapped\nthe latest original of the lines"),
+        (2, 6, "g", "> nobody said this\n\n> First line\n\n> First line\nx"),
+        (2, 7, "h", "> later words\nnot yet said"),
+        (2, 8, "i", "later words"),
+        (3, 0, "a", "A"),
+        (3, 1, "a", "> B\nin another conversation"),
+    ]
+    got = {(r["conv_id"], r["turn"]): (r["reply_to"], r["root_turn"], r["n_quotes"], r["n_linked"]) for r in chat.reply_ordered(spark.createDataFrame(rows, CHAT)).collect()}
+    quoted = {
+        (1, 1): (0, 0, 2, 2),
+        (1, 2): (1, 0, 2, 2),
+        (2, 2): (0, 0, 1, 1),
+        (2, 3): (0, 0, 1, 1),
+        (2, 4): (1, 1, 1, 1),
+        (2, 5): (3, 0, 1, 1),
+        (2, 6): (0, 0, 3, 2),
+        (2, 7): (None, 7, 1, 0),
+        (3, 1): (None, 1, 1, 0),
+    }
+    assert got == {(c, t): quoted.get((c, t), (None, t, 0, 0)) for c, t, *_ in rows}
+
+
+@pytest.mark.parametrize("most", [0, 10])
+def test_chat_whole_quotes_against_sql(spark, monkeypatch, most):
+    """The SQL's own rule: quotes of whole paragraphs and bodies, nested ones included."""
+    monkeypatch.setattr(chat, "BROADCAST_CONVERSATIONS", most)
+    rows = [
+        (1, 0, "a", "One line\nof two\n\nSecond paragraph"),
+        (1, 1, "b", "> one  line\n> of two\nyes"),
+        (1, 2, "a", ">> One line\n>> of two\n> yes\nok"),
+        (1, 3, "c", "> One line\n> of two\n> Second paragraph\nwhole body"),
+        (1, 4, "d", "> never said\n> so\nhm"),
+        (1, 5, "b", "> ok\n\n> whole body\nthe latest"),
+        (2, 0, "a", "> ok\nno such"),
+    ]
+    df = spark.createDataFrame(rows, CHAT)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    out = chat.reply_ordered(df)
+    want = con.execute(f"SELECT {', '.join(out.columns)} FROM ({queries.ORACLES['op3_chat_quotations']})").fetchall()
+    assert Counter(map(tuple, out.collect())) == Counter(want) and any(r[4] is not None for r in want)
