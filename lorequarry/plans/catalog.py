@@ -245,6 +245,15 @@ def vector_topk(spark, t):
     return vectors.top_k(scope.scoped(corpus, {"label": [0, 1, 2, 3]}), asked, 8).select("vec_id", "label")
 
 
+@query("""
+SELECT * FROM (SELECT q.vec_id AS query_id, c.vec_id, row_number() OVER (PARTITION BY q.vec_id
+  ORDER BY round(list_cosine_similarity(c.embedding::DOUBLE[], q.embedding::DOUBLE[]), 9) DESC, c.vec_id) AS rank
+  FROM embeddings q, embeddings c WHERE q.vec_id % 50 = 0) WHERE rank <= 8""")
+def vector_topk_each(spark, t):
+    corpus = t("embeddings")
+    return vectors.top_k_each(corpus, corpus.where("vec_id % 50 = 0"), 8).select("query_id", "vec_id", "rank")
+
+
 @query("SELECT o_orderpriority, o_orderstatus, count(*) FILTER (WHERE o_orderstatus IN ('F','O')) AS allowed, count(*) FILTER (WHERE o_orderstatus NOT IN ('F','O')) AS leaked FROM orders GROUP BY 1, 2")
 def leak_count(spark, t):
     ok = F.array_contains(F.array(F.lit("F"), F.lit("O")), F.col("o_orderstatus"))

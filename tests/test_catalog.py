@@ -70,6 +70,25 @@ def test_vectors_without_length_are_left_out(spark):
     assert [r["vec_id"] for r in vectors.top_k(df, [2.0, 0.0], 5).collect()] == [2, 3]
 
 
+def test_vector_search_of_many_equals_brute_force(spark, monkeypatch):
+    """Ties, more queries and rows than a block, odd vectors, fewer rows than k."""
+    monkeypatch.setattr(vectors, "QUERY_BLOCK", 3)
+    monkeypatch.setattr(vectors, "ROW_BLOCK", 5)
+    rows = [(i, [float(i % 3), float(i % 4), 1.0]) for i in range(40)]
+    odd = [(90, None), (91, [0.0, 0.0, 0.0]), (92, [1.0, None, 1.0]), (93, [1.0, 2.0]), (None, [1.0, 1.0, 1.0])]
+    df = spark.createDataFrame([*reversed(rows), *odd], "vec_id long, embedding array<float>").repartition(3)
+
+    def cosine(a, b):
+        return round(sum(x * y for x, y in zip(a, b)) / (sum(x * x for x in a) ** 0.5 * sum(y * y for y in b) ** 0.5), 9)
+
+    for k in (1, 7, 60):
+        want = {(q, r, i) for q, v in rows if q % 5 == 0 for r, (_, i) in enumerate(sorted((-cosine(v, w), i) for i, w in rows)[:k], 1)}
+        got = [(r["query_id"], r["rank"], r["vec_id"]) for r in vectors.top_k_each(df, df.where("vec_id % 5 = 0"), k).collect()]
+        assert len(got) == len(set(got)) and {x for x in got if x[0] < 90} == want
+    assert vectors.top_k_each(df, df.limit(0), 3).count() == 0 and vectors.top_k_each(df.limit(0), df, 3).count() == 0
+
+
+
 def test_files(spark, tmp_path):
     (tmp_path / "a.csv").write_text('k,v\n1,"two\nlines"\n2,"a ""b"""\n')
     assert {r["k"]: r["v"] for r in readers.csv_table(spark, str(tmp_path / "a.csv"), "k int, v string").collect()} == {1: "two\nlines", 2: 'a "b"'}
