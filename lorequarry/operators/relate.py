@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from .lineage import cut
@@ -24,10 +24,47 @@ def difference(left: DataFrame, right: DataFrame, keys: Sequence[str], values: S
     return both.select(*keys, status.alias("status"))
 
 
+def ranges(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """`df` with `_range`: its part of the order by key and `order`; a key with many rows spans several."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return cut(df.repartitionByRange(parts, key, *order)).withColumn("_range", F.spark_partition_id())
+
+
+def with_carry(ranged: DataFrame, key: str, own: Column, before: Callable[[Column, WindowSpec], Column]) -> DataFrame:
+    """Adds `_carry`: `before` over the aggregate `own` of the key's earlier ranges (null: none).
+
+    Only the keys that span ranges have one, at most as many rows as there are ranges and their keys.
+    """
+    split = ranged.select("_range", key).distinct().groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col(key).alias("_k"))
+    owns = ranged.join(F.broadcast(split), F.col(key).eqNullSafe(F.col("_k")), "left_semi").groupBy("_range", key).agg(own.alias("_own"))
+    w = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    at = cut(owns.select(F.col("_range").alias("_r"), F.col(key).alias("_k"), before(F.col("_own"), w).alias("_carry")))
+    return ranged.join(F.broadcast(at), (F.col("_range") == F.col("_r")) & F.col(key).eqNullSafe(F.col("_k")), "left").drop("_r", "_k")
+
+
 def latest_before(events: DataFrame, key: str, order: Sequence[str], is_mark, value: str, name: str) -> DataFrame:
     """Adds `name`: `value` of the key's last marked row at or before each row (floor lookup)."""
-    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return events.withColumn(name, F.last(F.when(is_mark, F.col(value)), ignorenulls=True).over(w))
+    marked = F.when(is_mark, F.col(value))
+    own = F.max_by(marked, F.when(marked.isNotNull(), F.struct(*order)))
+    rows = with_carry(ranges(events, key, order), key, own, lambda c, w: F.last(c, ignorenulls=True).over(w))
+    w = Window.partitionBy("_range", key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn(name, F.coalesce(F.last(marked, ignorenulls=True).over(w), "_carry")).drop("_range", "_carry")
+
+
+def row_before(df: DataFrame, key: str, order: Sequence[str], value: str, name: str) -> DataFrame:
+    """Adds `name`: `value` of the key's row before each row, null at the first."""
+    rows = with_carry(ranges(df, key, order), key, F.max_by(F.struct(value), F.struct(*order)), lambda c, w: F.last(c).over(w))
+    w = Window.partitionBy("_range", key).orderBy(*order)
+    first = F.row_number().over(w) == 1
+    return rows.withColumn(name, F.when(first, F.col("_carry")[value]).otherwise(F.lag(value).over(w))).drop("_range", "_carry")
+
+
+def running_count(df: DataFrame, key: str, order: Sequence[str], condition: Column, name: str) -> DataFrame:
+    """Adds `name`: how many of the key's rows up to each row meet the condition."""
+    one = F.when(condition, 1).otherwise(0)
+    rows = with_carry(ranges(df, key, order), key, F.sum(one), lambda c, w: F.sum(c).over(w))
+    w = Window.partitionBy("_range", key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn(name, F.sum(one).over(w) + F.coalesce("_carry", F.lit(0))).drop("_range", "_carry")
 
 
 def below(edges: DataFrame, start: DataFrame) -> DataFrame:

@@ -123,7 +123,7 @@ def mirror_diff(spark, t):
 SELECT event_id, user_id, last_value(CASE WHEN event_type = 'purchase' THEN event_id END IGNORE NULLS)
   OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS last_purchase FROM events""")
 def floor_lookup(spark, t):
-    out = relate.latest_before(t("events"), "user_id", ["ts", "event_id"], F.col("event_type") == "purchase", "event_id", "last_purchase")
+    out = relate.latest_before(t("events").select("event_id", "user_id", "ts", "event_type"), "user_id", ["ts", "event_id"], F.col("event_type") == "purchase", "event_id", "last_purchase")
     return out.select("event_id", "user_id", "last_purchase")
 
 
@@ -200,15 +200,15 @@ def most_common(spark, t):
 SELECT before, event_type AS after, count(*) AS n FROM (SELECT event_type, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS before FROM events)
 WHERE before IS NOT NULL GROUP BY 1, 2""")
 def transition_matrix(spark, t):
-    before = F.lag("event_type").over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
-    return t("events").select(before.alias("before"), F.col("event_type").alias("after")).where("before IS NOT NULL").groupBy("before", "after").agg(F.count(F.lit(1)).alias("n"))
+    rows = relate.row_before(t("events").select("user_id", "ts", "event_id", "event_type"), "user_id", ["ts", "event_id"], "event_type", "before")
+    return rows.select("before", F.col("event_type").alias("after")).where("before IS NOT NULL").groupBy("before", "after").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("""
 SELECT event_id, user_id, sum(CASE WHEN event_type = 'login' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)::BIGINT AS section FROM events""")
 def section_ids(spark, t):
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
-    return t("events").select("event_id", "user_id", F.sum(F.when(F.col("event_type") == "login", 1).otherwise(0)).over(w).alias("section"))
+    rows = t("events").select("event_id", "user_id", "ts", "event_type")
+    return relate.running_count(rows, "user_id", ["ts", "event_id"], F.col("event_type") == "login", "section").select("event_id", "user_id", "section")
 
 
 @query("SELECT event_id, user_id, event_type FROM events ORDER BY ts DESC, event_id DESC LIMIT 15")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text
@@ -172,8 +171,8 @@ WITH x AS (SELECT conv_id, turn, coalesce(text, '') AS text, coalesce(lag(text)
 y AS (SELECT *, list_filter(list_transform(regexp_split_to_array(quote, '[,.;!?]'), lambda p: trim(p, ' ')), lambda p: length(p) >= 6) AS ps FROM x)
 SELECT conv_id, turn, CASE WHEN len(ps) > 0 THEN round(len(list_filter(ps, lambda p: contains(text, p)))::DOUBLE / len(ps), 4) ELSE 0.0 END AS rate FROM y""")
 def phrase_hit_rate(spark, t):
-    before = F.coalesce(F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn", "role", "text")), F.lit(""))
-    rows = t("conversations").select("conv_id", "turn", F.coalesce("text", F.lit("")).alias("text"), before.alias("quote"))
+    rows = relate.row_before(t("conversations").select("conv_id", "turn", "role", "text"), "conv_id", ["turn", "role", "text"], "text", "quote")
+    rows = rows.select("conv_id", "turn", F.coalesce("text", F.lit("")).alias("text"), F.coalesce("quote", F.lit("")).alias("quote"))
     return rows.select("conv_id", "turn", F.round(text.hit_rate(F.col("text"), text.phrases(F.col("quote"), 6)), 4).alias("rate"))
 
 

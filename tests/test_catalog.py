@@ -113,3 +113,22 @@ def test_append_twice_adds_once(spark, tmp_path):
     assert writers.publish({"t": rows}, str(tmp_path), "v1") == {"t": 3}
     with pytest.raises(ValueError):
         writers.publish({"t": rows}, str(tmp_path), "")
+
+
+def test_hot_key_spans_ranges(spark):
+    """Running values of a key with most rows (and of null) are carried from range to range."""
+    rows = [(1 if i % 4 else None if i % 8 else i, i, "m" if i in (5, 12, 300) else None if i % 7 == 0 else f"v{i}") for i in range(800)]
+    df = spark.createDataFrame(rows, "k long, i long, v string").repartition(5)
+    assert relate.ranges(df, "k", ["i"]).where("k = 1").groupBy("_range").count().agg(F.max("count")).first()[0] < 400
+    last, count, before = {}, {}, {}
+    want = {}
+    for k, i, v in rows:
+        last[k] = i if v == "m" else last.get(k)
+        count[k] = count.get(k, 0) + (v == "m")
+        want[i] = (last[k], count[k], before.get(k))
+        before[k] = v
+    mark = F.col("v") == "m"
+    a = {r["i"]: r["x"] for r in relate.latest_before(df, "k", ["i"], mark, "i", "x").collect()}
+    b = {r["i"]: r["x"] for r in relate.running_count(df, "k", ["i"], mark, "x").collect()}
+    c = {r["i"]: r["x"] for r in relate.row_before(df, "k", ["i"], "v", "x").collect()}
+    assert {i: (a[i], b[i], c[i]) for i in a} == want
