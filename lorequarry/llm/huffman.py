@@ -24,8 +24,8 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import cut, part_bounds, part_of, small_batches
-from .tokens import END_ID, encoded, word_tokenizer
+from .shared import checkpoint_folder, cut, lean, part_bounds, small_batches
+from .tokens import END_ID, word_tokenizer
 
 LIMIT, INTERVAL, BLOCK_IDS = 20, 256, 1 << 18
 _MAGIC = b"LQH1"
@@ -142,30 +142,39 @@ class Decoder:
         return [None if z else d for d, z in zip(docs, nulls)], counts, out
 
 
-def _staged(path: str):
-    """Documents to compressed rows of many documents' ids."""
+def _staged(path: str, bounds: list):
+    """Documents to compressed rows of many documents' ids, and a task's counts of ids as its last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = word_tokenizer(path)
         end = np.array([END_ID], tok.dtype).tobytes()
-        pack = zstandard.ZstdCompressor(level=3)
+        pack = zstandard.ZstdCompressor(level=1)
+        total, edges = np.zeros(tok.size, np.int64), np.array(bounds, np.int64)
+        names = ["part", "docs", "size", "ids", "seen", "n"]
 
-        def row(part, docs, ids):
+        def row(docs, ids):
             size = [len(x) // tok.dtype.itemsize for x in ids]
-            body = np.frombuffer(b"".join(ids), "u1").reshape(-1, tok.dtype.itemsize).T.tobytes()
-            return pa.RecordBatch.from_arrays([pa.array([part], pa.list_(pa.int32())), pa.array([docs], pa.list_(pa.int64())), pa.array([size], pa.list_(pa.int32())), pa.array([pack.compress(body)], pa.binary())], ["part", "docs", "size", "ids"])
-
-        part, docs, ids, held = [], [], [], 0
+            body = b"".join(ids)
+            np.add(total, np.bincount(np.frombuffer(body, tok.dtype), minlength=tok.size), out=total)
+            body = np.frombuffer(body, "u1").reshape(-1, tok.dtype.itemsize).T.tobytes()
+            part = np.searchsorted(edges, np.array([d or 0 for d in docs], np.int64), side="right").astype(np.int32)
+            part[[d is None for d in docs]] = 0
+            cells = (pa.array([part.tolist()], pa.list_(pa.int32())), pa.array([docs], pa.list_(pa.int64())), pa.array([size], pa.list_(pa.int32())), pa.array([pack.compress(body)], pa.binary()))
+            return pa.RecordBatch.from_arrays([*cells, pa.nulls(1, pa.list_(pa.int64())), pa.nulls(1, pa.list_(pa.int64()))], names)
+
+        docs, ids, held = [], [], 0
         for batch in batches:
-            for p, d, t in zip(batch.column("part").to_pylist(), batch.column("doc_id").to_pylist(), encoded(tok, batch.column("text").to_pylist())):
-                x = t + end
-                part.append(p), docs.append(d), ids.append(x)
-                held += len(x)
+            for d, t in zip(batch.column("doc_id").to_pylist(), tok.many(batch.column("text").to_pylist())):
+                docs.append(d), ids.append(t + end)
+                held += len(t)
                 if held > 1 << 19:
-                    yield row(part, docs, ids)
-                    part, docs, ids, held = [], [], [], 0
+                    yield row(docs, ids)
+                    docs, ids, held = [], [], 0
         if docs:
-            yield row(part, docs, ids)
+            yield row(docs, ids)
+        seen = np.flatnonzero(total)
+        none = [pa.nulls(1, k) for k in (pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary())]
+        yield pa.RecordBatch.from_arrays([*none, pa.array([seen.tolist()], pa.list_(pa.int64())), pa.array([total[seen].tolist()], pa.list_(pa.int64()))], names)
 
     return run
 
@@ -175,19 +184,6 @@ def _unpack(raw: bytes, dtype: np.dtype) -> np.ndarray:
     return np.ascontiguousarray(body.T).reshape(-1).view(dtype)
 
 
-def _tally(path: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = word_tokenizer(path)
-        total = np.zeros(tok.size, np.int64)
-        for batch in batches:
-            for raw in batch.column("ids").to_pylist():
-                total += np.bincount(_unpack(raw, tok.dtype), minlength=tok.size)
-        full = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(total[full])], ["id", "n"])
-
-    return run
-
-
 def _encoded(path: str, book):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok, lengths = word_tokenizer(path), book.value
@@ -235,18 +231,19 @@ def write_ids(docs: DataFrame, path: str, folder: str, parts: int | None = None)
     spark = small_batches(docs).sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     bounds = part_bounds(docs, "doc_id", parts)
-    staged = docs.select(part_of(F.col("doc_id"), bounds).cast("int").alias("part"), "doc_id", "text")
-    staged = cut(staged.mapInArrow(_staged(path), "part array<int>, docs array<long>, size array<int>, ids binary"))
-    counted = staged.select("ids").mapInArrow(_tally(path), "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+    schema = "part array<int>, docs array<long>, size array<int>, ids binary, seen array<long>, n array<long>"
+    staged = cut(docs.select("doc_id", "text").mapInArrow(lean(_staged(path, bounds)), schema))
+    counted = staged.where("seen IS NOT NULL").select(F.explode(F.arrays_zip("seen", "n")).alias("c"))
+    counted = counted.groupBy(F.col("c.seen").alias("id")).agg(F.sum("c.n").alias("n")).toArrow()
     counts = np.zeros(word_tokenizer(path).size, np.int64)  # bounded by the vocabulary
     counts[np.asarray(counted["id"])] = np.asarray(counted["n"])
     lengths = code_lengths(counts)
     book = spark.sparkContext.broadcast(lengths)
     used = np.flatnonzero(lengths)
     spark.createDataFrame(pa.table({"id": used.astype(np.int64), "bits": lengths[used].astype(np.int32)})).coalesce(1).write.parquet(f"{folder}/codebook")
-    coded = staged.mapInArrow(_encoded(path, book), "part int, doc_id long, n long, code binary, marks binary")
-    ordered = coded.repartition(max(parts, 1), "part").sortWithinPartitions("part", "doc_id", "n", "code")
-    ordered.mapInArrow(_blocks, "part int, begin long, n_ids long, block binary").write.option("compression", "uncompressed").parquet(f"{folder}/blocks")
+    coded = staged.where("ids IS NOT NULL").select("part", "docs", "size", "ids").mapInArrow(lean(_encoded(path, book)), "part int, doc_id long, n long, code binary, marks binary")
+    ordered = coded.repartitionById(max(parts, 1), F.col("part")).sortWithinPartitions("part", "doc_id", "n", "code")
+    ordered.mapInArrow(lean(_blocks), "part int, begin long, n_ids long, block binary").write.option("compression", "uncompressed").parquet(f"{folder}/blocks")
 
 
 def read_ids(spark: SparkSession, folder: str) -> DataFrame:
@@ -274,10 +271,9 @@ def read_ids(spark: SparkSession, folder: str) -> DataFrame:
                 crc = [zlib.crc32(found[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
                 yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(offsets.value[part] + begin + at[:-1]), pa.array(counts), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return blocks.select("part", "begin", "block").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return blocks.select("part", "begin", "block").mapInArrow(lean(run), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def fresh_folder(spark: SparkSession) -> str:
     """A new folder among the shared ones; its files are the caller's to delete."""
-    cut(spark.range(0))
-    return f"{spark.sparkContext.getCheckpointDir()}/ids-{uuid.uuid4().hex}"
+    return f"{checkpoint_folder(spark)}/ids-{uuid.uuid4().hex}"

@@ -28,13 +28,20 @@ _BYTE = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint6
 _powers = [np.ones(1, _U), np.ones(1, _U)]
 
 
-def _power(which: int, n: int) -> np.ndarray:
+#: Powers that a worker keeps; those for a longer text are made for it alone.
+KEPT_POWERS = 1 << 20
+
+
+def power(which: int, n: int) -> np.ndarray:
     """The first n powers of the base (0) or its inverse (1), modulo 2^64."""
-    if len(_powers[which]) < n:
-        steps = np.full(max(1 << 19, 1 << (n - 1).bit_length()), (_BASE, _INVERSE)[which], dtype=_U)
-        steps[0] = 1
-        _powers[which] = np.cumprod(steps, dtype=_U)
-    return _powers[which][:n]
+    if len(_powers[which]) >= n:
+        return _powers[which][:n]
+    steps = np.full(max(n, KEPT_POWERS), (_BASE, _INVERSE)[which], dtype=_U)
+    steps[0] = 1
+    made = np.cumprod(steps, dtype=_U)
+    if len(made) == KEPT_POWERS:
+        _powers[which] = made
+    return made[:n]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -63,8 +70,8 @@ def words(data: np.ndarray, offsets: np.ndarray, fold: np.ndarray = _FOLD) -> tu
     ends[:-1] &= ~solid[1:] | first[1:n]
     s, e = np.flatnonzero(starts), np.flatnonzero(ends) + 1
     prefix = np.zeros(n + 1, _U)
-    np.cumsum(_BYTE[folded] * _power(0, n), dtype=_U, out=prefix[1:])
-    h = (prefix[e] - prefix[s]) * _power(1, n)[s]
+    np.cumsum(_BYTE[folded] * power(0, n), dtype=_U, out=prefix[1:])
+    h = (prefix[e] - prefix[s]) * power(1, n)[s]
     h = mix(h + (e - s).astype(_U) * _U(0xD6E8FEB86659FD93))
     return h, np.searchsorted(s, offsets).astype(np.int64), s, e
 

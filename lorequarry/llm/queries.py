@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat, decontam, huffman, langid, linededup, minhash, packing, quality, simhash, warc
-from .shared import table
+from .shared import cut, remove, table
+
+
+def _remainder(n: int, r: int) -> Column:
+    """Whether crc32(doc_id as text) mod n is r; a null doc_id has no remainder: false."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % n == r, F.lit(False))
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,7 +38,7 @@ FROM judged GROUP BY doc_id
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    docs = docs.withColumn("held_out", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1)
+    docs = docs.withColumn("held_out", _remainder(3, 1))
     model = langid.train(docs.where("NOT held_out"))
     return langid.predict(docs.select("doc_id", "held_out", "text"), model).select("doc_id", "held_out", "lang_pred", "score")
 
@@ -55,7 +60,9 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = huffman.fresh_folder(spark)
     huffman.write_ids(table(spark, sf_dir, "documents"), word_bpe(), folder)
-    return huffman.read_ids(spark, folder)
+    out = cut(huffman.read_ids(spark, folder))
+    remove(spark, folder)
+    return out
 
 
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +75,7 @@ def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    held_out = _remainder(5, 0)
     model = quality.train(docs, labels.where(~held_out))
     out = quality.score(docs, model)
     return out.select("doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
@@ -99,7 +106,8 @@ bodies AS (
   FROM lines GROUP BY id, conv_id, turn),
 normal AS (
   SELECT id, conv_id, turn, level, quoted, trim(regexp_replace(translate(p, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[ 	
-]+', ' ', 'g')) AS p
+
+]+', ' ', 'g')) AS p
   FROM (SELECT *, level > 0 AS quoted FROM passages UNION ALL SELECT id, conv_id, turn, 0, body, false FROM bodies)),
 units AS (SELECT * FROM normal WHERE p <> '' AND conv_id IS NOT NULL AND turn IS NOT NULL),
 firsts AS (SELECT conv_id, p, min(turn) AS first FROM units WHERE NOT quoted GROUP BY conv_id, p),

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import re
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -15,19 +19,61 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write `df` once to the cluster's shared checkpoint folder and go on from there.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder that the session names, in setCheckpointDir or spark.checkpoint.dir.
 
-    The folder is the one the session names in spark.checkpoint.dir; only where none is
-    named (a local test) is one made.
+    Only a local session, whose driver runs all tasks, gets one made where none is named.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if not sc.getCheckpointDir():
         named = sc.getConf().get("spark.checkpoint.dir")
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="lorequarry-checkpoint-"))
+        if not named and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="lorequarry-"))
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write `df` once to the cluster's shared checkpoint folder and go on from there."""
+    checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a shared folder and what is in it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of `df` has, whatever its case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def lean(run: Callable) -> Callable:
+    """A mapInArrow function that gives freed memory back to the machine when its task ends.
+
+    Python workers outlive tasks, and both Arrow's pool and the C library keep what they freed.
+    """
+
+    @wraps(run)
+    def leaner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # another C library
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return leaner
+
+
 #: Rows and bytes of an Arrow batch that carries whole texts.
 BATCH_ROWS, BATCH_BYTES = 1000, "8m"
 
