@@ -7,7 +7,8 @@ the passage holds, and one threshold serves all items. The index keeps, for each
 greatest weight in each block of neighbouring items; a passage and block whose greatest
 weights sum to less than the threshold are passed over at once, in numpy for many passages;
 the others are searched by WAND's pivots. All items at or above the threshold are retrieved,
-and verified by the parts of the question's and the answer's word runs that the passage holds.
+and verified by the parts of the question's and of the answer's word runs that the passage
+holds, each by its own threshold. All indexes are searched in one pass over the documents.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .shared import row_chunks, small_batches, text_bytes
+from .shared import lean, row_chunks, small_batches, text_bytes
 
 #: Words of items in one broadcast index (about 200 bytes each); more items make more indexes.
 SHARD_WORDS = 200_000
@@ -67,9 +68,9 @@ def _runs(words: np.ndarray, k: int) -> np.ndarray:
 class Index:
     """Postings with BM25 weights by word, greatest weights by word and block, item word runs."""
 
-    def __init__(self, items: list[tuple[int, str]], df: dict[int, int], n_items: int, mean: float, size: int, blocks: int = 128, k1: float = 1.2, b: float = 0.75):
+    def __init__(self, items: list[tuple[int, str]], df: dict[int, int], n_items: int, mean: float, size: int, answer_size: int, blocks: int = 128, k1: float = 1.2, b: float = 0.75):
         words, at = _hashed([t for _, t in items])
-        self.ids, self.size = [i for i, _ in items], size
+        self.ids = [i for i, _ in items]
         self.longest = max([1, *np.diff(at).tolist()])
         self.vocab, code = np.unique(words, return_inverse=True)
         item = np.repeat(np.arange(len(items)), np.diff(at))
@@ -87,9 +88,9 @@ class Index:
         self.parts = []
         for _, t in items:
             own = []
-            for part in question_answer(t):
+            for part, most in zip(question_answer(t), (size, answer_size)):
                 h, _ = _hashed([part])
-                k = min(size, len(h))
+                k = min(most, len(h))
                 own.append((k, _runs(h, k)))
             self.parts.append(own)
 
@@ -127,10 +128,10 @@ class Index:
             cursors = [c for c in cursors if c[0] < hi]
         return found
 
-    def search(self, data: np.ndarray, offsets: np.ndarray, threshold: float, overlap: float) -> Iterator[tuple[int, int, float, float, float]]:
+    def search(self, data: np.ndarray, offsets: np.ndarray, threshold: float, overlap: float, answer_overlap: float) -> Iterator[tuple[int, int, float, float, float]]:
         """(row, item, score, question overlap, answer overlap) of the verified hits, best passage."""
         words, at = _words(data, offsets)
-        if not len(words):
+        if not len(words) or not len(self.vocab):
             return
         code = np.searchsorted(self.vocab, words)
         code[code == len(self.vocab)] = 0
@@ -161,17 +162,20 @@ class Index:
                 passage = words[first : min(at[r + 1], first + 2 * step)]
                 seen = [(len(runs), int(np.isin(runs, _runs(passage, k)).sum())) for k, runs in self.parts[item]]
                 (nq, q), (na, a) = seen
-                if q + a >= overlap * (nq + na) and nq + na:
+                if nq + na and q >= overlap * nq and a >= answer_overlap * na:
                     was = hits.get((r, item), (0.0, 0.0, 0.0))
-                    hits[r, item] = tuple(max(x) for x in zip(was, (score, q / max(nq, 1), a / na if na else q / nq)))
+                    shares = (q / nq if nq else a / na, a / na if na else q / nq)
+                    hits[r, item] = tuple(max(x) for x in zip(was, (score, *shares)))
         for (r, item), values in sorted(hits.items()):
             yield (r, item, *values)
 
 
-def indexes(benchmark: DataFrame, size: int = 5) -> list:
+def indexes(benchmark: DataFrame, size: int = 5, answer_size: int = 3) -> list:
     """Broadcast indexes over all items of `benchmark` (item_id, text) that have words.
 
-    One for every SHARD_WORDS words; document frequencies and mean length are of all items.
+    One for every SHARD_WORDS words; document frequencies and mean length are of all items. An
+    index takes about 200 bytes a word on the driver and in each worker, so a benchmark is
+    bounded by that memory; test items are few beside the documents.
     """
     spark = benchmark.sparkSession
 
@@ -186,7 +190,7 @@ def indexes(benchmark: DataFrame, size: int = 5) -> list:
     if not sizes["n"]:
         return []
     shards = -(-int(sizes["words"]) // SHARD_WORDS)
-    freq = items.mapInArrow(facts, "word long").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    freq = items.mapInArrow(lean(facts), "word long").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     items = items.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)))
     out = []
     for shard in range(shards):
@@ -194,57 +198,60 @@ def indexes(benchmark: DataFrame, size: int = 5) -> list:
         rows = sorted(((r["item_id"], r["text"]) for r in own.collect()), key=lambda r: (r[0] is None, r[0] or 0, r[1]))  # SHARD_WORDS words
         if not rows:
             continue
-        words = own.mapInArrow(facts, "word long").distinct()
+        words = own.mapInArrow(lean(facts), "word long").distinct()
         df = {r["word"]: r["n"] for r in freq.join(words, "word", "left_semi").collect()}
-        out.append(spark.sparkContext.broadcast(Index(rows, df, sizes["n"], sizes["words"] / sizes["n"], size)))
+        out.append(spark.sparkContext.broadcast(Index(rows, df, sizes["n"], sizes["words"] / sizes["n"], size, answer_size)))
     return out
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.4, overlap: float = 0.6, size: int = 5) -> DataFrame:
+def _hits(held: list, column: pa.Array, *limits: float) -> Iterator[tuple]:
+    """(row, item_id, score, question overlap, answer overlap) of a batch's texts, of all indexes."""
+    data, offsets = plain_bytes(column.to_pylist())
+    for lo, hi in row_chunks(offsets, 1 << 20):
+        o = offsets[lo : hi + 1]
+        for index in held:
+            for r, i, *values in index.value.search(data[o[0] : o[-1]], o - o[0], *limits):
+                yield (lo + r, index.value.ids[i], *values)
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.4, overlap: float = 0.6, answer_overlap: float = 0.5, size: int = 5, answer_size: int = 3) -> DataFrame:
     """(doc_id, item_id, score, question_overlap, answer_overlap) of every document and item
-    where a passage of the document scores `threshold` or more for the item and holds at least
-    `overlap` of its question's and answer's runs of `size` words (a shorter part is one run).
+    where a passage of the document scores `threshold` or more for the item, holds at least
+    `overlap` of its question's runs of `size` words and `answer_overlap` of its answer's runs
+    of `answer_size` words (a shorter part is one run; a part without words asks nothing and
+    gets the other's overlap).
 
     Items without words and texts without words match nothing; an item that repeats under
     several ids is reported for each; an item's score and overlaps are the greatest of the
     document's passages. Rows of equal doc_id and rows with a null doc_id are searched each.
-    Empty tables give an empty table. Other columns of both tables are not read.
+    Texts are searched whole, however long. Empty tables give an empty table. Other columns of
+    both tables are not read.
     """
-    schema = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
-    docs, out = small_batches(docs).select("doc_id", "text"), None
-    for held in indexes(benchmark, size):
-
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            index = held.value
-            for batch in batches:
-                data, offsets = plain_bytes(batch.column("text").to_pylist())
-                doc = batch.column("doc_id").to_pylist()
-                rows = []
-                for lo, hi in row_chunks(offsets, 1 << 20):
-                    o = offsets[lo : hi + 1]
-                    rows += [(doc[lo + r], index.ids[i], *v) for r, i, *v in index.search(data[o[0] : o[-1]], o - o[0], threshold, overlap)]
-                kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 5, kinds)], ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
-
-        found = docs.mapInArrow(run, schema)
-        out = found if out is None else out.unionAll(found)
-    return docs.sparkSession.createDataFrame([], schema) if out is None else out
-
-
-def without_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.4, overlap: float = 0.6, size: int = 5) -> DataFrame:
-    """The rows of `docs` whose text leaks no item, with all their columns."""
-    schema = small_batches(docs).schema
-    for held in indexes(benchmark, size):
-
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            index = held.value
-            for batch in batches:
-                data, offsets = plain_bytes(batch.column("text").to_pylist())
-                keep = np.ones(batch.num_rows, bool)
-                for lo, hi in row_chunks(offsets, 1 << 20):
-                    o = offsets[lo : hi + 1]
-                    keep[[lo + r for r, *_ in index.search(data[o[0] : o[-1]], o - o[0], threshold, overlap)]] = False
-                yield batch.filter(pa.array(keep))
-
-        docs = docs.mapInArrow(run, schema)
-    return docs
+    docs, held = small_batches(docs).select("doc_id", "text"), indexes(benchmark, size, answer_size)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
+        for batch in batches:
+            doc = batch.column("doc_id")
+            rows = [(doc[r].as_py(), *v) for r, *v in _hits(held, batch.column("text"), threshold, overlap, answer_overlap)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 5, kinds)], ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
+
+    return docs.mapInArrow(lean(run), "doc_id long, item_id long, score double, question_overlap double, answer_overlap double")
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.4, overlap: float = 0.6, answer_overlap: float = 0.5, size: int = 5, answer_size: int = 3) -> DataFrame:
+    """The rows of `docs` whose text leaks no item (as `leaks` finds them), with all their columns.
+
+    Only `text` goes to Python. Null and wordless texts stay; so do all rows where the benchmark
+    is empty. Repeated rows are judged each.
+    """
+    held = indexes(benchmark, size, answer_size)
+
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in texts:
+            leaky = np.zeros(len(column), bool)
+            leaky[[r for r, *_ in _hits(held, column, threshold, overlap, answer_overlap)]] = True
+            yield pa.array(leaky)
+
+    leaky = F.arrow_udf(lean(run), "boolean")
+    return small_batches(docs).where(~leaky("text"))

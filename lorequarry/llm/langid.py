@@ -13,12 +13,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructType
 
 from .kernels import sum_rows
-from .shared import row_chunks, small_batches, text_bytes
+from .shared import lean, row_chunks, small_batches, text_bytes, unused
 
-#: Languages that a model may have: what the driver holds and broadcasts is this times 2^bits.
+#: Languages that a model may have unless `max_languages` says otherwise: what the driver holds
+#: and broadcasts is this many times 2^bits numbers.
 MAX_LANGUAGES = 512
 
 
@@ -94,54 +94,72 @@ class LanguageModel:
         self.langs, self.weights, self.prior, self.orders, self.bits = langs, weights, prior, orders, bits
 
 
-def train(docs: DataFrame, orders: tuple[int, ...] = (1, 2, 3), bits: int = 16, smoothing: float = 0.5) -> LanguageModel:
+def train(docs: DataFrame, orders: tuple[int, ...] = (1, 2, 3), bits: int = 16, smoothing: float = 0.5, max_languages: int | None = MAX_LANGUAGES) -> LanguageModel:
     """Fit on every row of `docs` (text, lang) with a lang; the counts are summed in Spark.
 
-    Without any labelled row the model has no language and predicts `und`.
+    Without any labelled row the model has no language and predicts `und`. More than
+    `max_languages` values of lang are an error, as the matrix would outgrow what is broadcast;
+    None lifts the bound. Null and empty texts count for their language's prior alone; repeated
+    rows count each; other columns are not read.
     """
     docs = small_batches(docs).where("lang IS NOT NULL").select("text", "lang")
-    per = sorted((r["lang"], r["n"]) for r in docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect())
-    if len(per) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    per = sorted((r["lang"], r["n"]) for r in docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit((max_languages or (1 << 31) - 2) + 1).collect())
+    if max_languages and len(per) > max_languages:
+        raise ValueError(f"more than {max_languages} languages; max_languages raises the bound")
     langs, size = [k for k, _ in per], 1 << bits
     counts = np.zeros((len(langs), size))
     if langs:
-        cells = docs.mapInArrow(_count(langs, orders, bits), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+        cells = docs.mapInArrow(lean(_count(langs, orders, bits)), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
         counts.reshape(-1)[np.asarray(cells["cell"])] = np.asarray(cells["n"])
     p = (counts + smoothing) / (counts.sum(axis=1, keepdims=True) + smoothing * size) if langs else counts
     prior = np.log(np.array([n for _, n in per], float) / max(1, sum(n for _, n in per)))
     return LanguageModel(langs, np.ascontiguousarray(np.log(p).T), prior, orders, bits)
 
 
+def _scored(m: LanguageModel, column: pa.Array) -> pa.Array:
+    """(lang, score) of each text."""
+    found = []
+    for lo, hi, joined, ends in _joined(column):
+        n = hi - lo
+        log, some = np.tile(m.prior if m.langs else np.zeros(1), (n, 1)), np.zeros(n, bool)
+        for b, at in grams(joined, ends, m.orders, m.bits):
+            some |= np.diff(at) > 0
+            if m.langs:
+                log += _summed(m.weights, b, at)
+        p = np.exp(log - log.max(axis=1, keepdims=True))
+        p /= p.sum(axis=1, keepdims=True)
+        best = log.argmax(axis=1)
+        und = ~some | (len(m.langs) == 0)
+        lang = pa.array(["und" if u else m.langs[k] for u, k in zip(und, best)], pa.string())
+        found.append(pa.StructArray.from_arrays([lang, pa.array(np.where(und, 0.0, p[np.arange(n), best]))], ["lang", "score"]))
+    return pa.concat_arrays(found) if found else pa.array([], pa.struct([("lang", pa.string()), ("score", pa.float64())]))
+
+
+def _summed(weights: np.ndarray, cells: np.ndarray, at: np.ndarray, some: int = 1 << 18) -> np.ndarray:
+    """Each row's sum of its cells' weights, `some` cells at a time."""
+    out = np.zeros((len(at) - 1, weights.shape[1]))
+    for lo in range(0, len(cells), some):
+        out += sum_rows(weights[cells[lo : lo + some]], np.clip(at - lo, 0, min(some, len(cells) - lo)))
+    return out
+
+
 def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
     """`docs` with lang_pred and score (the posterior probability) added; the rest as it was.
 
-    `und` with score 0 for null texts, texts without a letter, and a model without languages.
-    Languages of equal posterior: the first in alphabetical order. Columns named lang_pred or
-    score are replaced.
+    Only `text` goes to Python. `und` with score 0 for null texts, texts without a letter, and a
+    model without languages. Languages of equal posterior: the first in alphabetical order.
+    Columns named lang_pred or score are replaced. Repeated rows are scored each; an empty table
+    gives an empty table.
     """
     docs = small_batches(docs).drop("lang_pred", "score")
-    names = docs.columns
     held = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = held.value
-        for batch in batches:
-            for lo, hi, joined, ends in _joined(batch.column("text")):
-                n = hi - lo
-                log, some = np.tile(m.prior if m.langs else np.zeros(1), (n, 1)), np.zeros(n, bool)
-                for b, at in grams(joined, ends, m.orders, m.bits):
-                    some |= np.diff(at) > 0
-                    if m.langs:
-                        log += sum_rows(m.weights[b], at)
-                p = np.exp(log - log.max(axis=1, keepdims=True))
-                p /= p.sum(axis=1, keepdims=True)
-                best = log.argmax(axis=1)
-                und = ~some | (len(m.langs) == 0)
-                pred = ["und" if u else m.langs[k] for u, k in zip(und, best)]
-                score = np.where(und, 0.0, p[np.arange(n), best])
-                part = batch.slice(lo, n)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(pred, pa.string()), pa.array(score)], [*names, "lang_pred", "score"])
-
-    schema = StructType([*docs.schema.fields]).add("lang_pred", StringType()).add("score", DoubleType())
-    return docs.mapInArrow(run, schema)
+    def run(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in texts:
+            yield _scored(held.value, column)
+
+    (name,) = unused(docs, "found")
+    # not deterministic for the optimizer, so that it is not run again in a filter on its result
+    found = F.arrow_udf(lean(run), "lang string, score double").asNondeterministic()
+    out = docs.withColumn(name, found("text"))
+    return out.select(*docs.columns, out[name]["lang"].alias("lang_pred"), out[name]["score"].alias("score"))

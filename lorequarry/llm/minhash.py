@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from . import kernels as K
 from .components import components
-from .shared import cut, row_chunks, small_batches, text_bytes
+from .shared import cut, lean, row_chunks, small_batches, text_bytes
 
 _U = np.uint64
 #: Candidate ids that may be broadcast (16 bytes each); beyond it the join is a shuffle.
@@ -231,14 +231,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
     """
     t = percent / 100
     docs = small_batches(docs).select("doc_id", "text")
-    feats = cut(docs.mapInArrow(_features(words, rows, bands), "doc_id long, n_shingles long, set_a long, set_b long, keys binary, sig array<long>"))
+    feats = cut(docs.mapInArrow(lean(_features(words, rows, bands)), "doc_id long, n_shingles long, set_a long, set_b long, keys binary, sig array<long>"))
     real = feats.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = real.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("rep"))
     ones = classes.select(F.col("rep").alias("doc_id"))
     # a doc_id with two texts is one node: its sets share bands through that id
     reps = real.join(ones, "doc_id", "left_semi")
 
-    banded = reps.select("doc_id", "keys").mapInArrow(_banded, "key long, rep long")
+    banded = reps.select("doc_id", "keys").mapInArrow(lean(_banded), "key long, rep long")
     shared = banded.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.count(F.lit(1)).alias("weight")).where("lo < hi").select("key", "weight")
     members = cut(banded.join(shared, "key").distinct())  # only buckets of two classes or more
     # the class that meets most others is likeliest the one that the others were copied from
@@ -260,7 +260,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
         return found.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct()
 
     def verified(pairs: DataFrame) -> DataFrame:
-        return cut(_with_both(pairs, texts, "text", pairs.count()).select("a", "b", "text_a", "text_b").mapInArrow(_confirm(words, percent), "a long, b long").distinct())
+        return cut(_with_both(pairs, texts, "text", pairs.count()).select("a", "b", "text_a", "text_b").mapInArrow(lean(_confirm(words, percent)), "a long, b long").distinct())
 
     met = cut(members.join(pivot, "key").where("a <> rep").select("a", "rep").distinct())
     pairs = cut(ordered(met.join(left, "a").join(right, "rep").where(alike)))

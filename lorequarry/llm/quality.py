@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .shared import row_chunks, small_batches, text_bytes
+from .shared import lean, row_chunks, small_batches, text_bytes
 
 _U = np.uint64
 #: Labelled rows that a model is fitted on: those of the least hash of doc_id.
@@ -155,7 +155,7 @@ def train(docs: DataFrame, labels: DataFrame, bits: int = 18, max_rows: int = MA
                 rows = [idx[a:b].astype("<u4").tobytes() for a, b in zip(at[:-1], at[1:])]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), batch.column("quality").slice(lo, hi - lo), pa.array(rows, pa.binary())], ["doc_id", "quality", "f"])
 
-    got = joined.mapInArrow(run, "doc_id long, quality int, f binary").toArrow()
+    got = joined.mapInArrow(lean(run), "doc_id long, quality int, f binary").toArrow()
     order = np.argsort(np.asarray(got["doc_id"]), kind="stable")
     y = np.where(np.asarray(got["quality"])[order] > 0, 1, -1)
     raw = got["f"].to_pylist()
@@ -197,4 +197,4 @@ def score(docs: DataFrame, model: QualityModel) -> DataFrame:
                 got.append(m.scores(*features(data[o[0] : o[-1]], o - o[0], m.bits)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.concatenate(got))], ["doc_id", "score"])
 
-    return small_batches(docs).select("doc_id", "text").mapInArrow(run, "doc_id long, score double")
+    return small_batches(docs).select("doc_id", "text").mapInArrow(lean(run), "doc_id long, score double")
