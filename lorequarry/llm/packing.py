@@ -1,10 +1,11 @@
 """Packing documents' token pieces into sequences of fixed length.
 
 Pieces are dealt to groups of bounded size by hash, so no group or task grows with the
-input. A group starts from best fit (longest piece first) and goes on by local search: a
-move, a one-for-one or a two-for-one exchange is made whenever it adds to the sum of squared
-fills at the cost of an underfull bin, until that bin is empty or no exchange is left. What
-lies in bins that stay clearly underfull is dealt anew and packed once more.
+input. A group starts from a plain deal (each piece, in the order of doc_id, to the fullest bin
+that has room) and goes on by local search: a move, a one-for-one or a two-for-one exchange is made whenever it adds to the sum of
+squared fills at the cost of an underfull bin, until that bin is empty or no exchange is left.
+What lies in bins that stay clearly underfull is dealt anew and packed once more. Best fit of
+the longest first is the tests' yardstick.
 """
 
 from __future__ import annotations
@@ -18,8 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import cut, small_batches
-from .tokens import END_ID, encoded, word_tokenizer
+from .shared import cut, lean, small_batches
+from .tokens import END_ID, word_tokenizer
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -35,7 +36,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = 4096) -> DataFrame:
         end = np.array([END_ID], tok.dtype).tobytes()
         for batch in batches:
             rows: list[tuple] = []
-            for doc, raw in zip(batch.column("doc_id").to_pylist(), encoded(tok, batch.column("text").to_pylist())):
+            for doc, raw in zip(batch.column("doc_id").to_pylist(), tok.many(batch.column("text").to_pylist())):
                 ids = np.frombuffer(raw + end, tok.dtype).astype("<u4")
                 for p, at in enumerate(range(0, len(ids), capacity)):
                     part = ids[at : at + capacity]
@@ -44,16 +45,15 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = 4096) -> DataFrame:
             cols = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)] if rows else [pa.array([], k) for k in kinds]
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return small_batches(docs).select("doc_id", "text").mapInArrow(run, _PIECES)
+    return small_batches(docs).select("doc_id", "text").mapInArrow(lean(run), _PIECES)
 
 
-def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
-    """Bins of indices: each piece, longest first, goes where the least room stays."""
-    order = np.argsort(-lengths, kind="stable").tolist()
+def best_fit(lengths: np.ndarray, capacity: int, order: np.ndarray) -> list[list[int]]:
+    """Bins of indices: each piece, in the order given, goes where the least room stays."""
     bins: list[list[int]] = []
     by_room: dict[int, list[int]] = {}
     rooms = 0  # a bit for each room that some bin has
-    for i in order:
+    for i in order.tolist():
         n = int(lengths[i])
         fits = rooms >> n
         if fits:
@@ -72,79 +72,104 @@ def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def _exchange(out: np.ndarray, lengths: np.ndarray, owner: np.ndarray, items: np.ndarray, room: np.ndarray, fill: int):
-    """The best change that takes pieces of bin `out` to other bins: (gain, given, taken, bin).
+class Search:
+    """Bins under moves and exchanges; each one made adds to the sum of squared fills.
 
-    Moving d net tokens from a bin of fill f to one of fill g changes the sum of squares by
-    2d(g - f + d); it is made only if that is positive.
+    A change that takes d net tokens from a bin of fill f to one of fill g adds 2d(g - f + d).
     """
-    best = (0, None, None, None)
-    own = lengths[out]
-    theirs, where = lengths[items], owner[items]
-    g = room.max() if len(room) else 0
-    total = -room  # a bin's fill up to the common capacity
-
-    def consider(given: list[int], size: int) -> None:
-        nonlocal best
-        # a plain move, to the fullest bin that has room
-        for taken, d, b in ((None, np.full(len(room), size), np.arange(len(room))), (items, size - theirs, where)):
-            gain = np.where((d > 0) & (d <= room[b]), 2 * d * (total[b] - fill + d), 0)
-            if len(gain) and (k := int(gain.argmax())) is not None and gain[k] > best[0]:
-                best = (int(gain[k]), given, None if taken is None else int(taken[k]), int(b[k]))
-
-    for i, n in enumerate(own):
-        consider([int(out[i])], int(n))
-    if best[1] is None and len(own) > 1:
-        sums: dict[int, list[int]] = {}
-        for i in range(len(own)):
-            for j in range(i):
-                sums.setdefault(int(own[i] + own[j]), [int(out[i]), int(out[j])])
-        for n, given in sums.items():
-            if n - (theirs.max() if len(theirs) else 0) <= g:
-                consider(given, n)
-    return best
-
-
-def local_search(lengths: np.ndarray, bins: list[list[int]], capacity: int) -> list[list[int]]:
-    """Empty underfull bins by moves and exchanges; every change adds to the squared fill."""
-    bins = [list(b) for b in bins]
+
+    def __init__(self, lengths: np.ndarray, bins: list[list[int]], capacity: int):
+        self.lengths, self.capacity = lengths, capacity
+        self.bins = [set(b) for b in bins]
+        self.owner = np.zeros(len(lengths), np.int64)
+        for k, b in enumerate(bins):
+            self.owner[b] = k
+        self.fill = np.array([int(lengths[b].sum()) for b in bins], np.int64)
+        self.made = {"move": 0, "one": 0, "two": 0}
+
+    def _put(self, i: int, b: int) -> None:
+        self.bins[self.owner[i]].remove(i)
+        self.fill[self.owner[i]] -= self.lengths[i]
+        self.bins[b].add(i)
+        self.fill[b] += self.lengths[i]
+        self.owner[i] = b
+
+    def _move(self, a: int, n: int) -> int | None:
+        """The fullest other bin that has room for n."""
+        g = np.where((self.fill + n <= self.capacity) & (self.fill > 0), self.fill, -1)
+        g[a] = -1
+        b = int(g.argmax())
+        return b if 2 * n * (g[b] - self.fill[a] + n) > 0 and g[b] >= 0 else None
+
+    def _swap(self, a: int, n: int) -> int | None:
+        """The piece to take from another bin for n tokens given to it, of greatest gain."""
+        g = self.fill[self.owner]
+        d = n - self.lengths
+        gain = np.where((d > 0) & (g + d <= self.capacity) & (self.owner != a), 2 * d * (g - self.fill[a] + d), 0)
+        i = int(gain.argmax())
+        return i if gain[i] > 0 else None
+
+    def improve(self, a: int) -> bool:
+        """Make one change that takes tokens out of bin a: a move, else one for one, else two for one."""
+        by_size = {int(self.lengths[i]): i for i in sorted(self.bins[a])}
+        sizes = sorted(by_size, reverse=True)
+        for n in sizes:
+            if (b := self._move(a, n)) is not None:
+                self._put(by_size[n], b)
+                self.made["move"] += 1
+                return True
+        for n in sizes:
+            if (i := self._swap(a, n)) is not None:
+                b = int(self.owner[i])
+                self._put(i, a)
+                self._put(by_size[n], b)
+                self.made["one"] += 1
+                return True
+        own = sorted(self.bins[a])
+        pairs: dict[int, tuple[int, int]] = {}
+        for x, i in enumerate(own):
+            for j in own[:x]:
+                pairs.setdefault(int(self.lengths[i] + self.lengths[j]), (i, j))
+        for n in sorted(pairs, reverse=True):
+            if (i := self._swap(a, n)) is not None:
+                b = int(self.owner[i])
+                self._put(i, a)
+                for j in pairs[n]:
+                    self._put(j, b)
+                self.made["two"] += 1
+                return True
+        return False
+
+
+def local_search(lengths: np.ndarray, bins: list[list[int]], capacity: int) -> tuple[list[list[int]], dict[str, int]]:
+    """The bins after emptying underfull ones, emptiest first, and how many changes were made.
+
+    It ends at the least number of bins that could hold all, or when no change is left that adds
+    to the squared fills at the cost of a bin.
+    """
+    s = Search(lengths, bins, capacity)
     fewest = -(-int(lengths.sum()) // capacity)
-    fills = np.array([int(lengths[b].sum()) for b in bins], np.int64)
-    stuck: set[int] = set()
-    while sum(1 for b in bins if b) > fewest:
-        open_ = [i for i in range(len(bins)) if bins[i] and fills[i] < capacity and i not in stuck]
-        if not open_:
-            break
-        a = min(open_, key=lambda i: (fills[i], i))
-        others = [i for i in range(len(bins)) if bins[i] and i != a and fills[i] < capacity]
-        if (capacity - fills[others]).sum() < fills[a]:  # it cannot be emptied
-            break
-        while bins[a]:
-            others = [i for i in others if fills[i] < capacity]
-            items = np.array([x for i in others for x in bins[i]], np.int64)
-            at = np.zeros(len(lengths), np.int64)
-            at[items] = np.repeat(np.arange(len(others)), [len(bins[i]) for i in others])
-            room = capacity - fills[others]
-            gain, given, taken, to = _exchange(np.array(bins[a]), lengths, at, items, room, int(fills[a]) - capacity)
-            if given is None:
-                stuck.add(a)
+    stuck, before = np.zeros(len(bins), bool), -1
+    while np.count_nonzero(s.fill) > fewest:
+        a = int(np.where((s.fill > 0) & (s.fill < capacity) & ~stuck, s.fill, capacity + 1).argmin())
+        if stuck[a] or not 0 < s.fill[a] < capacity:
+            if sum(s.made.values()) == before:
+                break
+            # what was changed since may have freed the bins that were stuck
+            stuck[:], before = False, sum(s.made.values())
+            continue
+        while s.bins[a]:
+            if not s.improve(a):
+                stuck[a] = True
                 break
-            b = others[to]
-            for x in given:
-                bins[a].remove(x)
-                bins[b].append(x)
-            if taken is not None:
-                bins[b].remove(taken)
-                bins[a].append(taken)
-            fills[a], fills[b] = lengths[bins[a]].sum(), lengths[bins[b]].sum()
-    return [b for b in bins if b]
+    return [sorted(b) for b in s.bins if b], s.made
 
 
 def _pack_group(capacity: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "piece", "length", "ids_crc32"]).reset_index(drop=True)
         lengths = pdf["length"].to_numpy(np.int64)
-        bins = local_search(lengths, best_fit(lengths, capacity), capacity)
+        bins, _ = local_search(lengths, best_fit(lengths, capacity, np.arange(len(lengths))), capacity)
         seq, offset, fill = np.zeros(len(pdf), np.int64), np.zeros(len(pdf), np.int64), np.zeros(len(pdf), np.int64)
         for k, members in enumerate(bins):
             n = lengths[members]
