@@ -4,17 +4,20 @@ Documents arrive in batches of ascending doc_id. A run holds the keys (128-bit l
 that some batches brought first, each with the document that holds it; runs are disjoint.
 A batch merge-anti-joins its keys with the runs, keeps what is new, and adds it as a run of
 level 0. Whenever `fanout` runs stand on a level they are compacted into one on the next.
-Only DataFrame functions are used.
+Runs are bucketed tables, each bucket one file sorted by key, so that a merge reads them as they
+stand: no run is shuffled or sorted again. They and the lines, partitioned by batch, lie in the
+shared checkpoint folder until the dropped lines are found. Only DataFrame functions are used.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import cut, part_bounds, part_of
+from .shared import checkpoint_folder, cut, part_bounds, part_of, remove, unused
 
 _WHITE = " \t\n\x0b\x0c\r"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -37,10 +40,23 @@ def hashed_lines(docs: DataFrame, min_length: int) -> DataFrame:
 
 
 class Runs:
-    """Levels of disjoint runs (h1, h2, first), each sorted within its partitions."""
-
-    def __init__(self, fanout: int = 4):
-        self.fanout, self.levels = fanout, []
+    """Levels of disjoint runs (h1, h2, first): bucketed tables under `folder`, sorted by key."""
+
+    def __init__(self, spark: SparkSession, folder: str, buckets: int, fanout: int):
+        self.spark, self.folder, self.buckets, self.fanout = spark, folder, buckets, fanout
+        self.levels: list[list[DataFrame]] = []
+        self.names: list[str] = []
+        # a bucket of one file keeps its order when read
+        spark.conf.set("spark.sql.legacy.bucketedTableScan.outputOrdering", "true")
+
+    def write(self, keys: DataFrame) -> DataFrame:
+        name = f"lorequarry_run_{uuid.uuid4().hex}"
+        self.names.append(name)
+        # a task holds one bucket whole, so that each bucket is one file
+        bucket = F.pmod(F.hash(*KEY), F.lit(self.buckets))
+        dealt = keys.repartitionById(self.buckets, bucket).write.bucketBy(self.buckets, *KEY).sortBy(*KEY)
+        dealt.option("path", f"{self.folder}/{name}").format("parquet").saveAsTable(name)
+        return self.spark.table(name)
 
     def new(self, keys: DataFrame) -> DataFrame:
         """The keys that no run holds yet."""
@@ -49,32 +65,40 @@ class Runs:
                 keys = keys.join(run.hint("merge"), KEY, "left_anti")
         return keys
 
-    def add(self, keys: DataFrame, level: int = 0) -> None:
-        run = cut(keys.sortWithinPartitions(*KEY))
+    def add(self, run: DataFrame, level: int = 0) -> None:
         while len(self.levels) <= level:
             self.levels.append([])
         self.levels[level].append(run)
         if len(self.levels[level]) == self.fanout:
             merged, self.levels[level] = reduce(DataFrame.unionAll, self.levels[level]), []
-            self.add(merged.repartition(*KEY), level + 1)
+            self.add(self.write(merged), level + 1)
+
+    def drop(self) -> None:
+        for name in self.names:
+            self.spark.sql(f"DROP TABLE {name}")
 
 
 def dropped_lines(docs: DataFrame, min_length: int = 10, batches: int = 4, fanout: int = 2) -> DataFrame:
     """(doc_id, pos): lines whose key an earlier document holds; pos counts from 0."""
+    spark = docs.sparkSession
     docs = docs.where("doc_id IS NOT NULL")
     bounds = part_bounds(docs, "doc_id", batches)
-    lines = cut(hashed_lines(docs, min_length).withColumn("batch", part_of(F.col("doc_id"), bounds)))
-    runs, out = Runs(fanout), []
+    folder = f"{checkpoint_folder(spark)}/lines-{uuid.uuid4().hex}"
+    hashed_lines(docs, min_length).withColumn("batch", part_of(F.col("doc_id"), bounds)).write.partitionBy("batch").parquet(f"{folder}/lines")
+    lines = spark.read.schema("doc_id long, pos int, h1 long, h2 long, batch int").parquet(f"{folder}/lines")
+    runs, out = Runs(spark, folder, int(spark.conf.get("spark.sql.shuffle.partitions")), fanout), []
     for i in range(len(bounds) + 1):
-        batch = lines.where(F.col("batch") == i)
-        fresh = runs.new(batch.groupBy(*KEY).agg(F.min("doc_id").alias("first")))
-        fresh = cut(fresh)
+        batch = lines.where(F.col("batch") == i).drop("batch")
+        run = runs.write(runs.new(batch.groupBy(*KEY).agg(F.min("doc_id").alias("first"))))
         # by key and document, so that a line of very many documents is spread over the tasks
-        held = fresh.withColumnRenamed("first", "doc_id")
+        held = run.withColumnRenamed("first", "doc_id")
         out.append(batch.join(held, [*KEY, "doc_id"], "left_anti").select("doc_id", "pos"))
         if i < len(bounds):
-            runs.add(fresh)
-    return reduce(DataFrame.unionAll, out)
+            runs.add(run)
+    found = cut(reduce(DataFrame.unionAll, out))
+    runs.drop()
+    remove(spark, folder)
+    return found
 
 
 def dedup_lines(docs: DataFrame, min_length: int = 10, batches: int = 4, fanout: int = 2) -> DataFrame:
@@ -88,21 +112,16 @@ def dedup_lines(docs: DataFrame, min_length: int = 10, batches: int = 4, fanout:
     kept_text are replaced. An empty table gives an empty table.
     """
     drops = dropped_lines(docs.select("doc_id", "text"), min_length, batches, fanout)
-    drops = drops.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("pos").alias("_drop"))
-    out = docs.drop("n_lines", "n_dropped", "kept_text").join(drops, F.col("doc_id") == F.col("_id"), "left")
+    docs = docs.drop("n_lines", "n_dropped", "kept_text")
+    id_, drop, lines, keep = unused(docs, "id", "drop", "lines", "keep")
+    drops = drops.groupBy(F.col("doc_id").alias(id_)).agg(F.collect_set("pos").alias(drop))
     # the split text is a column of its own, so that a lambda does not split it for each line
-    out = out.withColumn("_lines", F.split(F.coalesce("text", F.lit("")), "\n"))
-    out = out.withColumns(
-        {
-            "n_lines": F.size("_lines").cast("long"),
-            "_keep": F.when(F.col("_drop").isNotNull(), F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_drop"))),
-        }
-    )
-    kept = F.array_join(F.transform("_keep", lambda i: F.get(F.col("_lines"), i)), "\n")
-    out = out.withColumns(
-        {
-            "n_dropped": F.when(F.col("_keep").isNull(), 0).otherwise(F.size("_lines") - F.size("_keep")).cast("long"),
-            "kept_text": F.coalesce(F.when(F.col("_keep").isNotNull(), kept), "text", F.lit("")),
-        }
+    out = docs.join(drops, docs["doc_id"] == drops[id_], "left").withColumn(lines, F.split(F.coalesce("text", F.lit("")), "\n"))
+    out = out.withColumn(keep, F.when(F.col(drop).isNotNull(), F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(drop))))
+    kept = F.array_join(F.transform(keep, lambda i: F.get(F.col(lines), i)), "\n")
+    return out.select(
+        *docs.columns,
+        F.size(lines).cast("long").alias("n_lines"),
+        F.when(F.col(keep).isNull(), 0).otherwise(F.size(lines) - F.size(keep)).cast("long").alias("n_dropped"),
+        F.coalesce(F.when(F.col(keep).isNotNull(), kept), "text", F.lit("")).alias("kept_text"),
     )
-    return out.drop("_id", "_drop", "_keep", "_lines")
