@@ -42,7 +42,7 @@ def passages(msgs: DataFrame) -> DataFrame:
     """(conv_id, turn, m, at, level, passage, raw): the passages that are not empty, normalised
     and with their lines as they stand; `at` tells a message's passages apart."""
     rows = msgs.select(*_KEY, F.split(F.translate(F.coalesce("text", F.lit("")), _SEP, " "), "\n").alias("lines"))
-    front = lambda line: F.regexp_extract(line, "^((?:[ \\t]*>)*)", 1)
+    front = lambda line: F.regexp_extract(line, "^[ \\t>]*>", 0)
     rows = rows.select(*_KEY, F.transform("lines", front).alias("fronts"), "lines")
     rows = rows.select(
         *_KEY,

@@ -15,21 +15,24 @@ import html
 import io
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .shared import small_batches
+from .shared import lean, small_batches
 
 DERIVED = "page_id long, record_type string, record_id string, refers_to string, target_uri string, source_block_digest string, block_digest string, content_length long, record binary"
-#: Elements whose content is no text. A head is not among them: it holds only these and tags
-#: without content, and all else ends it, whether or not `</head>` follows.
-_DROP = re.compile(r"<!--.*?(?:-->|$)|<(script|style|noscript|noframes|template|title)(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|$)", re.S | re.I)
-#: A tag with its whole name; a `>` in a quoted value does not end it.
-_TAG = re.compile(r"""<(/?[a-zA-Z][^\s/>]*)(?:=\s*+"[^"]*+"|=\s*+'[^']*+'|[^>=]++|=)*+>|<[!?][^>]*>""")
-_TITLE = re.compile(r"<title(?=[\s/>])[^>]*>(.*?)</title(?=[\s/>])", re.S | re.I)
-_LINK = re.compile(r"""<a(?=[\s/])[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+#: Elements whose content is no text (fixed values). A head is not among them: it holds only these
+#: and tags without content, and all else ends it, whether or not `</head>` follows.
+_RAW = frozenset("script style noscript noframes template title".split())
+_CLOSE = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in _RAW}
+#: What follows a tag's name, up to its `>`; one in a quoted value does not end it.
+_REST = re.compile(r"""(?:=\s*+"[^"]*+"|=\s*+'[^']*+'|[^>=]++|=)*+>""")
+_NAME = re.compile(r"/?[a-zA-Z][^\s/>]*")
+_HREF = re.compile(r"""\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _CHARSET = re.compile(rb"""charset\s*=\s*["']?([A-Za-z0-9_.:-]+)""", re.I)
 _SPACE = re.compile(r"[^\S\n]+")
 #: Elements that begin a new line of text (fixed values).
@@ -50,8 +53,19 @@ def build(kind: str, headers: list[tuple[str, str]], block: bytes) -> bytes:
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
+def _line(raw: bytes) -> str:
+    """A header line: UTF-8, or else Latin-1."""
+    try:
+        return raw.decode().strip()
+    except UnicodeDecodeError:
+        return raw.decode("latin-1").strip()
+
+
 def parse(stream: io.BufferedIOBase) -> Iterator[tuple[list[tuple[str, str]], bytes]]:
-    """Headers (in order, folded lines joined) and block of each record of a stream."""
+    """Headers (in order, folded lines joined) and block of each record of a stream.
+
+    What is no record, or ends early, raises ValueError.
+    """
     while line := stream.readline():
         if not line.strip():
             continue
@@ -60,25 +74,93 @@ def parse(stream: io.BufferedIOBase) -> Iterator[tuple[list[tuple[str, str]], by
         headers: list[tuple[str, str]] = []
         while (line := stream.readline()).strip():
             if line[:1] in b" \t" and headers:
-                headers[-1] = (headers[-1][0], f"{headers[-1][1]} {line.decode().strip()}")
+                headers[-1] = (headers[-1][0], f"{headers[-1][1]} {_line(line)}")
             else:
-                k, _, v = line.decode().partition(":")
+                k, _, v = _line(line).partition(":")
                 headers.append((k.strip(), v.strip()))
-        size = int(dict((k.lower(), v) for k, v in headers)["content-length"])
-        block = stream.read(size)
-        if len(block) < size:
+        size = {k.lower(): v for k, v in headers}.get("content-length", "")
+        if not size.isdecimal():
+            raise ValueError("a record without a length")
+        block = stream.read(int(size))
+        if len(block) < int(size):
             raise ValueError("a record ends early")
         yield headers, block
 
 
+def scan(page: str) -> Iterator[tuple[str, str, str]]:
+    """The page in turn as (kind, name, text): text, tag (its name and what follows it) or raw
+    (an element whose content is no text, with that content). One pass, whatever the page."""
+    at, end, last = 0, len(page), page.rfind(">")
+    while at < end:
+        lt = page.find("<", at)
+        if lt < 0 or lt > last and not page.startswith("<!--", lt):
+            yield "text", "", page[at:]
+            return
+        if lt > at:
+            yield "text", "", page[at:lt]
+        if page.startswith("<!--", lt):
+            close = page.find("-->", lt + 4)
+            yield "raw", "!--", ""
+            at = end if close < 0 else close + 3
+            continue
+        if page[lt + 1 : lt + 2] in ("!", "?"):
+            at = page.find(">", lt) + 1
+            continue
+        name = _NAME.match(page, lt + 1)
+        rest = name and _REST.match(page, name.end())
+        if not rest:
+            yield "text", "", "<"
+            at = lt + 1
+            continue
+        tag, at = name[0].lower(), rest.end()
+        if tag in _RAW:
+            close = _CLOSE[tag].search(page, at)
+            yield "raw", tag, page[at : close.start()] if close else ""
+            shut = page.find(">", close.end()) if close else -1
+            at = end if shut < 0 else shut + 1
+        else:
+            yield "tag", tag, rest[0]
+
+
+def page_facts(page: str) -> tuple[str, str | None, list[str]]:
+    """The visible text (a line for each block element, without blank lines), title and links."""
+    text, title, links = [], None, []
+    for kind, name, what in scan(page):
+        if kind == "text":
+            text.append(what.replace("\r", " ").replace("\n", " "))
+        elif kind == "raw":
+            text.append(" ")
+            title = what if name == "title" and title is None and what else title
+        elif name.lstrip("/") in _BREAKS:
+            text.append("\n")
+        elif name == "a" and (href := _HREF.search(what)):
+            links.append(html.unescape(href[1] or href[2] or href[3] or ""))
+    seen = _SPACE.sub(" ", html.unescape("".join(text)).replace("\xa0", " "))
+    lines = (line.strip() for line in seen.split("\n"))
+    return "\n".join(x for x in lines if x), None if title is None else " ".join(html.unescape(title).split()), links
+
+
 def plain_text(page: str) -> str:
-    """The visible text, a line for each block element, without blank lines."""
+    return page_facts(page)[0]
 
-    def tag(m: re.Match) -> str:
-        return "\n" if m[1] and m[1].lstrip("/").lower() in _BREAKS else ""
 
-    text = html.unescape(_TAG.sub(tag, _DROP.sub(" ", page).replace("\r", " ").replace("\n", " ")))
-    return "\n".join(x for x in (line.strip() for line in _SPACE.sub(" ", text.replace("\xa0", " ")).split("\n")) if x)
+def _entity(lines: list[str], body: bytes) -> bytes:
+    """The body without its transfer and content codings; as it stands where they do not fit it."""
+    h = {k.strip().lower(): v.strip().lower() for k, _, v in (x.partition(":") for x in lines)}
+    try:
+        if h.get("transfer-encoding") == "chunked":
+            out, at = [], 0
+            while (n := int(body[at : (cr := body.index(b"\r\n", at))].split(b";")[0], 16)) > 0:
+                out.append(body[cr + 2 : cr + 2 + n])
+                at = cr + 4 + n
+            body = b"".join(out)
+        if h.get("content-encoding") in ("gzip", "x-gzip"):
+            body = gzip.decompress(body)
+        elif h.get("content-encoding") == "deflate":
+            body = zlib.decompress(body)
+    except (ValueError, OSError, EOFError, zlib.error):
+        pass
+    return body
 
 
 def _http(block: bytes) -> tuple[str, list[str], bytes]:
@@ -102,17 +184,18 @@ def _decoded(header_lines: list[str], body: bytes) -> str:
 def derive(headers: list[tuple[str, str]], block: bytes) -> list[tuple[str, str, bytes, bytes]]:
     """(type, id, block, record) of the metadata and the conversion of one response record."""
     h = {k.lower(): v for k, v in headers}
+    if not h.get("warc-record-id"):
+        raise ValueError("a response without an id")
     source, target, date = h["warc-record-id"], h.get("warc-target-uri", ""), h.get("warc-date", "")
     status, lines, body = _http(block)
-    page = _decoded(lines, body)
-    title = _TITLE.search(page)
-    text = plain_text(page).encode("utf-8", "replace")
+    text, title, links = page_facts(_decoded(lines, _entity(lines, body)))
+    text = text.encode("utf-8", "replace")
     ids = {kind: record_id(kind, source) for kind in ("metadata", "conversion")}
     fields = [("source-record-id", source), *((f"source-{k.lower()}", v) for k, v in headers if k.lower() not in ("warc-type", "warc-record-id")), ("http-status", status)]
     fields += [(f"http-{k.strip().lower()}", v.strip()) for k, _, v in (x.partition(":") for x in lines)]
     fields += [("source-payload-digest", digest(body)), ("conversion-record-id", ids["conversion"]), ("conversion-payload-digest", digest(text))]
-    fields += [("title", " ".join(html.unescape(title[1]).split()))] if title else []
-    fields += [("outlink", html.unescape(a or b or c)) for a, b, c in _LINK.findall(page)]
+    fields += [("title", title)] if title is not None else []
+    fields += [("outlink", x) for x in links]
     meta = "".join(f"{k}: {' '.join(v.split())}\r\n" for k, v in fields).encode("utf-8", "replace")
     common = [("WARC-Target-URI", target), ("WARC-Date", date), ("WARC-Refers-To", source), ("WARC-Refers-To-Target-URI", target), ("WARC-Refers-To-Date", date)]
     out = []
@@ -134,7 +217,10 @@ def response(url: str | None, page: str | None, key: str, date: str) -> bytes:
 
 
 def responses(pages: DataFrame, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
-    """(page_id, record): a response record of each row of `pages` (page_id, url, html)."""
+    """(page_id, record): a response record of each row of `pages` (page_id, url, html).
+
+    Null urls and pages are empty; repeated rows give equal records; an empty table none.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,36 +229,53 @@ def responses(pages: DataFrame, date: str = "2024-01-01T00:00:00Z") -> DataFrame
                 raw = [response(u, t, str(i), date) for i, u, t in zip(*(part.column(c).to_pylist() for c in ("page_id", "url", "html")))]
                 yield pa.RecordBatch.from_arrays([part.column("page_id"), pa.array(raw, pa.binary())], ["page_id", "record"])
 
-    return small_batches(pages).select("page_id", "url", "html").mapInArrow(run, "page_id long, record binary")
+    return small_batches(pages).select("page_id", "url", "html").mapInArrow(lean(run), "page_id long, record binary")
+
+
+def _derived(page: int | None, raw: bytes) -> Iterator[tuple]:
+    """A row of DERIVED for each derivative of the records in `raw`; malformed ones end it."""
+    try:
+        stream = gzip.GzipFile(fileobj=io.BytesIO(raw)) if raw[:2] == b"\x1f\x8b" else io.BytesIO(raw)
+        for headers, block in parse(stream):
+            h = {k.lower(): v for k, v in headers}
+            if h.get("warc-type") == "response":
+                for kind, rid, content, whole in derive(headers, block):
+                    yield (page, kind, rid, h["warc-record-id"], h.get("warc-target-uri"), h.get("warc-block-digest"), digest(content), len(content), whole)
+    except (ValueError, OSError, EOFError, zlib.error) as why:
+        yield (page, "malformed", None, None, None, None, None, None, str(why).encode())
 
 
 def derivatives(records: DataFrame) -> DataFrame:
     """The metadata and conversion records of every response in `records` (page_id, record).
 
     `record` holds one or more WARC records, plain or gzip members; types other than response
-    are passed over, as are null records. Empty pages give an empty conversion. Repeated rows
-    give repeated records of equal ids. An empty table gives an empty table.
+    are passed over, as are null and empty records. Where a record is malformed (no length or id,
+    cut short, no WARC at all), what stands before it is derived and one row of type `malformed`
+    holds the reason as its record. Empty pages give an empty conversion; very long ones are
+    scanned in one pass. Repeated rows give repeated records of equal ids. Other columns are not
+    read. An empty table gives an empty table.
     """
     names = [c.split()[0] for c in DERIVED.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int64(), *[pa.string()] * 6, pa.int64(), pa.binary())
         for batch in batches:
             for lo in range(0, batch.num_rows, 200):
-                part, rows = batch.slice(lo, 200), []
-                for page, raw in zip(part.column("page_id").to_pylist(), part.column("record").to_pylist()):
-                    raw = gzip.decompress(raw) if raw and raw[:2] == b"\x1f\x8b" else raw or b""
-                    for headers, block in parse(io.BytesIO(raw)):
-                        h = {k.lower(): v for k, v in headers}
-                        if h.get("warc-type") == "response":
-                            for kind, rid, content, whole in derive(headers, block):
-                                rows.append((page, kind, rid, h["warc-record-id"], h.get("warc-target-uri"), h.get("warc-block-digest"), digest(content), len(content), whole))
-                kinds = (pa.int64(), *[pa.string()] * 6, pa.int64(), pa.binary())
+                part = batch.slice(lo, 200)
+                rows = [r for page, raw in zip(part.column("page_id").to_pylist(), part.column("record").to_pylist()) for r in _derived(page, raw or b"")]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows) if rows else [[]] * 9, kinds)], names)
 
-    return small_batches(records).mapInArrow(run, DERIVED)
+    return small_batches(records).select("page_id", "record").mapInArrow(lean(run), DERIVED)
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """(page_id, record) of WARC files, a file a row (page_id is null); files up to 2 GB."""
-    files = spark.read.format("binaryFile").load(path)
-    return files.selectExpr("cast(null AS bigint) AS page_id", "content AS record")
+def read_warc(spark: SparkSession, path: str, version: str = "WARC/1.1") -> DataFrame:
+    """(page_id, record) of WARC files, a record a row (page_id is null).
+
+    Spark's text reader parts the bytes where a record of `version` begins after the blank lines
+    that end another, so plain files are split over tasks and no file is held whole; files named
+    .gz are read by one task each, as a stream. A body that holds such a beginning is malformed.
+    """
+    rows = spark.read.text(path, lineSep=f"\r\n\r\n{version}\r\n").select(F.col("value").cast("binary").alias("raw"))
+    begins = F.lit(f"{version}\r\n".encode())
+    whole = F.when(F.substring("raw", 1, len(version)) == version.encode(), F.col("raw")).otherwise(F.concat(begins, "raw"))
+    return rows.select(F.lit(None).cast("long").alias("page_id"), whole.alias("record"))

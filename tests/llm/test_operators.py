@@ -1,8 +1,10 @@
 """The ten operators against brute force, exact round trips and held-out accuracy."""
 
+import gzip
 import hashlib
 import io
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -45,6 +47,27 @@ def test_against_sql(spark, name):
     assert Counter(map(tuple, df.select(columns).collect())) == Counter(want)
 
 
+def test_line_dedup_reads_runs_as_they_stand(spark, docs, monkeypatch):
+    """The runs' side of a merge is neither shuffled nor sorted."""
+    plans = []
+    new = linededup.Runs.new
+    monkeypatch.setattr(linededup.Runs, "new", lambda self, keys: [new(self, keys), plans.append(new(self, keys)._jdf.queryExecution().executedPlan().toString())][0])
+    linededup.dedup_lines(docs).count()
+    joins = [p for p in plans if "SortMergeJoin" in p]
+    assert joins
+    for p in joins:
+        scans = p.count("lorequarry_run")
+        assert scans and p.count("Exchange hashpartitioning") == 1 and p.count("Sort [") == 1
+
+
+def test_line_dedup_keeps_columns_of_any_name(spark):
+    names = ["id", "drop", "lines", "keep", "_id", "_keep"]
+    df = spark.createDataFrame([(1, "a long enough line\nx", *names), (2, "a long enough line", *names)], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    out = linededup.dedup_lines(df)
+    assert out.columns == [*df.columns, "n_lines", "n_dropped", "kept_text"]
+    assert {(r["doc_id"], r["id"], r["_keep"], r["kept_text"]) for r in out.collect()} == {(1, "id", "_keep", "a long enough line\nx"), (2, "id", "_keep", "")}
+
+
 def test_line_dedup_odd(odd):
     out = linededup.dedup_lines(odd, batches=3)
     assert out.count() == len(ODD)
@@ -160,6 +183,18 @@ def test_decontamination_ignores_case_marks_and_odd_rows(spark, docs_of, odd):
     assert decontam.leaks(odd, bench).count() == 0 and decontam.without_leaks(odd, bench.limit(0)).count() == len(ODD)
 
 
+def test_decontamination_of_items_without_words(spark, docs_of, docs):
+    marks = docs_of([(2, "!!"), (3, "... ?")]).withColumnRenamed("doc_id", "item_id")
+    assert decontam.leaks(docs, marks).count() == 0 and decontam.without_leaks(docs, marks).count() == docs.count()
+
+
+def test_decontamination_asks_for_question_and_answer(spark, docs_of):
+    words = [f"w{i}" for i in range(30)]
+    bench = docs_of([(1, " ".join(words) + ". seven red boats")]).withColumnRenamed("doc_id", "item_id")
+    rows = docs_of([(1, " ".join(words) + " so seven red boats"), (2, " ".join(words) + " and nothing else"), (3, "seven red boats")])
+    assert [r["doc_id"] for r in decontam.leaks(rows, bench).collect()] == [1]
+
+
 def test_fingerprints(spark, texts, odd):
     got = {r["doc_id"]: r for r in queries.op5_document_fingerprints(spark, SMALL).collect()}
     order = sorted(texts)
@@ -200,10 +235,19 @@ def test_within_radius_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(simhash, "BLOCK", 3)
     rng = np.random.default_rng(6)
     bits = rng.integers(0, 2, (8, 128))
-    rows = [b ^ (rng.random(128) < 0.1) for b in bits for _ in range(6)] + [bits[0]] * 3
+    rows = [b ^ (rng.random(128) < p) for b in bits for p in (0.1, 0.1, 0.1, 0.02, 0.02, 0.01)] + [bits[0]] * 3
     f = [tuple(int(x) for x in np.packbits(b).view(">i8")) for b in rows]
     all_ = spark.createDataFrame([(i, *x) for i, x in enumerate(f)], "doc_id long, f1 long, f2 long")
-    got = {r[0]: r[1] for r in simhash.within_radius(all_.where("doc_id % 3 = 0"), all_, 0, 14, 28, 70).collect()}
+    asked = all_.where("doc_id % 3 = 0")
+    by = lambda found: {r["doc_id"]: r["near"] for r in asked.join(found, ["f1", "f2"]).collect()}
+    got = by(simhash.within_radius(asked, all_, 0, 14, 28, 70))
+    monkeypatch.setattr(simhash, "ASKED", 5)
+    assert by(simhash.within_radius(asked, all_, 0, 14, 28, 70)) == got
+    for radius in (0, 1, 2, 3, 4, 5, 6, 16):
+        n = {i: sum(int((rows[i] != b).sum()) <= radius for b in rows) for i in range(0, len(rows), 3)}
+        assert by(simhash.by_tables(asked, all_, radius)) == n
+    with pytest.raises(ValueError, match="tables"):
+        simhash.block_masks(28)
     want = {i: [sum(int((rows[i] != b).sum()) <= r for b in rows) for r in (0, 14, 28, 70)] for i in range(0, len(rows), 3)}
     assert got == want
     words, out = np.array(f).view(np.uint64), np.zeros((4, len(want)), np.int64)
@@ -232,14 +276,49 @@ def test_packing(spark, texts, odd):
     assert packing.pack(packing.token_pieces(odd.limit(0), queries.word_bpe())).count() == 0
 
 
-def test_local_search_never_worse_and_keeps_all():
+def _fewest(lengths, capacity):
+    """The least number of bins, by trying all ways."""
+    best = len(lengths)
+
+    def place(i, bins):
+        nonlocal best
+        if len(bins) >= best:
+            return
+        if i == len(lengths):
+            best = len(bins)
+            return
+        for k in range(len(bins)):
+            if bins[k] + lengths[i] <= capacity:
+                place(i + 1, [*bins[:k], bins[k] + lengths[i], *bins[k + 1 :]])
+        place(i + 1, [*bins, lengths[i]])
+
+    place(0, [])
+    return best
+
+
+def test_local_search_against_all_ways():
+    rng = np.random.default_rng(4)
+    over = 0
+    for _ in range(60):
+        lengths = rng.integers(1, 60, 8)
+        bins, _ = packing.local_search(lengths, [[i] for i in range(8)], 100)
+        over += len(bins) - _fewest(lengths.tolist(), 100)
+    assert 0 <= over <= 6
+
+
+def test_local_search_makes_every_kind_of_change_and_keeps_all():
     rng = np.random.default_rng(2)
-    for _ in range(20):
-        lengths = rng.integers(1, 100, 60)
-        first = packing.best_fit(lengths, 100)
-        bins = packing.local_search(lengths, first, 100)
-        assert len(bins) <= len(first) and sorted(x for b in bins for x in b) == list(range(60))
-        assert max(int(lengths[b].sum()) for b in bins) <= 100
+    made, bins_, yard, square = Counter(), 0, 0, lambda lengths, bins: sum(int(lengths[b].sum()) ** 2 for b in bins)
+    for _ in range(30):
+        lengths = rng.integers(1, 100, 200)
+        first = packing.best_fit(lengths, 200, np.arange(200))
+        bins, changes = packing.local_search(lengths, first, 200)
+        made.update(changes)
+        assert len(bins) <= len(first) and sorted(x for b in bins for x in b) == list(range(200))
+        assert max(int(lengths[b].sum()) for b in bins) <= 200
+        assert square(lengths, bins) >= square(lengths, first)
+        bins_, yard = bins_ + len(bins), yard + len(packing.best_fit(lengths, 200, np.argsort(-lengths)))
+    assert min(made.values()) > 0 and bins_ <= 1.01 * yard
 
 
 def test_token_files(spark, texts, odd, tmp_path):
@@ -309,6 +388,62 @@ def test_title_and_links_of_custom_elements(spark):
     assert "title: Yes\r\n" in meta.decode() and "outlink: /yes\r\n" in meta.decode() and "/no" not in meta.decode()
 
 
+RECORD = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:x>\r\nContent-Length: 5\r\n\r\n<p>ab\r\n\r\n"
+
+
+@pytest.mark.parametrize(
+    "raw,kinds",
+    [
+        (RECORD, ["conversion", "metadata"]),
+        (RECORD.replace(b"Content-Length: 5\r\n", b""), ["malformed"]),
+        (RECORD.replace(b"WARC-Record-ID: <urn:x>\r\n", b""), ["malformed"]),
+        (RECORD.replace(b"<urn:x>", b"<urn:\xe9>"), ["conversion", "metadata"]),
+        (RECORD + RECORD[:-8], ["conversion", "malformed", "metadata"]),
+        (b"no record", ["malformed"]),
+        (b"\x1f\x8bbroken", ["malformed"]),
+        (None, []),
+        (b"", []),
+    ],
+)
+def test_warc_malformed_records_give_a_row(raw, kinds):
+    rows = list(warc._derived(1, raw or b""))
+    assert sorted(r[1] for r in rows) == kinds
+    assert all(r[8] for r in rows)
+
+
+def test_warc_scan_is_linear():
+    for bad in ("<a ", "<title>", "<script ", "<", "<!--", '<a b="', "<p x='"):
+        began = time.perf_counter()
+        warc.page_facts(bad * 100_000)
+        assert time.perf_counter() - began < 10, bad
+
+
+def test_warc_bodies_in_codings():
+    page = b"<p>Hello</p>"
+    chunked = b"5\r\n<p>He\r\n7;x=1\r\nllo</p>\r\n0\r\n\r\n"
+    for line, body in (("Content-Encoding: gzip", gzip.compress(page)), ("Content-Encoding: deflate", zlib.compress(page)), ("Transfer-Encoding: chunked", chunked), ("Content-Encoding: gzip", page)):
+        block = f"HTTP/1.1 200 OK\r\n{line}\r\n\r\n".encode() + body
+        (_, _, content, _), = [r for r in warc.derive([("WARC-Record-ID", "<urn:x>")], block) if r[0] == "conversion"]
+        assert content == b"Hello"
+
+
+def test_read_warc_files(spark, tmp_path):
+    pages = spark.createDataFrame([(i, f"http://a/{i}", f"<p>Page {i}\r\n\r\n</p>" + "x" * i) for i in range(40)], "page_id long, url string, html string")
+    raw = [bytes(r["record"]) for r in warc.responses(pages).collect()]
+    (tmp_path / "a.warc").write_bytes(b"".join(raw[:20]))
+    (tmp_path / "b.warc.gz").write_bytes(b"".join(gzip.compress(x) for x in raw[20:]))
+    got = warc.derivatives(warc.read_warc(spark, str(tmp_path)))
+    want = warc.derivatives(warc.responses(pages))
+    rows = lambda d: Counter(tuple(r) for r in d.select("record_type", "record_id", "record").collect())
+    assert rows(got) == rows(want)
+
+
+def test_chat_deep_quotes(spark):
+    rows = [(1, 0, "a", "hello there"), (1, 1, "b", "> " * 20_000 + "deep\n> hello there\nyes")]
+    got = {r["turn"]: r["reply_to"] for r in chat.reply_ordered(spark.createDataFrame(rows, CHAT)).collect()}
+    assert got == {0: None, 1: 0}
+
+
 def test_chat_odd(spark):
     rows = [(1, 0, "user", "Hello there\nfriend"), (1, 1, "bot", "> hello   there\n> friend\nyes"), (1, 2, "user", ">> hello there\n>> friend\n> yes\nok"), (1, 2, "user", None), (None, 1, "x", "> yes"), (2, None, None, "")]
     got = [tuple(r) for r in chat.reply_ordered(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()]
