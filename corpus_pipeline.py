@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lorequarry.llm import decontam, langid, linededup, minhash, packing
 from lorequarry.llm.queries import word_bpe
-from lorequarry.llm.shared import cut, table
+from lorequarry.llm.shared import checkpoint_folder, cut, remove, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A document whose best language has a lower posterior is rejected, as is one without letters.
@@ -65,11 +65,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on `documents`, each written to the shared folder and read again."""
+    """All stages on `documents`, each written to the shared folder and read by the next.
+
+    A stage's files are deleted as soon as its successor's are there.
+    """
     docs = table(spark, sf_dir, "documents").select(COLUMNS)
-    cut(spark.range(0))
-    folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
-    for name, stage in STAGES:
+    folder, before = f"{checkpoint_folder(spark)}/pipeline-{uuid.uuid4().hex}", None
+    for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
-    return docs
+        if before:
+            remove(spark, f"{folder}/{before}")
+        before = name
+    out = cut(STAGES[-1][1](spark, docs, sf_dir))
+    remove(spark, folder)
+    return out
