@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write `df` to the folder that spark.checkpoint.dir names and go on from there."""
+    """Write `df` to the folder that spark.checkpoint.dir names and go on from there.
+
+    Only a local session, whose driver runs all tasks, gets a folder made where none is named.
+    """
     sc = df.sparkSession.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="lorequarry-"))
+        named = sc.getConf().get("spark.checkpoint.dir")
+        if not named and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="lorequarry-"))
     return df.checkpoint(eager=True)
