@@ -45,7 +45,7 @@ def hit_rate(text: Column, wanted: Column) -> Column:
     return F.when(F.size(wanted) > 0, hits / F.size(wanted)).otherwise(0.0)
 
 
-def in_band(text: Column, low: float, high: float) -> Column:
+def in_band(text: Column, low: float | Column, high: float | Column) -> Column:
     """True if the text holds numbers and each lies in the band."""
     numbers = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(NUMBER), F.lit(0))
     return (F.size(numbers) > 0) & F.forall(numbers, lambda n: n.cast("double").between(low, high))

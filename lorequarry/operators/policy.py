@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .quality import violations
+
+#: The base layer, and below the states of gates, reviews and fallbacks.
 BASE_LAYER = "domain_general"
 
 
@@ -22,7 +25,8 @@ def gate_status(layer: Column, universal: Sequence[Column], general: Column) ->
 
 
 def fallback_state(brief: Column, required: Column, soft: Column, overlay: Column) -> Column:
-    """The first state that applies; null if an input is null or outside its closed list."""
+    """The first state that applies; null, a violation, if an input is null or outside its closed
+    list (`illegal_inputs` names those)."""
     known = brief.isin("complete", "missing") & required.isin("complete", "missing", "not_applicable") & soft.isin("complete", "partial_missing", "not_applicable") & overlay.isNotNull()
     return (
         F.when(~F.coalesce(known, F.lit(False)), F.lit(None))
@@ -34,6 +38,13 @@ def fallback_state(brief: Column, required: Column, soft: Column, overlay: Colum
     )
 
 
+def illegal_inputs(df: DataFrame, keys: Sequence[str], brief: str, required: str, soft: str, overlay: str) -> DataFrame:
+    """(keys, errors) of rows that fallback_state cannot decide, with the inputs at fault."""
+    closed = {brief: ("complete", "missing"), required: ("complete", "missing", "not_applicable"), soft: ("complete", "partial_missing", "not_applicable")}
+    rules = {name: F.col(name).isin(*values) for name, values in closed.items()}
+    return violations(df, keys, {**rules, overlay: F.col(overlay).isNotNull()})
+
+
 def missing_fields(requests: DataFrame, have: DataFrame, matrix: DataFrame) -> DataFrame:
     """(request_id, content_type, missing_hard, missing_soft, status) for each request.
 

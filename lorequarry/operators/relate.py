@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -70,15 +71,36 @@ def running_count(df: DataFrame, key: str, order: Sequence[str], condition: Colu
 def below(edges: DataFrame, start: DataFrame) -> DataFrame:
     """(node) reachable from `start` (node) along `edges` (parent, child); cycles end too.
 
-    Each round extends only what the last one reached and writes it to the checkpoint folder.
+    Each round extends only what the last one reached and writes that alone to the checkpoint
+    folder; the rounds are united at the end.
     """
     edges = edges.select("parent", "child")
-    reached = frontier = cut(start.select("node").distinct().join(edges, F.col("node") == F.col("parent")).select(F.col("child").alias("node")).distinct())
+    frontier = cut(start.select("node").distinct().join(edges, F.col("node") == F.col("parent")).select(F.col("child").alias("node")).distinct())
+    reached = [frontier]
     while not frontier.isEmpty():
         step = frontier.join(edges, F.col("node") == F.col("parent")).select(F.col("child").alias("node")).distinct()
-        frontier = cut(step.join(reached, "node", "left_anti"))
-        reached = cut(reached.unionAll(frontier))
-    return reached
+        frontier = cut(step.join(reduce(DataFrame.unionAll, reached), "node", "left_anti"))
+        reached.append(frontier)
+    return reduce(DataFrame.unionAll, reached)
+
+
+def levels(edges: DataFrame) -> DataFrame:
+    """(node, level): the longest way to each node of a graph (parent, child) from a node without
+    parents. Nodes on a cycle, or below one, have no level and are left out.
+
+    A round places the children whose parents are all placed; it costs one join of what is left.
+    """
+    edges = cut(edges.select("parent", "child").distinct())
+    roots = edges.select(F.col("parent").alias("node")).join(edges.select(F.col("child").alias("node")), "node", "left_anti").distinct()
+    placed, left, level = [roots.withColumn("level", F.lit(0))], edges, 0
+    frontier = cut(placed[0].select("node"))
+    while not frontier.isEmpty():
+        level += 1
+        met = left.join(frontier.withColumnRenamed("node", "parent"), "parent", "left_semi").select("child").distinct()
+        left = cut(left.join(frontier.withColumnRenamed("node", "parent"), "parent", "left_anti"))
+        frontier = cut(met.join(left.select("child"), "child", "left_anti").withColumnRenamed("child", "node"))
+        placed.append(frontier.withColumn("level", F.lit(level)))
+    return reduce(DataFrame.unionByName, placed)
 
 
 def append_new(old: DataFrame, new: DataFrame, keys: Sequence[str], order: Sequence) -> DataFrame:

@@ -36,6 +36,15 @@ def table_signature(df: DataFrame, columns: Sequence[str], buckets: int = 4096)
     return total.select(F.coalesce("n_rows", F.lit(0)).alias("n_rows"), F.sha2(F.array_join(F.transform("all", lambda x: x["s"]), ""), 256).alias("signature"))
 
 
+def manifest(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(manifest_hash, run_id, n): the signature of the entries, its first 16 digits, and the
+    number of hash prefixes that it is nested by."""
+    part = df.select(row_hash(columns).alias("h")).groupBy(F.substring("h", 1, 3).alias("p")).agg(F.sha2(F.array_join(F.array_sort(F.collect_list("h")), ""), 256).alias("s"))
+    whole = part.agg(F.array_sort(F.collect_list(F.struct("p", "s"))).alias("all"))
+    digest = F.sha2(F.array_join(F.transform("all", lambda x: x["s"]), ""), 256)
+    return whole.select(digest.alias("manifest_hash"), F.substring(digest, 1, 16).alias("run_id"), F.size("all").cast("long").alias("n"))
+
+
 def zero_filled(df: DataFrame, column: str, values: Sequence[str]) -> DataFrame:
     """(column, n) for every value of a closed list, zero where none occurs."""
     enum = df.sparkSession.createDataFrame([(v,) for v in values], f"{column} string")

@@ -1,3 +1,3 @@
 """Importing this package registers all queries in `catalog`."""
 
-from . import catalog, governance  # noqa: F401
+from . import catalog, compiled, gates, governance, serving  # noqa: F401

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import relate, rollup, scope, vectors
+from ..operators import quality, relate, rollup, scope, vectors
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -39,7 +39,7 @@ SELECT c_mktsegment, o_orderkey, o_totalprice, rn FROM (
   WHERE o_orderstatus = 'O' AND c_mktsegment IN ('BUILDING', 'MACHINERY')) WHERE rn <= 5""")
 def scoped_topn(spark, t):
     orders = t("orders").where("o_orderstatus = 'O'").select("o_orderkey", "o_custkey", "o_totalprice")
-    customer = scope.scoped(t("customer"), {"c_mktsegment": ["BUILDING", "MACHINERY"], "no_such_column": ["x"]}).select("c_custkey", "c_mktsegment")
+    customer = scope.scoped(t("customer"), {"c_mktsegment": ["BUILDING", "MACHINERY"]}, {"no_such_column": ["x"]}).select("c_custkey", "c_mktsegment")
     view = orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
     rank = F.row_number().over(Window.partitionBy("c_mktsegment").orderBy(F.desc("o_totalprice"), "o_orderkey"))
     return view.withColumn("rn", rank).where("rn <= 5").select("c_mktsegment", "o_orderkey", "o_totalprice", "rn")
@@ -47,7 +47,7 @@ def scoped_topn(spark, t):
 
 @query("SELECT p_partkey, p_brand, p_size FROM part WHERE p_brand IN ('Brand#12', 'Brand#23', 'Brand#34') AND p_size IN (1, 2, 3, 4, 5)")
 def tenant_filter(spark, t):
-    return scope.scoped(t("part"), {"p_brand": ["Brand#12", "Brand#23", "Brand#34"], "p_size": [1, 2, 3, 4, 5], "gate_status": ["active"]}).select("p_partkey", "p_brand", "p_size")
+    return scope.scoped(t("part"), {"p_brand": ["Brand#12", "Brand#23", "Brand#34"], "p_size": [1, 2, 3, 4, 5]}, {"no_such_column": ["active"]}).select("p_partkey", "p_brand", "p_size")
 
 
 @query("""
@@ -69,9 +69,12 @@ def priority_pick(spark, t):
     return scope.first_per(t("customer"), ["c_nationkey"], order).select("c_nationkey", "c_custkey", "c_name")
 
 
-@query("SELECT o_custkey, o_orderpriority, count(*) AS n, CASE WHEN count(*) = 1 THEN 'found' ELSE 'ambiguous' END AS verdict FROM orders GROUP BY 1, 2")
+@query("""
+WITH n AS (SELECT o_custkey, count(*) AS n FROM orders WHERE o_totalprice > 250000 GROUP BY 1)
+SELECT c_custkey AS o_custkey, coalesce(n, 0) AS n, CASE WHEN n = 1 THEN 'found' WHEN n IS NULL THEN 'not_found' ELSE 'ambiguous' END AS verdict FROM customer LEFT JOIN n ON c_custkey = o_custkey""")
 def point_lookup(spark, t):
-    return scope.exactly_one(t("orders"), ["o_custkey", "o_orderpriority"])
+    asked = t("customer").select(F.col("c_custkey").alias("o_custkey"))
+    return scope.exactly_one(asked, t("orders").where("o_totalprice > 250000"), ["o_custkey"])
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20")
@@ -79,9 +82,10 @@ def view_head(spark, t):
     return scope.head(t("orders"), [F.desc("o_totalprice"), "o_orderkey"], 20).select("o_orderkey", "o_totalprice")
 
 
-@query("SELECT p_partkey, p_name FROM part WHERE p_type LIKE '%STEEL%' AND p_brand LIKE 'Brand_1%' AND p_size NOT IN (1, 2)")
+@query("SELECT p_partkey, p_name FROM part WHERE p_type ILIKE '%econ%' AND p_brand ILIKE 'brand_1%' AND p_size NOT IN (1, 2)")
 def like_filters(spark, t):
-    return t("part").where(F.col("p_type").contains("STEEL") & F.col("p_brand").like("Brand_1%") & ~F.col("p_size").isin(1, 2)).select("p_partkey", "p_name")
+    """LIKE folds case; `_` is any one character."""
+    return t("part").where(F.col("p_type").ilike("%econ%") & F.col("p_brand").ilike("brand_1%") & ~F.col("p_size").isin(1, 2)).select("p_partkey", "p_name")
 
 
 @query("""
@@ -89,9 +93,8 @@ SELECT c_custkey, concat_ws(',', CASE WHEN c_acctbal < 0 THEN 'balance' END, CAS
   CASE WHEN c_mktsegment NOT IN ('BUILDING', 'MACHINERY', 'AUTOMOBILE') THEN 'segment' END) AS errors FROM customer
 WHERE NOT regexp_matches(c_name, '^Customer#[0-9]{9}$') OR c_acctbal < 0 OR c_mktsegment NOT IN ('BUILDING', 'MACHINERY', 'AUTOMOBILE')""")
 def row_validation(spark, t):
-    rules = [(F.col("c_name").rlike("^Customer#[0-9]{9}$"), "name"), (F.col("c_acctbal") >= 0, "balance"), (F.col("c_mktsegment").isin("BUILDING", "MACHINERY", "AUTOMOBILE"), "segment")]
-    errors = F.array_sort(F.array_compact(F.array(*(F.when(~ok, F.lit(name)) for ok, name in rules))))
-    return t("customer").select("c_custkey", errors.alias("e")).where(F.size("e") > 0).select("c_custkey", F.array_join("e", ",").alias("errors"))
+    rules = {"name": F.col("c_name").rlike("^Customer#[0-9]{9}$"), "balance": F.col("c_acctbal") >= 0, "segment": F.col("c_mktsegment").isin("BUILDING", "MACHINERY", "AUTOMOBILE")}
+    return quality.violations(t("customer"), ["c_custkey"], rules).select("c_custkey", F.array_join("errors", ",").alias("errors"))
 
 
 @query("SELECT s_nationkey, count(*) AS n_lines, min(l_shipdate) AS first_ship FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN orders ON l_orderkey = o_orderkey WHERE o_orderstatus = 'F' GROUP BY 1")
@@ -102,20 +105,19 @@ def three_way_join(spark, t):
     return both.groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("n_lines"), F.min("l_shipdate").alias("first_ship"))
 
 
-@query("SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
+@query("SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_totalprice > 250000)")
 def orphan_keys(spark, t):
-    return relate.orphans(t("customer"), "c_custkey", t("orders"), "o_custkey").select("c_custkey", "c_mktsegment")
+    return relate.orphans(t("customer"), "c_custkey", t("orders").where("o_totalprice > 250000"), "o_custkey").select("c_custkey", "c_mktsegment")
 
 
 @query("""
-WITH a AS (SELECT o_orderkey AS k, o_orderstatus AS v FROM orders WHERE o_orderkey % 5 <> 0),
-b AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 7 = 0 THEN 'X' ELSE o_orderstatus END AS v FROM orders WHERE o_orderkey % 3 <> 0)
+WITH a AS (SELECT c_custkey AS k, c_nationkey AS v FROM customer),
+b AS (SELECT o_custkey + 7 AS k, (min(o_orderkey) % 25)::INT AS v FROM orders GROUP BY 1)
 SELECT status, count(*) AS n FROM (SELECT CASE WHEN a.k IS NULL THEN 'only_right' WHEN b.k IS NULL THEN 'only_left'
   WHEN a.v IS NOT DISTINCT FROM b.v THEN 'same' ELSE 'mismatch' END AS status FROM a FULL JOIN b ON a.k = b.k) GROUP BY 1""")
 def mirror_diff(spark, t):
-    key, value = F.col("o_orderkey").alias("k"), F.col("o_orderstatus")
-    left = t("orders").where("o_orderkey % 5 <> 0").select(key, value.alias("v"))
-    right = t("orders").where("o_orderkey % 3 <> 0").select(key, F.when(F.col("o_orderkey") % 7 == 0, "X").otherwise(value).alias("v"))
+    left = t("customer").select(F.col("c_custkey").alias("k"), F.col("c_nationkey").alias("v"))
+    right = t("orders").groupBy((F.col("o_custkey") + 7).alias("k")).agg((F.min("o_orderkey") % 25).cast("int").alias("v"))
     return relate.difference(left, right, ["k"], ["v"]).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
 
 
