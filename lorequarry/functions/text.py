@@ -74,6 +74,14 @@ def uuid5(namespace: str, name: Column) -> Column:
     return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("5"), F.substring(h, 14, 3)), F.concat(variant, F.substring(h, 18, 3)), F.substring(h, 21, 12))
 
 
+def casefold(text: Column) -> Column:
+    """Case folding: upper then lower, so that ß and SS meet.
+
+    The empty text between them keeps the optimizer from dropping the first.
+    """
+    return F.lower(F.concat(F.upper(text), F.lit("")))
+
+
 @F.pandas_udf(StructType().add("start", "integer").add("length", "integer"))
 def longest_overlap(text: pd.Series, quote: pd.Series) -> pd.DataFrame:
     """The longest piece of the quote that the text holds, where it first stands there (code points).

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from ..functions.text import casefold
 from .lineage import cut
 
 
@@ -119,9 +120,9 @@ def orphan_refs(df: DataFrame, id_: str, refs: str, parent: DataFrame, key: str)
 
 
 def alias_index(df: DataFrame, alias: str, id_: str, ordinal: str, last: bool = False) -> DataFrame:
-    """(alias, id): trimmed, lower-cased aliases, each with its first or last id by the ordinal."""
+    """(alias, id): trimmed, case-folded aliases, each with its first or last id by the ordinal."""
     pick = F.max_by if last else F.min_by
-    return df.where(F.trim(alias) != "").groupBy(F.lower(F.trim(alias)).alias("alias")).agg(pick(id_, ordinal).alias("id"))
+    return df.where(F.trim(alias) != "").groupBy(casefold(F.trim(alias)).alias("alias")).agg(pick(id_, ordinal).alias("id"))
 
 
 def scope_end(df: DataFrame, key: str, pos: str, level: str, levels: int, name: str) -> DataFrame:

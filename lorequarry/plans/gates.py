@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import gates, relate
+from ..operators import gates, quality, relate
 from .catalog import query
 
 #: The views' governance columns from orders (packs) and customers (overlays), in both engines.
@@ -153,3 +153,34 @@ def replay_codes(spark, t):
 @query(CODED + "SELECT count(*) AS n, count(*) FILTER (WHERE code = 0) AS n_ok, round(count(*) FILTER (WHERE code = 0) / count(*), 4) AS rate, false AS all_pass FROM c")
 def replay_rate(spark, t):
     return gates.replay_rate(_codes(spark, t))
+
+
+@query("""
+SELECT o_orderkey, concat_ws(',', CASE WHEN o_orderstatus = 'F' AND o_totalprice < 20000 THEN 'decision_without_reviewer' END, CASE WHEN c_custkey IS NULL THEN 'unknown_row' END, CASE WHEN o_orderstatus = 'P' THEN 'illegal_decision' END) AS errors
+FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > -900) ON c_custkey = o_custkey WHERE (o_orderstatus = 'F' AND o_totalprice < 20000) OR c_custkey IS NULL OR o_orderstatus = 'P'""")
+def adjudication_contract(spark, t):
+    """Decisions must be legal, name a reviewer and a row that exists."""
+    known = t("customer").where("c_acctbal > -900").select("c_custkey")
+    rows = t("orders").join(known, F.col("c_custkey") == F.col("o_custkey"), "left")
+    rules = {"decision_without_reviewer": ~((F.col("o_orderstatus") == "F") & (F.col("o_totalprice") < 20000)), "illegal_decision": F.col("o_orderstatus") != "P", "unknown_row": F.col("c_custkey").isNotNull()}
+    order = ["decision_without_reviewer", "unknown_row", "illegal_decision"]
+    found = quality.violations(rows, ["o_orderkey"], rules)
+    return found.select("o_orderkey", F.array_join(F.array_intersect(F.array(*(F.lit(x) for x in order)), "errors"), ",").alias("errors"))
+
+
+@query("""
+WITH pol AS (SELECT n_name AS name, n_nationkey % 3 AS kind FROM nation WHERE n_regionkey <> 1), ref AS (SELECT DISTINCT n_name AS name FROM nation JOIN customer ON c_nationkey = n_nationkey WHERE c_acctbal > 9000)
+SELECT name, missing_in FROM (SELECT name, 'right' AS missing_in FROM pol WHERE name NOT IN (SELECT name FROM ref) UNION ALL SELECT name, 'left' FROM ref WHERE name NOT IN (SELECT name FROM pol)) UNION ALL SELECT name, 'bad_kind' FROM pol WHERE kind = 2""")
+def policy_closure(spark, t):
+    """Policies and what refers to them name each other, and each policy's kind is legal."""
+    rules = t("nation").where("n_regionkey <> 1").select(F.col("n_name").alias("name"), (F.col("n_nationkey") % 3).alias("kind"))
+    used = t("nation").join(t("customer").where("c_acctbal > 9000"), F.col("c_nationkey") == F.col("n_nationkey"), "left_semi").select(F.col("n_name").alias("name"))
+    sets = gates.set_gate(rules, used, "name").select(F.col("value").alias("name"), "missing_in")
+    return sets.unionByName(quality.violations(rules, ["name"], {"bad_kind": F.col("kind") != 2}).select("name", F.get("errors", F.lit(0)).alias("missing_in")))
+
+
+@query("SELECT p_partkey FROM part WHERE p_size % 4 = 0 OR p_size % 4 = 1")
+def completeness_gate(spark, t):
+    """S6: rows whose completeness is empty or blank."""
+    status = F.when(F.col("p_size") % 4 == 0, " ").when(F.col("p_size") % 4 == 1, None).otherwise("partial")
+    return quality.violations(t("part"), ["p_partkey"], {"completeness": F.trim(status) != ""}).select("p_partkey")

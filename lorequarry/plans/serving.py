@@ -152,12 +152,12 @@ def report_rollup(spark, t):
 
 
 @query("""
-SELECT p1.p_partkey, s1.s_name AS state, s2.s_name AS next_state FROM part p1 JOIN supplier s1 ON p1.p_size = s1.s_suppkey JOIN supplier s2 ON s2.s_suppkey = s1.s_suppkey + 1 WHERE p1.p_brand = 'Brand#12'""")
+SELECT p1.p_partkey, s1.s_name AS state, s2.s_name AS next_state FROM part p1 JOIN supplier s1 ON p1.p_size % 10 = s1.s_suppkey JOIN supplier s2 ON s2.s_suppkey = s1.s_suppkey + 1 WHERE p1.p_brand = 'Brand#12'""")
 def self_join_states(spark, t):
     """A register joined twice: a state and the one that follows it; the brand is a parameter."""
     t("part").createOrReplaceTempView("lq_part")
     t("supplier").createOrReplaceTempView("lq_states")
-    return spark.sql("SELECT p_partkey, a.s_name AS state, b.s_name AS next_state FROM lq_part JOIN lq_states a ON p_size = a.s_suppkey JOIN lq_states b ON b.s_suppkey = a.s_suppkey + 1 WHERE p_brand = :brand", args={"brand": "Brand#12"})
+    return spark.sql("SELECT p_partkey, a.s_name AS state, b.s_name AS next_state FROM lq_part JOIN lq_states a ON p_size % 10 = a.s_suppkey JOIN lq_states b ON b.s_suppkey = a.s_suppkey + 1 WHERE p_brand = :brand", args={"brand": "Brand#12"})
 
 
 @query("""
@@ -341,3 +341,29 @@ def manifest_hash(spark, t):
     """A manifest's hash (nested by prefix, so no task holds all entries) and the run id from it."""
     entries = t("pages").select("page_id", "url", F.char_length("html").alias("n_chars"))
     return rollup.manifest(entries, ["page_id", "url", "n_chars"])
+
+
+@query(None)
+def longest_overlaps(spark, t):
+    """The longest piece of a turn's text that stands in the turn before it, folded, with where it
+    begins, its line and an excerpt of 80 characters. SQL has no longest common substring."""
+    rows = relate.row_before(t("conversations").select("conv_id", "turn", "role", "text"), "conv_id", ["turn", "role", "text"], "text", "quote")
+    rows = rows.select("conv_id", "turn", F.col("text").alias("raw"), cases.folded(F.col("text")).alias("text"), cases.folded(F.col("quote")).alias("quote"))
+    found = rows.withColumn("x", text.longest_overlap(F.col("text"), F.col("quote")))
+    piece = F.substr("text", F.col("x.start") + 1, F.col("x.length"))
+    head = F.split_part(F.ltrim(piece), F.lit(" "), F.lit(1))
+    line = F.when(F.col("x.start") >= 0, F.regexp_count(F.call_function("substring_index", F.col("raw"), head, F.lit(1)), F.lit("\n")) + 1)
+    return found.select("conv_id", "turn", "x.start", "x.length", line.alias("line"), F.substring(piece, 1, 80).alias("excerpt"))
+
+
+@query("""
+WITH k AS (SELECT l_orderkey, list(DISTINCT l_returnflag) AS ks FROM lineitem GROUP BY 1)
+SELECT o_orderkey, concat_ws(',', CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') AND NOT coalesce(list_contains(ks, 'R'), false) THEN 'R' END, CASE WHEN o_orderpriority = '1-URGENT' AND NOT coalesce(list_contains(ks, 'A'), false) THEN 'A' END) AS missing
+FROM orders LEFT JOIN k ON l_orderkey = o_orderkey""")
+def evidence_keys(spark, t):
+    """Hard fields of a content type that no nested row of the bundle names; other types ask none."""
+    keys = t("lineitem").groupBy("l_orderkey").agg(F.collect_set("l_returnflag").alias("ks"))
+    hard = F.when(F.col("o_orderpriority") == "1-URGENT", F.array(F.lit("R"), F.lit("A"))).when(F.col("o_orderpriority") == "2-HIGH", F.array(F.lit("R"))).otherwise(F.array().cast("array<string>"))
+    rows = t("orders").join(keys, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    missing = F.array_except(hard, F.coalesce("ks", F.array().cast("array<string>")))
+    return rows.select("o_orderkey", F.array_join(missing, ",").alias("missing"))

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from lorequarry.operators import relate, rollup, scope, vectors
+from lorequarry.operators import gates, relate, retrieval, rollup, scope, vectors
 from lorequarry.plans import catalog
 from lorequarry.sources import readers, writers
 
@@ -25,20 +25,66 @@ def _rows(columns, rows):
     return sorted(tuple(str(r[i]) for i in order) for r in rows)
 
 
-@pytest.mark.parametrize("name", catalog.QUERIES)
+@pytest.mark.parametrize("name", catalog.ORACLES)
 def test_against_sql(spark, con, name):
     df = catalog.QUERIES[name](spark, SMALL)
     found = con.execute(catalog.ORACLES[name])
     columns = [d[0] for d in found.description]
     assert sorted(columns) == sorted(df.columns)
-    assert _rows(df.columns, df.collect()) == _rows(columns, found.fetchall())
+    rows = df.collect()
+    assert rows and _rows(df.columns, rows) == _rows(columns, found.fetchall())
+
+
+def test_longest_overlaps_equal_brute_force(spark):
+    """Each turn's longest common piece with the turn before it, by trying all pieces."""
+    got = {(r["conv_id"], r["turn"]): r["length"] for r in catalog.QUERIES["longest_overlaps"](spark, SMALL).collect()}
+    rows = spark.read.parquet(f"{SMALL}/conversations.parquet").orderBy("conv_id", "turn").limit(12).collect()
+    fold = lambda t: " ".join((t or "").split())
+    for a, b in zip(rows, rows[1:]):
+        if a["conv_id"] == b["conv_id"]:
+            x, y = fold(b["text"]), fold(a["text"])
+            best = next((n for n in range(min(len(x), len(y)), 0, -1) if any(y[i : i + n] in x for i in range(len(y) - n + 1))), 0)
+            assert got[b["conv_id"], b["turn"]] == best
 
 
 def test_head_bounds(spark):
     df = spark.range(1200)
     with pytest.raises(ValueError):
         scope.head(df, ["id"], 0)
-    assert scope.head(df, ["id"], 5000).count() == scope.MAX_ITEMS
+    assert scope.head(df, ["id"], 5000).count() == scope.MAX_ITEMS and scope.head(df, ["id"], 1100, None).count() == 1100
+
+
+def test_scope_never_opens(spark):
+    df = spark.createDataFrame([("a", 1), (None, 2)], "brand_layer string, rank int")
+    assert scope.scoped(df, {"brand_layer": ["a"]}, {"none": ["x"]}).count() == 1
+    for required in ({"tenant": ["a"]}, {"brand_layer": []}):
+        with pytest.raises(ValueError):
+            scope.scoped(df, required)
+    with pytest.raises(ValueError):
+        retrieval.payload_filter([])
+    assert scope.first_per(df, ["brand_layer"], ["rank"]).columns == ["brand_layer", "rank"]
+
+
+def test_rerank_is_held_to_the_candidates(spark):
+    near = spark.createDataFrame([(1, 0.1), (2, 0.2), (3, 0.3)], "id int, score double")
+    best = retrieval.rerank(near, lambda d: d.where("id <> 3").withColumn("rerank_score", F.lit(0.0)), "id", 2)
+    assert [r["id"] for r in best.collect()] == [1, 2]
+    with pytest.raises(ValueError, match="its own"):
+        retrieval.rerank(near, lambda d: d.withColumn("id", F.col("id") + 1).withColumn("rerank_score", F.lit(0.0)), "id", 2)
+
+
+def test_levels_leave_cycles_out(spark):
+    edges = spark.createDataFrame([(1, 2), (2, 3), (1, 3), (5, 6), (6, 5), (6, 7)], "parent long, child long")
+    assert {r["node"]: r["level"] for r in relate.levels(edges).collect()} == {1: 0, 2: 1, 3: 2}
+    assert relate.levels(edges.limit(0)).count() == 0
+
+
+def test_empty_gates_fail_and_empty_replays_pass(spark):
+    counts = spark.createDataFrame([("a", 3)], "view string, n long")
+    none = spark.createDataFrame([], "gate string, n long")
+    assert gates.verdicts(counts, none, ["S1"], ["a", "b"]).first()["verdict"] == "fail"
+    assert gates.verdicts(counts, none, ["S1"], ["a"]).first()["verdict"] == "pass"
+    assert tuple(gates.replay_rate(spark.createDataFrame([], "code int")).first()) == (0, 0, 0.0, True)
 
 
 def test_drop_reason_takes_null_as_failed(spark):

@@ -5,7 +5,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from lorequarry.functions import text
+from lorequarry.functions import cases, text
 from lorequarry.operators import policy, quality, relate, rollup
 from lorequarry.sources import writers
 from lorequarry.streaming import log as stream_log
@@ -52,6 +52,12 @@ def test_texts(spark):
     for price, ok in {"12 to 20": True, "5 or 900": False, "none": False, None: False}.items():
         assert _one(spark, text.in_band(F.col("p"), 1, 100), p=price) is ok
     assert _one(spark, text.token(F.col("p")), p=" Ab c-D ") == "ab_c_d"
+    assert _one(spark, text.casefold(F.col("a")) == text.casefold(F.col("b")), a="straße", b="STRASSE")
+    assert _one(spark, cases.json_texts(F.col("j")), j='{"k": {"n": ["a\\"b", 1]}, "t": "c", "": "d"}') == ['a\\"b', "c", "d"]
+    assert _one(spark, cases.folded(F.col("t")), t=" “a”、b。\t ​c ") == '"a",b. c'
+    assert _one(spark, cases.steps(F.col("s")), s="[broken; x") == ["[broken", "x"]
+    assert _one(spark, F.to_json(cases.inline_map(F.col("m"))), m="{a: 1, b: c:d}") == '{"a":"1","b":"c:d"}'
+    assert _one(spark, F.size(cases.numbered(F.col("n").cast("int"))), n="0") == 0
 
 
 @pytest.mark.parametrize("t, q, expected", [("say hello world", "xhello wx", (4, 7)), ("abab", "ab", (0, 2)), ("", "a", (-1, 0)), (None, "a", (-1, 0)), ("a", None, (-1, 0)), ("abc", "xyz", (-1, 0))])
