@@ -29,9 +29,10 @@ DERIVED = "page_id long, record_type string, record_id string, refers_to string,
 #: and tags without content, and all else ends it, whether or not `</head>` follows.
 _RAW = frozenset("script style noscript noframes template title".split())
 _CLOSE = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in _RAW}
-#: What follows a tag's name, up to its `>`; one in a quoted value does not end it.
-_REST = re.compile(r"""(?:=\s*+"[^"]*+"|=\s*+'[^']*+'|[^>=]++|=)*+>""")
-_NAME = re.compile(r"/?[a-zA-Z][^\s/>]*")
+#: A comment's begin, a declaration, or a tag with its whole name: a `>` in a quoted value does not
+#: end it, but where that leads past 400 parts, or nowhere, the first `>` does. So a page of any
+#: kind is read in about one pass.
+_TOKEN = re.compile(r"""<(?:(!--)|[!?][^>]*>|(/?[a-zA-Z][^\s/>]*)((?:=\s*+"[^"]*+"|=\s*+'[^']*+'|[^>=]++|=){0,400}+>|[^>]*>))""")
 _HREF = re.compile(r"""\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _CHARSET = re.compile(rb"""charset\s*=\s*["']?([A-Za-z0-9_.:-]+)""", re.I)
 _SPACE = re.compile(r"[^\S\n]+")
@@ -87,57 +88,35 @@ def parse(stream: io.BufferedIOBase) -> Iterator[tuple[list[tuple[str, str]], by
         yield headers, block
 
 
-def scan(page: str) -> Iterator[tuple[str, str, str]]:
-    """The page in turn as (kind, name, text): text, tag (its name and what follows it) or raw
-    (an element whose content is no text, with that content). One pass, whatever the page."""
-    at, end, last = 0, len(page), page.rfind(">")
-    while at < end:
-        lt = page.find("<", at)
-        if lt < 0 or lt > last and not page.startswith("<!--", lt):
-            yield "text", "", page[at:]
-            return
-        if lt > at:
-            yield "text", "", page[at:lt]
-        if page.startswith("<!--", lt):
-            close = page.find("-->", lt + 4)
-            yield "raw", "!--", ""
-            at = end if close < 0 else close + 3
-            continue
-        if page[lt + 1 : lt + 2] in ("!", "?"):
-            at = page.find(">", lt) + 1
-            continue
-        name = _NAME.match(page, lt + 1)
-        rest = name and _REST.match(page, name.end())
-        if not rest:
-            yield "text", "", "<"
-            at = lt + 1
-            continue
-        tag, at = name[0].lower(), rest.end()
-        if tag in _RAW:
-            close = _CLOSE[tag].search(page, at)
-            yield "raw", tag, page[at : close.start()] if close else ""
-            shut = page.find(">", close.end()) if close else -1
-            at = end if shut < 0 else shut + 1
-        else:
-            yield "tag", tag, rest[0]
-
-
 def page_facts(page: str) -> tuple[str, str | None, list[str]]:
     """The visible text (a line for each block element, without blank lines), title and links."""
-    text, title, links = [], None, []
-    for kind, name, what in scan(page):
-        if kind == "text":
-            text.append(what.replace("\r", " ").replace("\n", " "))
-        elif kind == "raw":
+    page = page.replace("\r", " ").replace("\n", " ")
+    text, title, links, at, end = [], None, [], 0, page.rfind(">") + 1
+    while token := _TOKEN.search(page, at, end):
+        text.append(page[at : token.start()])
+        comment, name, rest = token.groups()
+        at = token.end()
+        if comment:
+            close = page.find("-->", at)
             text.append(" ")
-            title = what if name == "title" and title is None and what else title
-        elif name.lstrip("/") in _BREAKS:
-            text.append("\n")
-        elif name == "a" and (href := _HREF.search(what)):
-            links.append(html.unescape(href[1] or href[2] or href[3] or ""))
+            at = len(page) if close < 0 else close + 3
+        elif name:
+            name = name.lower()
+            if name in _RAW:
+                close = _CLOSE[name].search(page, at)
+                text.append(" ")
+                if name == "title" and title is None and close and close.start() > at:
+                    title = " ".join(html.unescape(page[at : close.start()]).split())
+                shut = page.find(">", close.end()) if close else -1
+                at = len(page) if shut < 0 else shut + 1
+            elif name.lstrip("/") in _BREAKS:
+                text.append("\n")
+            elif name == "a" and (href := _HREF.search(rest)):
+                links.append(html.unescape(href[1] or href[2] or href[3] or ""))
+    text.append(page[at:].partition("<!--")[0])
     seen = _SPACE.sub(" ", html.unescape("".join(text)).replace("\xa0", " "))
     lines = (line.strip() for line in seen.split("\n"))
-    return "\n".join(x for x in lines if x), None if title is None else " ".join(html.unescape(title).split()), links
+    return "\n".join(x for x in lines if x), title, links
 
 
 def plain_text(page: str) -> str:
