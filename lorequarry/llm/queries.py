@@ -47,6 +47,37 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+OP10_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []
+           WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+           ELSE [array_to_string(w[i:i + 2], ' ') for i in range(1, len(w) - 1)] END) AS s
+  FROM words),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+-- equal sets are one class
+sets AS (SELECT doc_id, md5(string_agg(s, chr(10) ORDER BY s)) AS h FROM shingles GROUP BY doc_id),
+classes AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY h) AS rep FROM sets),
+of_reps AS (SELECT doc_id, s, n FROM shingles JOIN sizes USING (doc_id) JOIN classes USING (doc_id) WHERE doc_id = rep),
+pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, x.n AS na, y.n AS nb, count(*) AS common
+  FROM of_reps x JOIN of_reps y ON x.s = y.s AND x.doc_id < y.doc_id AND 100 * least(x.n, y.n) >= 85 * greatest(x.n, y.n)
+  GROUP BY ALL),
+links AS (SELECT a, b FROM pairs WHERE 100 * common >= 85 * (na + nb - common)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT DISTINCT a AS node, a AS seen FROM edges
+  UNION
+  SELECT r.node, e.b FROM reach r JOIN edges e ON e.a = r.seen),
+components AS (SELECT node, min(seen) AS component FROM reach GROUP BY node)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component, rep, d.doc_id) AS component_id,
+       coalesce(component, rep, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN classes USING (doc_id) LEFT JOIN components ON node = rep
+"""
+
+
 def word_bpe() -> str:
     import public_tokenizers
 
@@ -151,4 +182,4 @@ QUERIES = {
         op10_minhash_near_dedup,
     )
 }
-ORACLES = {"op1_line_dedup": OP1_SQL, "op3_chat_quotations": OP3_SQL}
+ORACLES = {"op1_line_dedup": OP1_SQL, "op3_chat_quotations": OP3_SQL, "op10_minhash_near_dedup": OP10_SQL}
