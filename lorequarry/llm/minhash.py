@@ -6,10 +6,12 @@ share a band meet in a bucket. The last four bits of all minima are its signatur
 member is first compared with its buckets' pivots (the member that meets most others), and the
 links found are contracted to components; so a bucket of mutual near copies costs about one
 comparison for each member. Where a pivot's members are then in several components, all pairs
-of different components are compared in blocks of BLOCK members, inside tasks, and only links
-become rows; no pair that shares a band and could join two components is left out. A pair is
-verified by its signatures (five standard errors below the threshold) and confirmed on the
-full sets, taken from the texts again.
+of different components are compared in blocks of BLOCK members, inside tasks: first by their
+signatures alone, then, for the members that have a partner left, on their texts. Only links
+that join two components become rows; no pair that shares a band and could do so is left out.
+A pair is verified by its signatures (five standard errors below the threshold) and confirmed
+on the full sets, taken from the texts again. What belongs to a key (a set's class, a bucket's
+pivot, a pivot's signature) meets the key's rows spread by a salt, so no key fills one task.
 """
 
 from __future__ import annotations
@@ -136,54 +138,95 @@ def _confirm(words: int, percent: int):
     return run
 
 
+def _partners(table, percent: int, least: float, smallest: np.ndarray, largest: np.ndarray):
+    """(x, rows y) of a block that lie in other components and may be linked, by signature."""
+    n = table.num_rows
+    rep, comp, side = (table.column(c).to_numpy() for c in ("rep", "component", "side"))
+    sig = np.array(table.column("sig").to_pylist(), np.int64).reshape(n, -1)
+    several = np.asarray(table.column("several"))
+    for x in np.flatnonzero(side == 0):
+        # the other side, or the same side of one block with itself
+        y = np.flatnonzero((comp != comp[x]) & ((side == 1) | ((side == 2) & (rep > rep[x]))))
+        y = y[(100 * largest[y] >= percent * smallest[x]) & (100 * largest[x] >= percent * smallest[y])]
+        if not len(y):
+            continue
+        differ = (sig[y] ^ sig[x]).reshape(len(y), -1, 4)
+        apart = differ[:, :, 0] | differ[:, :, 1] | differ[:, :, 2] | differ[:, :, 3]
+        close = SIGNATURE - np.bitwise_count(apart).sum(axis=1, dtype=np.int64) >= least
+        y = y[close | several[y] | several[x]]
+        if len(y):
+            yield x, y
+
+
+def _block_candidates(percent: int, least: float):
+    """The members of a block that have a partner by signature and size."""
+
+    def run(table):
+        found = np.zeros(table.num_rows, bool)
+        for x, y in _partners(table, percent, least, table.column("least").to_numpy(), table.column("most").to_numpy()):
+            found[x] = found[y] = True
+        return table.select(["a", "left", "right", "side", "rep"]).filter(pa.array(found))
+
+    return run
+
+
 def _block_links(words: int, percent: int, least: float):
-    """Links between different components among a block's rows; `main` rows only meet others."""
+    """Links that join different components of a block; those of components joined are left out."""
 
     def run(table):
-        n = table.num_rows
         rep, comp = (table.column(c).to_numpy() for c in ("rep", "component"))
-        side = table.column("side").to_numpy()
-        sig = np.array(table.column("sig").to_pylist(), np.int64).reshape(n, -1)
-        several = np.asarray(table.column("several"))
         values, at = K.shingle_sets(*text_bytes(table.column("text")), words)
         size = np.diff(at)
+        up: dict[int, int] = {}
+
+        def top(c: int) -> int:
+            while c in up:
+                c = up[c]
+            return c
+
         out: list[tuple[int, int]] = []
-        for x in np.flatnonzero(side == 0):
-            # the other side, or the same side of one block with itself
-            y = np.flatnonzero((comp != comp[x]) & ((side == 1) | ((side == 2) & (rep > rep[x]))))
-            y = y[(100 * size[y] >= percent * size[x]) & (100 * size[x] >= percent * size[y])]
-            if not len(y):
-                continue
-            differ = (sig[y] ^ sig[x]).reshape(len(y), -1, 4)
-            apart = differ[:, :, 0] | differ[:, :, 1] | differ[:, :, 2] | differ[:, :, 3]
-            close = SIGNATURE - np.bitwise_count(apart).sum(axis=1, dtype=np.int64) >= least
+        for x, partners in _partners(table, percent, least, size, size):
             own = values[at[x] : at[x + 1]]
-            for z in y[close | several[y] | several[x]]:
+            for z in partners:
+                one, two = top(int(comp[x])), top(int(comp[z]))
+                if one == two:
+                    continue
                 both = len(np.intersect1d(own, values[at[z] : at[z + 1]], assume_unique=True))
                 if 100 * both >= percent * (size[x] + size[z] - both):
                     out.append((min(rep[x], rep[z]), max(rep[x], rep[z])))
+                    up[max(one, two)] = min(one, two)
         a, b = zip(*out) if out else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return run
 
 
-def _in_blocks(met: DataFrame, comps: DataFrame, about: DataFrame, texts: DataFrame, run) -> DataFrame:
+def _salted(rows: DataFrame, *by: str) -> DataFrame:
+    """Add a salt, as many as the session has shuffle partitions, taken from the columns `by`."""
+    return rows.withColumn("salt", F.pmod(F.xxhash64(*by), F.lit(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))))
+
+
+def _ways(rows: DataFrame, what: DataFrame, *keys: str) -> DataFrame:
+    """`what`, one row a key, for every salt that the key has among the salted rows."""
+    return rows.select(*keys, "salt").distinct().join(what, [*keys])
+
+
+def _in_blocks(met: DataFrame, comps: DataFrame, about: DataFrame, texts: DataFrame, candidates, run) -> DataFrame:
     """The links between components among each pivot's members, found block by block.
 
     `met` is (a, rep): a pivot and the members of its buckets. The members outside the pivot's
     own component are dealt to blocks; each block meets itself, the later ones, and the blocks
-    of the pivot's component, whose rows are not compared with each other.
+    of the pivot's component, whose rows are not compared with each other. `candidates` sees the
+    blocks without texts; only the members it finds come to `run`, with their texts.
     """
     comp = comps.withColumnRenamed("node", "rep")
-    rows = met.unionAll(met.select("a", F.col("a").alias("rep"))).distinct()
+    rows = met.select("a", "rep").unionAll(met.select("a", F.col("a").alias("rep"))).distinct()
     rows = rows.join(comp, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mine = comps.select(F.col("node").alias("a"), F.col("component").alias("main"))
-    rows = rows.join(mine, "a", "left").withColumn("main", F.coalesce("main", "a"))
-    rest = F.count(F.when(F.col("component") != F.col("main"), 1))
-    split = rows.groupBy("a").agg(rest.alias("rest"), F.count(F.lit(1)).alias("n")).where("rest > 0")
-    split = split.select("a", F.ceil(F.col("rest") / BLOCK).cast("int").alias("outer"), F.greatest(F.lit(1), F.ceil((F.col("n") - F.col("rest")) / BLOCK)).cast("int").alias("inner"))
-    rows = rows.join(split, "a")
+    rows = cut(_salted(rows, "rep"))
+    per = rows.groupBy("a", "component").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("a") == F.col("rep")).alias("own"))
+    split = per.groupBy("a").agg(F.max(F.when(F.col("own"), F.col("component"))).alias("main"), F.sum(F.when(F.col("own"), F.col("n"))).alias("within"), F.sum("n").alias("n")).where("n > within")
+    split = split.select("a", "main", F.ceil((F.col("n") - F.col("within")) / BLOCK).cast("int").alias("outer"), F.ceil(F.col("within") / BLOCK).cast("int").alias("inner"))
+    rows = rows.join(_ways(rows, split, "a"), ["a", "salt"])
     h = F.xxhash64("rep")
     i = F.pmod(h, F.col("outer")).cast("int")
     j = F.pmod(h, F.col("inner")).cast("int")
@@ -198,8 +241,11 @@ def _in_blocks(met: DataFrame, comps: DataFrame, about: DataFrame, texts: DataFr
     inner = F.transform(upto(F.col("outer")), lambda k: at(k, -1 - j, F.lit(1)))
     dealt = rows.select("a", "rep", "component", F.explode(F.when(F.col("component") != F.col("main"), outer).otherwise(inner)).alias("at"))
     dealt = cut(dealt.select("a", "rep", "component", "at.*"))
-    ids = dealt.select(F.col("rep").alias("id")).distinct()
-    own = _only(texts, "id", ids, dealt.count()).withColumnRenamed("id", "rep").join(about.select("rep", "sig", "several"), "rep")
+    sigs = about.select("rep", "least", "most", "sig", "several")
+    members = cut(dealt.join(sigs, "rep").groupBy("a", "left", "right").applyInArrow(candidates, "a long, left int, right int, side int, rep long"))
+    dealt = dealt.join(members, ["a", "left", "right", "side", "rep"], "left_semi")
+    ids = members.select(F.col("rep").alias("id")).distinct()
+    own = _only(texts, "id", ids, members.count()).withColumnRenamed("id", "rep").join(sigs, "rep")
     return dealt.join(own, "rep").groupBy("a", "left", "right").applyInArrow(run, "a long, b long").distinct()
 
 
@@ -210,12 +256,12 @@ def _only(df: DataFrame, column: str, ids: DataFrame, n: int) -> DataFrame:
 
 
 def _with_both(pairs: DataFrame, what: DataFrame, value: str, n: int) -> DataFrame:
-    """Add value_a and value_b of a pair's two ids; `what` is (id, value)."""
+    """Add value_a and value_b of a salted pair's two ids; `what` is (id, value)."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     few = _only(what, "id", ids, 2 * n)
     one = few.select(F.col("id").alias("a"), F.col(value).alias(f"{value}_a"))
     two = few.select(F.col("id").alias("b"), F.col(value).alias(f"{value}_b"))
-    return pairs.join(one, "a").join(two, "b")
+    return pairs.join(_ways(pairs, one, "a"), ["a", "salt"]).join(_ways(pairs, two, "b"), ["b", "salt"])
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: int = 5, bands: int = 30) -> DataFrame:
@@ -232,21 +278,24 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
     t = percent / 100
     docs = small_batches(docs).select("doc_id", "text")
     feats = cut(docs.mapInArrow(lean(_features(words, rows, bands)), "doc_id long, n_shingles long, set_a long, set_b long, keys binary, sig array<long>"))
-    real = feats.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = real.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("rep"))
+    real = _salted(feats.where("n_shingles > 0 AND doc_id IS NOT NULL"), "doc_id")
+    a_set = ["set_a", "set_b", "n_shingles"]
+    classes = cut(real.groupBy(a_set).agg(F.min("doc_id").alias("rep")))
     ones = classes.select(F.col("rep").alias("doc_id"))
     # a doc_id with two texts is one node: its sets share bands through that id
     reps = real.join(ones, "doc_id", "left_semi")
 
-    banded = reps.select("doc_id", "keys").mapInArrow(lean(_banded), "key long, rep long")
-    shared = banded.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.count(F.lit(1)).alias("weight")).where("lo < hi").select("key", "weight")
-    members = cut(banded.join(shared, "key").distinct())  # only buckets of two classes or more
+    banded = _salted(reps.select("doc_id", "keys").mapInArrow(lean(_banded), "key long, rep long"), "rep")
+    parts = banded.groupBy("key", "salt").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi"), F.count(F.lit(1)).alias("weight"))
+    shared = parts.groupBy("key").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("weight").alias("weight")).where("lo < hi")
+    shared = parts.select("key", "salt").join(shared.select("key", "weight"), "key")
+    members = cut(banded.join(shared, ["key", "salt"]).distinct())  # only buckets of two classes or more
     # the class that meets most others is likeliest the one that the others were copied from
     weights = members.groupBy("rep").agg(F.sum("weight").alias("weight"))
     about = reps.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "sig").join(weights, "rep")
     about = cut(about.groupBy("rep").agg(F.max("weight").alias("weight"), F.min("n").alias("least"), F.max("n").alias("most"), F.first("sig").alias("sig"), (F.min("sig") != F.max("sig")).alias("several")))
-    members = members.select("key", "rep").join(about.select("rep", "weight"), "rep")
-    pivot = members.groupBy("key").agg(F.max(F.struct("weight", (-F.col("rep")).alias("late"))).alias("p")).select("key", (-F.col("p.late")).alias("a"))
+    weighed = members.select("key", "rep").join(about.select("rep", "weight"), "rep")
+    pivot = weighed.groupBy("key").agg(F.max(F.struct("weight", (-F.col("rep")).alias("late"))).alias("p")).select("key", (-F.col("p.late")).alias("a"))
 
     texts = docs.withColumnRenamed("doc_id", "id")
     equal = t + (1 - t) / 16  # what agrees of two signatures, by chance in the last bits too
@@ -257,25 +306,26 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
     alike = (100 * F.col("most") >= percent * F.col("a_least")) & (100 * F.col("a_most") >= percent * F.col("least")) & (F.col("several") | F.col("a_several") | (_agreement("sig", "a_sig") >= least))
 
     def ordered(found: DataFrame) -> DataFrame:
-        return found.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct()
+        return _salted(found.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct(), "a", "b")
 
     def verified(pairs: DataFrame) -> DataFrame:
         return cut(_with_both(pairs, texts, "text", pairs.count()).select("a", "b", "text_a", "text_b").mapInArrow(lean(_confirm(words, percent)), "a long, b long").distinct())
 
-    met = cut(members.join(pivot, "key").where("a <> rep").select("a", "rep").distinct())
-    pairs = cut(ordered(met.join(left, "a").join(right, "rep").where(alike)))
+    met = cut(members.join(_ways(members, pivot, "key"), ["key", "salt"]).where("a <> rep").select("a", "rep", "salt").distinct())
+    pairs = cut(ordered(met.join(_ways(met, left, "a"), ["a", "salt"]).join(right, "rep").where(alike)))
     comps = cut(components(verified(pairs)))
-    more = cut(_in_blocks(met, comps, about, texts, _block_links(words, percent, least)))
+    more = cut(_in_blocks(met, comps, about, texts, _block_candidates(percent, least), _block_links(words, percent, least)))
     if not more.isEmpty():
         comps = cut(components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more)))
 
-    of_set = real.select("doc_id", "set_a", "set_b", "n_shingles").join(classes, ["set_a", "set_b", "n_shingles"]).select("doc_id", "rep")
     # an id with several texts ties its classes together
-    ties = of_set.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    sets = real.select("doc_id", *a_set, "salt")
     twice = real.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
     if not twice.isEmpty():
-        comps = cut(components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(ties.join(twice.withColumnRenamed("doc_id", "a"), "a", "left_semi"))))
-    placed = of_set.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("doc_id", F.coalesce("component", "rep").alias("component_id"))
+        tied = sets.join(twice, "doc_id", "left_semi").join(classes, a_set).where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+        comps = cut(components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(tied)))
+    named = classes.join(comps.withColumnRenamed("node", "rep"), "rep", "left").select(*a_set, F.coalesce("component", "rep").alias("component_id"))
+    placed = sets.join(_ways(sets, named, *a_set), [*a_set, "salt"]).select("doc_id", "component_id")
     placed = placed.groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
     out = feats.select("doc_id", "n_shingles").join(placed, "doc_id", "left")
     out = out.withColumn("component_id", F.coalesce("component_id", "doc_id"))
