@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, huffman, langid, linededup, minhash, packing, quality, simhash, warc
+from . import chat, decontam, huffman, langid, linededup, minhash, packing, quality, repetition, runs, simhash, warc, whitening
 from .shared import cut, remove, table
 
 
@@ -167,6 +167,51 @@ def op8_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "record_type", "record_id", "refers_to", "target_uri", "source_block_digest", "block_digest", "content_length", F.sha2("record", 256).alias("record_sha256"))
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.coverage(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+w AS (SELECT r, doc_id, text, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS w FROM d),
+base AS (SELECT r, doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols FROM w),
+lines AS (SELECT r, line, pos, row_number() OVER (PARTITION BY r, line ORDER BY pos) > 1 AS again FROM (
+  SELECT r, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM w) WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
+dup AS (SELECT r, count(*) AS n_dup_lines, sum(length(regexp_replace(line, '[\\x20\\x09-\\x0D]', '', 'g'))) AS dup_line_chars FROM lines WHERE again GROUP BY 1),
+each AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM w),
+grams AS (SELECT r, n, i, row_number() OVER (PARTITION BY r, n, g ORDER BY i) > 1 AS again, count(*) OVER (PARTITION BY r, n, g) > 1 AS twice FROM (
+  SELECT r, n, unnest(range(1, len(w) - n + 2)) AS i, w[i:i + n - 1] AS g FROM w, (VALUES ({repetition.BASE}), {", ".join(f"({n})" for n in repetition.WINDOWS)}) v(n) WHERE len(w) >= n)),
+hit AS (SELECT DISTINCT r, n, i + unnest(range(0, n)) AS i FROM grams WHERE CASE WHEN n = {repetition.BASE} THEN twice ELSE again END),
+cover AS (SELECT r, count(*) FILTER (WHERE n = {repetition.BASE}) AS n_repeat_words, {", ".join(f"sum(length(word)) FILTER (WHERE n = {n}) AS g{n}" for n in repetition.WINDOWS)} FROM hit JOIN each USING (r, i) GROUP BY 1),
+x AS (SELECT doc_id, n_words, word_chars, n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(dup_line_chars, 0)::BIGINT AS dup_line_chars,
+  {", ".join(f"coalesce(g{n}, 0)::BIGINT AS dup_{n}gram_chars" for n in repetition.WINDOWS)} FROM base LEFT JOIN dup USING (r) LEFT JOIN cover USING (r))
+SELECT *, n_words < {repetition.LEAST_WORDS} OR 100 * n_repeat_words > {repetition.MOST_REPEATED} * n_words AS base_failed,
+  NOT base_failed AND 100 * dup_line_chars <= {repetition.LINE_CHARS} * word_chars {" ".join(f"AND 100 * dup_{n}gram_chars <= {most} * word_chars" for n, most in repetition.WINDOWS.items())} AS kept
+FROM x
+"""
+
+
+def _edited(doc_id: Column, text: Column) -> Column:
+    """op12's text: for one id in ten by its crc32, the words from a on repeat the p that stand there."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    w = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    n, g = F.size(w).cast("long"), F.floor(h / 10)
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    again = F.flatten(F.array_repeat(F.slice(w, a + 1, p), F.ceil((n - a) / p).cast("int")))
+    return F.when((h % 10 == 0) & text.rlike(r"[^\x20\x09-\x0D]"), F.array_join(F.slice(F.concat(F.slice(w, F.lit(1), a), again), F.lit(1), n.cast("int")), " ")).otherwise(text)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", _edited(F.col("doc_id"), F.col("text")).alias("text"))
+    out = runs.periodic_runs(docs).withColumn("collapsed_sha256", F.sha2("collapsed", 256))
+    return out.select("doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -180,6 +225,9 @@ QUERIES = {
         op8_warc_derivatives,
         op9_quality_classifier,
         op10_minhash_near_dedup,
+        op11_quality_rules,
+        op12_periodic_runs,
+        op13_embedding_whitening,
     )
 }
-ORACLES = {"op1_line_dedup": OP1_SQL, "op3_chat_quotations": OP3_SQL, "op10_minhash_near_dedup": OP10_SQL}
+ORACLES = {"op1_line_dedup": OP1_SQL, "op3_chat_quotations": OP3_SQL, "op10_minhash_near_dedup": OP10_SQL, "op11_quality_rules": OP11_SQL}
