@@ -135,7 +135,7 @@ SELECT DISTINCT a.l_orderkey, a.l_linenumber, a.lv AS level, (SELECT min(b.l_lin
 FROM (SELECT *, l_quantity::INT % 3 + 1 AS lv FROM lineitem) a""")
 def descendant_scope(spark, t):
     lines = t("lineitem").select("l_orderkey", "l_linenumber", (F.col("l_quantity").cast("int") % 3 + 1).alias("level"))
-    return relate.scope_end(lines, "l_orderkey", "l_linenumber", "level", 3, "scope_end").distinct()
+    return relate.scope_end(lines, "l_orderkey", "l_linenumber", "level", "scope_end").distinct()
 
 
 @query("""

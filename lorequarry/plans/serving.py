@@ -235,21 +235,6 @@ def deploy_pairs(spark, t):
     return t("supplier").join(runs, F.col("c_custkey") == F.col("s_suppkey"), "left").select(F.coalesce(F.col("c_custkey").cast("string"), F.concat(F.lit("mpv::"), "s_suppkey")).alias("run"), "s_suppkey", "c_name")
 
 
-@query("""
-WITH u AS (SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 250000)),
-h AS (SELECT c_custkey, s_suppkey FROM u JOIN supplier ON s_suppkey % 10 = c_custkey % 10 AND contains(s_name, right(c_custkey::VARCHAR, 1)) WHERE s_suppkey < 60)
-SELECT u.c_custkey, count(s_suppkey) AS n, coalesce(array_to_string(list(s_suppkey ORDER BY s_suppkey) FILTER (WHERE s_suppkey IS NOT NULL)[1:5], ','), '') AS ids FROM u LEFT JOIN h ON u.c_custkey = h.c_custkey GROUP BY 1""")
-def uncovered_references(spark, t):
-    """Rows that nothing covers, with how often and where they are still named (first five)."""
-    covered = t("orders").where("o_totalprice > 250000").select(F.col("o_custkey").alias("c_custkey"))
-    left = t("customer").select("c_custkey").join(covered, "c_custkey", "left_anti")
-    named = t("supplier").where("s_suppkey < 60").select("s_suppkey", "s_name")
-    hit = (F.col("s_suppkey") % 10 == F.col("c_custkey") % 10) & F.col("s_name").contains(F.right(F.col("c_custkey").cast("string"), F.lit(1)))
-    found = left.join(F.broadcast(named), hit, "left")  # fewer than 60 rows
-    ids = F.slice(F.array_sort(F.collect_list("s_suppkey")), 1, 5)
-    return found.groupBy("c_custkey").agg(F.count("s_suppkey").alias("n"), F.array_join(ids, ",").alias("ids"))
-
-
 @query("""
 SELECT event_id, event_type FROM (SELECT event_id, event_type, ts FROM events ORDER BY event_id DESC LIMIT 15)""")
 def tail_events(spark, t):
