@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import phrases
+from ..operators import ann, phrases
 from .catalog import query
 
 PIECES = """p AS (SELECT DISTINCT item_id, p FROM (SELECT item_id, trim(unnest(regexp_split_to_array(text, '[,.;!?]')), ' ') AS p FROM benchmark) WHERE length(p) >= {least})"""
@@ -59,3 +59,13 @@ def cited_overlaps(spark, t):
     found = pairs.withColumn("x", text.longest_overlap(F.col("text"), F.col("quote")))
     line = F.size(F.split(F.substr("text", F.lit(1), F.col("x.start")), "\n"))
     return found.select("doc_id", "item_id", "x.start", "x.length", F.floor(100 * F.col("x.length") / F.char_length("quote")).alias("percent"), line.alias("line"))
+
+
+@query(None)
+def vector_lists_topk(spark, t):
+    """The eight nearest that a payload filter leaves, for every id divisible by 50, by inverted
+    lists. Approximate, so no SQL; the tests hold it to a recall of 0.9."""
+    corpus = t("embeddings").withColumn("gate_status", F.when(F.col("vec_id") % 4 == 0, "draft").otherwise("active"))
+    lists = ann.train(corpus)
+    found = ann.search(ann.assign(corpus, lists), lists, corpus.where("vec_id % 50 = 0"), 8, F.col("gate_status") == "active")
+    return found.select("query_id", "vec_id", "rank")

@@ -3,10 +3,12 @@
 import random
 import time
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lorequarry.functions.text import common_piece
-from lorequarry.operators import phrases
+from lorequarry.operators import ann, phrases, vectors
 from lorequarry.plans import catalog
 
 SMALL = "/root/testdata/sf0.001"
@@ -56,3 +58,42 @@ def test_cited_overlaps(spark):
     for r in rows[:6]:
         assert (r["start"], r["length"]) == _brute(docs[r["doc_id"]], items[r["item_id"]])
         assert r["line"] == docs[r["doc_id"]][: r["start"]].count("\n") + 1
+
+
+FILTERS = ["true", "label < 5", "vec_id % 4 <> 0", "label = 3", "vec_id % 7 = 1 AND label <> 2"]
+
+
+@pytest.mark.parametrize("where", FILTERS)
+def test_lists_recall(spark, where):
+    """At least nine in ten of the exact nearest under each filter, whatever it leaves."""
+    corpus = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    lists = ann.train(corpus)
+    queries = corpus.where("vec_id % 50 = 0")
+    pairs = lambda df: {(r["query_id"], r["vec_id"]) for r in df.collect()}
+    want = pairs(vectors.top_k_each(corpus.where(where), queries, 8))
+    got = pairs(ann.search(ann.assign(corpus, lists), lists, queries, 8, F.expr(where)))
+    assert len(got & want) >= 0.9 * len(want)
+
+
+def test_lists_prune_and_scores_are_exact(spark, tmp_path, monkeypatch):
+    """Clustered vectors need few probes; a saved index reads only probed lists; small blocks change nothing."""
+    rng = np.random.default_rng(4)
+    heads = rng.normal(size=(40, 16)) * 4
+    made = heads[rng.integers(0, 40, 3000)] + rng.normal(size=(3000, 16)) * 0.3
+    rows = [(i, v) for i, v in enumerate(made.tolist())] + [(9001, None), (9002, [1.0]), (9003, [float("nan")] * 16), (9004, [0.0] * 16), (None, made[0].tolist()), (7, made[7].tolist())]
+    corpus = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    lists = ann.train(corpus, lists=40)
+    assert lists.probes_for(3000) <= 4 and lists.probes_for(1) == 40
+    ann.save(ann.assign(corpus, lists), lists, str(tmp_path))
+    index, again = ann.load(spark, str(tmp_path))
+    assert np.array_equal(again.centers, lists.centers) and again.probes == lists.probes
+    assert "PartitionFilters: [isnotnull(list" in index.where("list = 3")._jdf.queryExecution().executedPlan().toString()
+    queries = corpus.where("vec_id % 50 = 0 OR vec_id > 9000")
+    one = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in ann.search(index, again, queries, 5).collect()}
+    monkeypatch.setattr(ann, "BLOCK", 7)
+    assert one == {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in ann.search(index, again, queries, 5).collect()}
+    exact = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in vectors.top_k_each(corpus, queries, 5).collect()}
+    assert sum(one.get(q) == v for q, v in exact.items()) >= 0.9 * len(exact)
+    assert ann.search(index, again, queries, 5, F.lit(False)).count() == 0
+    none = corpus.limit(0)
+    assert ann.search(ann.assign(none, ann.train(none)), ann.train(none), queries, 5).count() == 0
