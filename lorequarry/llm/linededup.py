@@ -24,6 +24,9 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 KEY = ["h1", "h2"]
 
 
+_ORDERED = "spark.sql.legacy.bucketedTableScan.outputOrdering"
+
+
 def line_key(line: Column) -> Column:
     """The line without white space at its ends, A-Z lower-cased."""
     bare = F.btrim(line, F.lit(_WHITE))
@@ -47,7 +50,8 @@ class Runs:
         self.levels: list[list[DataFrame]] = []
         self.names: list[str] = []
         # a bucket of one file keeps its order when read
-        spark.conf.set("spark.sql.legacy.bucketedTableScan.outputOrdering", "true")
+        self.before = spark.conf.get(_ORDERED, None)
+        spark.conf.set(_ORDERED, "true")
 
     def write(self, keys: DataFrame) -> DataFrame:
         name = f"lorequarry_run_{uuid.uuid4().hex}"
@@ -74,8 +78,13 @@ class Runs:
             self.add(self.write(merged), level + 1)
 
     def drop(self) -> None:
+        """Drop the tables and put the session's setting back."""
+        if self.before is None:
+            self.spark.conf.unset(_ORDERED)
+        else:
+            self.spark.conf.set(_ORDERED, self.before)
         for name in self.names:
-            self.spark.sql(f"DROP TABLE {name}")
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def dropped_lines(docs: DataFrame, min_length: int = 10, batches: int = 4, fanout: int = 2) -> DataFrame:
@@ -84,21 +93,22 @@ def dropped_lines(docs: DataFrame, min_length: int = 10, batches: int = 4, fanou
     docs = docs.where("doc_id IS NOT NULL")
     bounds = part_bounds(docs, "doc_id", batches)
     folder = f"{checkpoint_folder(spark)}/lines-{uuid.uuid4().hex}"
-    hashed_lines(docs, min_length).withColumn("batch", part_of(F.col("doc_id"), bounds)).write.partitionBy("batch").parquet(f"{folder}/lines")
-    lines = spark.read.schema("doc_id long, pos int, h1 long, h2 long, batch int").parquet(f"{folder}/lines")
     runs, out = Runs(spark, folder, int(spark.conf.get("spark.sql.shuffle.partitions")), fanout), []
-    for i in range(len(bounds) + 1):
-        batch = lines.where(F.col("batch") == i).drop("batch")
-        run = runs.write(runs.new(batch.groupBy(*KEY).agg(F.min("doc_id").alias("first"))))
-        # by key and document, so that a line of very many documents is spread over the tasks
-        held = run.withColumnRenamed("first", "doc_id")
-        out.append(batch.join(held, [*KEY, "doc_id"], "left_anti").select("doc_id", "pos"))
-        if i < len(bounds):
-            runs.add(run)
-    found = cut(reduce(DataFrame.unionAll, out))
-    runs.drop()
-    remove(spark, folder)
-    return found
+    try:
+        hashed_lines(docs, min_length).withColumn("batch", part_of(F.col("doc_id"), bounds)).write.partitionBy("batch").parquet(f"{folder}/lines")
+        lines = spark.read.schema("doc_id long, pos int, h1 long, h2 long, batch int").parquet(f"{folder}/lines")
+        for i in range(len(bounds) + 1):
+            batch = lines.where(F.col("batch") == i).drop("batch")
+            run = runs.write(runs.new(batch.groupBy(*KEY).agg(F.min("doc_id").alias("first"))))
+            # by key and document, so that a line of very many documents is spread over the tasks
+            held = run.withColumnRenamed("first", "doc_id")
+            out.append(batch.join(held, [*KEY, "doc_id"], "left_anti").select("doc_id", "pos"))
+            if i < len(bounds):
+                runs.add(run)
+        return cut(reduce(DataFrame.unionAll, out))
+    finally:
+        runs.drop()
+        remove(spark, folder)
 
 
 def dedup_lines(docs: DataFrame, min_length: int = 10, batches: int = 4, fanout: int = 2) -> DataFrame:

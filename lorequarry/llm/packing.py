@@ -1,11 +1,12 @@
 """Packing documents' token pieces into sequences of fixed length.
 
 Pieces are dealt to groups of bounded size by hash, so no group or task grows with the
-input. A group starts from a plain deal (each piece, in the order of doc_id, to the fullest bin
-that has room) and goes on by local search: a move, a one-for-one or a two-for-one exchange is made whenever it adds to the sum of
-squared fills at the cost of an underfull bin, until that bin is empty or no exchange is left.
-What lies in bins that stay clearly underfull is dealt anew and packed once more. Best fit of
-the longest first is the tests' yardstick.
+input. A group is packed by local search: a move, a one-for-one or a two-for-one exchange is made
+whenever it adds to the sum of squared fills at the cost of an underfull bin, until that bin is
+empty or no exchange is left. It starts from best fit of the longest first, so it never needs
+more bins than that, and where it does not reach the least number also from a plain deal, which
+leaves more to exchange. What lies in bins that stay clearly underfull is dealt anew and packed
+once more.
 """
 
 from __future__ import annotations
@@ -14,8 +15,8 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -165,24 +166,40 @@ def local_search(lengths: np.ndarray, bins: list[list[int]], capacity: int) -> t
     return [sorted(b) for b in s.bins if b], s.made
 
 
+def fewest_bins(lengths: np.ndarray, capacity: int) -> list[list[int]]:
+    """The better of two local searches: from best fit of the longest first, and, unless that
+    reaches the least number that could hold all, from a plain deal in the order given."""
+    starts = (np.argsort(-lengths, kind="stable"), np.arange(len(lengths)))
+    best: list[list[int]] = []
+    for order in starts:
+        found, _ = local_search(lengths, best_fit(lengths, capacity, order), capacity)
+        best = found if not best or len(found) < len(best) else best
+        if len(best) <= -(-int(lengths.sum()) // capacity):
+            break
+    return best
+
+
 def _pack_group(capacity: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_id", "piece", "length", "ids_crc32"]).reset_index(drop=True)
-        lengths = pdf["length"].to_numpy(np.int64)
-        bins, _ = local_search(lengths, best_fit(lengths, capacity, np.arange(len(lengths))), capacity)
-        seq, offset, fill = np.zeros(len(pdf), np.int64), np.zeros(len(pdf), np.int64), np.zeros(len(pdf), np.int64)
-        for k, members in enumerate(bins):
+    def run(table: pa.Table) -> pa.Table:
+        # ids stay in Arrow: pandas would make doubles of those beside a null
+        table = table.take(pc.sort_indices(table, [(c, "ascending") for c in ("doc_id", "piece", "length", "ids_crc32")]))
+        lengths = np.asarray(table["length"])
+        seq, offset, fill = (np.zeros(len(lengths), np.int64) for _ in range(3))
+        for k, members in enumerate(fewest_bins(lengths, capacity)):
             n = lengths[members]
             seq[members], offset[members], fill[members] = k, np.cumsum(n) - n, n.sum()
-        return pdf.assign(sequence_id=pdf["grp"].to_numpy(np.int64) * (1 << 32) + seq, offset=offset, fill=fill).drop(columns="grp")
+        seq += np.asarray(table["grp"]) * (1 << 32)
+        for name, column in (("sequence_id", seq), ("offset", offset), ("fill", fill)):
+            table = table.append_column(name, pa.array(column))
+        return table.drop_columns(["grp"])
 
     return run
 
 
 def _deal(pieces: DataFrame, capacity: int, group: int, n: int, salt: int, base: int) -> DataFrame:
     groups = max(1, -(-n // group))
-    dealt = pieces.withColumn("grp", F.pmod(F.xxhash64(F.lit(salt), "doc_id", "piece", "ids_crc32"), F.lit(groups)) + base)
-    return dealt.groupBy("grp").applyInPandas(_pack_group(capacity), f"{_PIECES}, sequence_id long, offset long, fill long")
+    dealt = pieces.withColumn("grp", (F.pmod(F.xxhash64(F.lit(salt), "doc_id", "piece", "ids_crc32"), F.lit(groups)) + base).cast("long"))
+    return dealt.groupBy("grp").applyInArrow(_pack_group(capacity), f"{_PIECES}, sequence_id long, offset long, fill long")
 
 
 def pack(pieces: DataFrame, capacity: int = 4096, group: int = 8192, underfull: float = 0.97) -> DataFrame:
@@ -190,9 +207,10 @@ def pack(pieces: DataFrame, capacity: int = 4096, group: int = 8192, underfull:
 
     Every sequence is gapless from 0 and holds at most `capacity` ids. Groups have about
     `group` pieces. Pieces in bins of less than `underfull` of the capacity are dealt anew
-    once. An empty table gives an empty table; repeated rows are packed each.
+    once. An empty table gives an empty table; repeated rows and null ids are packed each; other
+    columns are not read.
     """
-    pieces = cut(pieces)
+    pieces = cut(pieces.select("doc_id", "piece", "start", "length", "ids_crc32"))
     first = cut(_deal(pieces, capacity, group, pieces.count(), 1, 0))
     low = F.col("fill") < underfull * capacity
     again = first.where(low).select(pieces.columns)

@@ -17,11 +17,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .shared import lean, row_chunks, small_batches, text_bytes
+from .shared import cut, lean, row_chunks, small_batches, text_bytes
 
 _U = np.uint64
-#: Labelled rows that a model is fitted on: those of the least hash of doc_id.
-MAX_ROWS = 12_000
+#: Labelled documents that a model is fitted on, those of the least hash of doc_id, and the bytes
+#: of their features.
+MAX_ROWS, MAX_BYTES = 12_000, 256 << 20
 
 
 def _shapes(data: np.ndarray, h: np.ndarray, at: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
@@ -135,12 +136,14 @@ def _sigmoid(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(a), float(b)
 
 
-def train(docs: DataFrame, labels: DataFrame, bits: int = 18, max_rows: int = MAX_ROWS, smoothing: float = 1.0, cost: float = 1.0, rounds: int = 12) -> QualityModel:
+def train(docs: DataFrame, labels: DataFrame, bits: int = 18, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES, smoothing: float = 1.0, cost: float = 1.0, rounds: int = 12) -> QualityModel:
     """Fit on `docs` (doc_id, text) and `labels` (doc_id, quality), joined by doc_id.
 
-    At most `max_rows` labels are used (those of the least hash of doc_id): their features
-    come to the driver, about 5 kB each. Null ids and null labels are left out. Labels of one
-    class or none give a model that scores every text alike.
+    At most `max_rows` labelled documents are used (those of the least hash of doc_id), and of
+    them, in that order, as many as have `max_bytes` of features: these come to the driver, about
+    5 kB each. Of documents that repeat an id one is used, of labels that do the greatest. Null
+    ids and null labels are left out; null and empty texts have no feature. Labels of one class or
+    none, or of no document, give a model that scores every text alike. Other columns are not read.
     """
     chosen = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
@@ -155,7 +158,14 @@ def train(docs: DataFrame, labels: DataFrame, bits: int = 18, max_rows: int = MA
                 rows = [idx[a:b].astype("<u4").tobytes() for a, b in zip(at[:-1], at[1:])]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo), batch.column("quality").slice(lo, hi - lo), pa.array(rows, pa.binary())], ["doc_id", "quality", "f"])
 
-    got = joined.mapInArrow(lean(run), "doc_id long, quality int, f binary").toArrow()
+    one = joined.mapInArrow(lean(run), "doc_id long, quality int, f binary").groupBy("doc_id").agg(F.max("quality").alias("quality"), F.min("f").alias("f"))
+    one = cut(one.withColumn("h", F.xxhash64("doc_id")))
+    sizes = one.select("h", "doc_id", F.octet_length("f").alias("n")).orderBy("h", "doc_id").toArrow()  # at most max_rows rows
+    fits = int(np.searchsorted(np.cumsum(np.asarray(sizes["n"])), max_bytes, side="right"))
+    if fits < sizes.num_rows:
+        first_left = sizes.slice(fits, 1).to_pylist()[0]
+        one = one.where(F.struct("h", "doc_id") < F.struct(*(F.lit(first_left[c]).cast("long").alias(c) for c in ("h", "doc_id"))))
+    got = one.select("doc_id", "quality", "f").toArrow()
     order = np.argsort(np.asarray(got["doc_id"]), kind="stable")
     y = np.where(np.asarray(got["quality"])[order] > 0, 1, -1)
     raw = got["f"].to_pylist()
@@ -183,7 +193,8 @@ def train(docs: DataFrame, labels: DataFrame, bits: int = 18, max_rows: int = MA
 def score(docs: DataFrame, model: QualityModel) -> DataFrame:
     """(doc_id, score) of every row of `docs` (doc_id, text): 0 to 1, higher likelier good.
 
-    Null and empty texts have no feature and get the score of the bias alone.
+    Null and empty texts have no feature and get the score of the bias alone. Repeated rows and
+    null ids are scored each; an empty table gives an empty table; other columns are not read.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -90,10 +90,11 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = huffman.fresh_folder(spark)
-    huffman.write_ids(table(spark, sf_dir, "documents"), word_bpe(), folder)
-    out = cut(huffman.read_ids(spark, folder))
-    remove(spark, folder)
-    return out
+    try:
+        huffman.write_ids(table(spark, sf_dir, "documents"), word_bpe(), folder)
+        return cut(huffman.read_ids(spark, folder))
+    finally:
+        remove(spark, folder)
 
 
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,17 +22,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import lean, small_batches
+from .shared import cut, lean, small_batches
 
 DERIVED = "page_id long, record_type string, record_id string, refers_to string, target_uri string, source_block_digest string, block_digest string, content_length long, record binary"
 #: Elements whose content is no text (fixed values). A head is not among them: it holds only these
 #: and tags without content, and all else ends it, whether or not `</head>` follows.
 _RAW = frozenset("script style noscript noframes template title".split())
 _CLOSE = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in _RAW}
-#: A comment's begin, a declaration, or a tag with its whole name: a `>` in a quoted value does not
-#: end it, but where that leads past 400 parts, or nowhere, the first `>` does. So a page of any
-#: kind is read in about one pass.
-_TOKEN = re.compile(r"""<(?:(!--)|[!?][^>]*>|(/?[a-zA-Z][^\s/>]*)((?:=\s*+"[^"]*+"|=\s*+'[^']*+'|[^>=]++|=){0,400}+>|[^>]*>))""")
+#: A comment's begin, a declaration, or the whole name of a tag.
+_TOKEN = re.compile(r"<(?:(!--)|[!?][^>]*>|(/?[a-zA-Z][^\s/>]*))")
+#: What may end a tag, or begin a quoted value in which nothing does.
+_STOP = re.compile(r""">|=\s*(["'])""")
 _HREF = re.compile(r"""\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _CHARSET = re.compile(rb"""charset\s*=\s*["']?([A-Za-z0-9_.:-]+)""", re.I)
 _SPACE = re.compile(r"[^\S\n]+")
@@ -88,19 +88,45 @@ def parse(stream: io.BufferedIOBase) -> Iterator[tuple[list[tuple[str, str]], by
         yield headers, block
 
 
+class _Tags:
+    """Where the tags of a page end: at the first `>` outside quoted values, or at the first of all
+    where there is none. A quote that never closes is none.
+
+    The work is linear in the page: no walk goes on from where another has found no end.
+    """
+
+    def __init__(self, page: str):
+        self.page, self.dead = page, set()
+        self.last = {q: page.rfind(q) for q in "\"'"}
+
+    def end(self, at: int) -> int:
+        walked, place = [], at
+        while place not in self.dead and (stop := _STOP.search(self.page, place)):
+            if stop[0] == ">":
+                return stop.end()
+            walked.append(place)
+            place = stop.end()
+            if self.last[stop[1]] >= place:
+                place = self.page.index(stop[1], place) + 1
+        self.dead.update(walked, (place,))
+        return self.page.find(">", at) + 1
+
+
 def page_facts(page: str) -> tuple[str, str | None, list[str]]:
     """The visible text (a line for each block element, without blank lines), title and links."""
     page = page.replace("\r", " ").replace("\n", " ")
-    text, title, links, at, end = [], None, [], 0, page.rfind(">") + 1
-    while token := _TOKEN.search(page, at, end):
+    text, title, links, at, tags = [], None, [], 0, _Tags(page)
+    shuts = page.rfind(">")  # no tag begins after it
+    while (token := _TOKEN.search(page, at)) and token.start() < shuts:
         text.append(page[at : token.start()])
-        comment, name, rest = token.groups()
+        comment, name = token.groups()
         at = token.end()
         if comment:
             close = page.find("-->", at)
             text.append(" ")
             at = len(page) if close < 0 else close + 3
         elif name:
+            begun, at = at, tags.end(at)
             name = name.lower()
             if name in _RAW:
                 close = _CLOSE[name].search(page, at)
@@ -111,7 +137,7 @@ def page_facts(page: str) -> tuple[str, str | None, list[str]]:
                 at = len(page) if shut < 0 else shut + 1
             elif name.lstrip("/") in _BREAKS:
                 text.append("\n")
-            elif name == "a" and (href := _HREF.search(rest)):
+            elif name == "a" and (href := _HREF.search(page, begun, at - 1)):
                 links.append(html.unescape(href[1] or href[2] or href[3] or ""))
     text.append(page[at:].partition("<!--")[0])
     seen = _SPACE.sub(" ", html.unescape("".join(text)).replace("\xa0", " "))
@@ -247,14 +273,68 @@ def derivatives(records: DataFrame) -> DataFrame:
     return small_batches(records).select("page_id", "record").mapInArrow(lean(run), DERIVED)
 
 
-def read_warc(spark: SparkSession, path: str, version: str = "WARC/1.1") -> DataFrame:
-    """(page_id, record) of WARC files, a record a row (page_id is null).
+#: What ends one record and begins the next, of any version.
+_SEAM = b"\r\n\r\nWARC/"
+_LENGTH = re.compile(rb"^content-length:[ \t]*(\d+)[ \t]*\r?$", re.I | re.M)
+
+
+def _size(raw: bytes) -> int | None:
+    """The bytes that a record takes by its own header, null if it has no length."""
+    head = raw.find(b"\r\n\r\n")
+    said = _LENGTH.search(raw, 0, head + 2) if head >= 0 else None
+    return head + 4 + int(said[1]) if said else None
+
 
-    Spark's text reader parts the bytes where a record of `version` begins after the blank lines
-    that end another, so plain files are split over tasks and no file is held whole; files named
-    .gz are read by one task each, as a stream. A body that holds such a beginning is malformed.
+def _is_whole(raw: bytes) -> bool:
+    """Whether the bytes are one record and blank lines, or have no length to go by."""
+    size = _size(raw)
+    return size is None or (len(raw) >= size and not raw[size:].strip(b"\r\n"))
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(record) of the pieces of files in their order: a record goes on until its length is reached."""
+    file, held, size = None, bytearray(), None
+
+    def out() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([bytes(held)], pa.binary())], ["record"])
+
+    for batch in batches:
+        for name, raw in zip(batch.column("file").to_pylist(), batch.column("record").to_pylist()):
+            if held and name == file and size is not None and len(held) < size:
+                held += _SEAM[:4] + raw
+                continue
+            if held:
+                yield out()
+            file, held, size = name, bytearray(raw), _size(raw)
+    if held:
+        yield out()
+
+
+def read_warc(spark: SparkSession, path: str) -> DataFrame:
+    """(page_id, record) of WARC files of any version, a record a row (page_id is null).
+
+    Spark's text reader parts the bytes wherever a record may begin, so plain files are split over
+    tasks and no file is held whole; files named .gz are read by one task each, as a stream. A
+    body that holds such a beginning leaves pieces that miss the length in their header: only files
+    with such pieces are read again in order, a task a file and a record at a time, and their
+    pieces are joined until each record has its length.
     """
-    rows = spark.read.text(path, lineSep=f"\r\n\r\n{version}\r\n").select(F.col("value").cast("binary").alias("raw"))
-    begins = F.lit(f"{version}\r\n".encode())
-    whole = F.when(F.substring("raw", 1, len(version)) == version.encode(), F.col("raw")).otherwise(F.concat(begins, "raw"))
-    return rows.select(F.lit(None).cast("long").alias("page_id"), whole.alias("record"))
+    text = spark.read.text(path, lineSep=_SEAM.decode())
+    raw = F.col("value").cast("binary")
+    begins = F.lit(_SEAM[4:])
+    whole = F.when(F.substring(raw, 1, 5) == begins, raw).otherwise(F.concat(begins, raw))
+    order = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("place")]
+    pieces = text.select(*order, whole.alias("record"))
+
+    def broken(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bad = {n for n, r in zip(batch.column("file").to_pylist(), batch.column("record").to_pylist()) if not _is_whole(r)}
+            yield pa.RecordBatch.from_arrays([pa.array(sorted(bad), pa.string())], ["file"])
+
+    bad = cut(pieces.select("file", "record").mapInArrow(lean(broken), "file string").distinct())
+    records = pieces.select("file", "block", "place", "record")
+    if not bad.isEmpty():
+        again = records.join(bad, "file", "left_semi").repartition("file").sortWithinPartitions("file", "block", "place")
+        joined = again.select("file", "record").mapInArrow(lean(_joined), "record binary")
+        records = records.join(bad, "file", "left_anti").select("record").unionByName(joined)
+    return records.select(F.lit(None).cast("long").alias("page_id"), "record")
