@@ -93,12 +93,13 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     docs = table(spark, sf_dir, "documents").select(COLUMNS)
     folder, before = f"{checkpoint_folder(spark)}/pipeline-{uuid.uuid4().hex}", None
-    for name, stage in STAGES[:-1]:
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
-        docs = spark.read.parquet(f"{folder}/{name}")
-        if before:
-            remove(spark, f"{folder}/{before}")
-        before = name
-    out = cut(STAGES[-1][1](spark, docs, sf_dir))
-    remove(spark, folder)
-    return out
+    try:
+        for name, stage in STAGES[:-1]:
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+            docs = spark.read.parquet(f"{folder}/{name}")
+            if before:
+                remove(spark, f"{folder}/{before}")
+            before = name
+        return cut(STAGES[-1][1](spark, docs, sf_dir))
+    finally:
+        remove(spark, folder)
