@@ -1,3 +1,3 @@
 """Importing this package registers all queries in `catalog`."""
 
-from . import catalog, compiled, evidence, gates, governance, serving  # noqa: F401
+from . import catalog, compiled, evidence, gates, governance, preflight, serving  # noqa: F401

@@ -9,7 +9,7 @@ from lorequarry.plans import catalog
 from lorequarry.sources import readers, writers
 
 SMALL = "/root/testdata/sf0.001"
-TABLES = "region nation customer supplier part orders lineitem events embeddings documents pages benchmark conversations".split()
+TABLES = "region nation customer supplier part orders lineitem events embeddings documents pages benchmark labels conversations".split()
 
 
 @pytest.fixture(scope="module")
