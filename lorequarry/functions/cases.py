@@ -199,10 +199,12 @@ def json_field(text: Column, *paths: str) -> Column:
 
 
 def json_texts(text: Column) -> Column:
-    """All text values of a JSON cell, however deep, in order; keys are no values."""
-    string = r'"((?:[^"\\]|\\.)*+)"'
-    values = F.regexp_replace(text, string + r"\s*:", "")
-    return F.coalesce(F.regexp_extract_all(values, F.lit(string), F.lit(1)), F.array().cast("array<string>"))
+    """All text values of a JSON cell, however deep, in order, with their escapes read; keys are no
+    values. A cell that is no JSON has none."""
+    string = r'"(?:[^"\\]|\\.)*+"'
+    values = F.regexp_extract_all(F.regexp_replace(text, string + r"\s*:", ""), F.lit(string), F.lit(0))
+    read = F.from_json(F.concat(F.lit("["), F.array_join(values, ","), F.lit("]")), "array<string>")
+    return F.coalesce(F.when(F.try_parse_json(text).isNotNull(), read), F.array().cast("array<string>"))
 
 
 def table_name(file: Column) -> Column:
@@ -224,5 +226,5 @@ def prefixed(id_: Column, prefix: str) -> Column:
 
 
 def utc_text(ts: Column) -> Column:
-    """ISO-8601 in UTC with seconds; the session's zone must be UTC."""
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    """ISO-8601 in UTC with seconds, whatever the session's zone; a time without zone is in that zone."""
+    return F.date_format(F.convert_timezone(F.current_timezone(), F.lit("UTC"), ts.cast("timestamp_ntz")), "yyyy-MM-dd'T'HH:mm:ss'Z'")

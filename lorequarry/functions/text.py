@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
 
 #: Heading forms (Markdown, Chinese numeral with a comma, dotted number).
 MARKDOWN = r"(?s)^(#{1,6})[ \t]+(.+)$"
@@ -39,10 +39,10 @@ def phrases(text: Column, least: int) -> Column:
     return F.filter(F.transform(F.split(text, "[,.;!?]"), lambda p: F.trim(p)), lambda p: F.char_length(p) >= least)
 
 
-def hit_rate(text: Column, wanted: Column) -> Column:
-    """Share of the wanted phrases that the text holds; zero where none is wanted."""
+def hit_rate(text: Column, wanted: Column, none: float | None = 0.0) -> Column:
+    """Share of the wanted phrases that the text holds; `none` where none is wanted."""
     hits = F.size(F.filter(wanted, lambda p: F.contains(text, p)))
-    return F.when(F.size(wanted) > 0, hits / F.size(wanted)).otherwise(0.0)
+    return F.when(F.size(wanted) > 0, hits / F.size(wanted)).otherwise(F.lit(none))
 
 
 def in_band(text: Column, low: float | Column, high: float | Column) -> Column:
@@ -62,9 +62,40 @@ def pairs(left: Column, right: Column, default: tuple[str, str]) -> Column:
     return F.when(F.size(crossed) > 0, crossed).otherwise(F.array(F.struct(F.lit(default[0]).alias("a"), F.lit(default[1]).alias("b"))))
 
 
-def canonical_hash(columns: Sequence[str]) -> Column:
-    """`sha256:` and the digest of the compact JSON with sorted keys, nulls written."""
-    return F.concat(F.lit("sha256:"), F.sha2(F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"}), 256))
+def sorted_keys(value: Column, kind: T.DataType) -> Column:
+    """A value with the fields of its structs and the keys of its maps sorted, at every level."""
+    if isinstance(kind, T.StructType):
+        fields = [sorted_keys(value[f.name], f.dataType).alias(f.name) for f in sorted(kind, key=lambda f: f.name)]
+        return F.when(value.isNotNull(), F.struct(*fields)) if fields else value
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: sorted_keys(x, kind.elementType))
+    if isinstance(kind, T.MapType):
+        keys = F.array_sort(F.map_keys(value))
+        return F.map_from_arrays(keys, F.transform(keys, lambda k: sorted_keys(F.element_at(value, k), kind.valueType)))
+    return value
+
+
+def canonical_json(df: DataFrame, columns: Sequence[str]) -> Column:
+    """Compact JSON of columns of `df` with keys sorted at every level, nulls written."""
+    fields = [sorted_keys(F.col(c), df.schema[c].dataType).alias(c) for c in sorted(columns)]
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+
+
+def canonical_text(text: Column) -> Column:
+    """A JSON text written anew: compact, keys sorted at every level; null if it cannot be read.
+
+    A VARIANT keeps its keys sorted. Whole numbers written with a point lose it.
+    """
+    return F.to_json(F.try_parse_json(text))
+
+
+def sha256_id(text: Column) -> Column:
+    return F.concat(F.lit("sha256:"), F.sha2(text, 256))
+
+
+def canonical_hash(df: DataFrame, columns: Sequence[str]) -> Column:
+    """`sha256:` and the digest of the columns' canonical JSON."""
+    return sha256_id(canonical_json(df, columns))
 
 
 def uuid5(namespace: str, name: Column) -> Column:
@@ -135,7 +166,7 @@ def common_piece(text: str, quote: str) -> tuple[int, int]:
     return start, best
 
 
-@F.pandas_udf(StructType().add("start", "integer").add("length", "integer"))
+@F.pandas_udf(T.StructType().add("start", "integer").add("length", "integer"))
 def longest_overlap(text: pd.Series, quote: pd.Series) -> pd.DataFrame:
     """The longest piece of the quote that the text holds, where it first stands there (code points).
 

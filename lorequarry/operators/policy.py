@@ -87,9 +87,21 @@ def merge(values: DataFrame, policy: DataFrame) -> tuple[DataFrame, DataFrame]:
     return first.unionByName(one_side), ruled.select("key", "action", decision.alias("decision"))
 
 
-def keyed_update(df: DataFrame, decisions: DataFrame, key: str, column: str, note: str) -> DataFrame:
+def keyed_update(df: DataFrame, decisions: DataFrame, key: str, column: str, note: str, reset: tuple[str, Column, Column] | None = None) -> DataFrame:
     """`df` with `column` overwritten where `decisions` (key, new_value, reason) names the row;
-    the reason joins the note after a bar. Two decisions on one key are an error of the caller."""
-    d = decisions.select(F.col(key), "new_value", "reason")
-    noted = F.when(F.col("reason").isNotNull(), F.concat_ws(" | ", F.nullif(F.col(note), F.lit("")), "reason")).otherwise(F.col(note))
-    return df.join(d, key, "left").withColumns({column: F.coalesce("new_value", column), note: noted}).select(df.columns)
+    the reason joins the note after a bar.
+
+    `reset` (name, when, value) also sets another column of decided rows where the condition on
+    the old row holds. Two decisions on one key raise an error when a row meets them; equal ones
+    count as one.
+    """
+    one = decisions.select(key, F.struct("new_value", "reason").alias("_d")).distinct().groupBy(key).agg(F.first("_d").alias("_d"), F.count(F.lit(1)).alias("_n"))
+    many = F.raise_error(F.concat(F.lit("two decisions on "), F.col(key).cast("string")))
+    d = one.select(key, F.when(F.col("_n") > 1, many.cast(one.schema["_d"].dataType)).otherwise(F.col("_d")).alias("_d"))
+    reason = F.col("_d.reason")
+    noted = F.when(reason.isNotNull(), F.concat_ws(" | ", F.nullif(F.col(note), F.lit("")), reason)).otherwise(F.col(note))
+    new = {column: F.coalesce(F.col("_d.new_value"), F.col(column)), note: noted}
+    if reset:
+        name, when, value = reset
+        new[name] = F.when(F.col("_d").isNotNull() & when, value).otherwise(F.col(name))
+    return df.join(d, key, "left").withColumns(new).select(df.columns)

@@ -23,9 +23,12 @@ def cosine(a: Column, b: Column) -> Column:
 
 
 def top_k(corpus: DataFrame, query: list[float], k: int, id_: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """The k nearest by cosine, ties by id; filter `corpus` first. One top-k per partition."""
+    """The k nearest by cosine, ties by id; filter `corpus` first. One top-k per partition.
+
+    Vectors of no length, and those with null, NaN or infinite entries, are no hits.
+    """
     q = F.array(*(F.lit(float(x)) for x in query))
-    scored = corpus.withColumn("score", cosine(F.col(vector), q)).where("score IS NOT NULL")
+    scored = corpus.withColumn("score", cosine(F.col(vector), q)).where("score IS NOT NULL AND NOT isnan(score)")
     return scored.orderBy(F.desc("score"), id_).limit(k)
 
 

@@ -150,7 +150,8 @@ def format_platform_pairs(spark, t):
 
 @query("""SELECT n_nationkey, 'sha256:' || sha256('{"n_name":"' || n_name || '","n_nationkey":' || n_nationkey || '}') AS h FROM nation""")
 def canonical_json_hash(spark, t):
-    return t("nation").select("n_nationkey", text.canonical_hash(["n_nationkey", "n_name"]).alias("h"))
+    nation = t("nation")
+    return nation.select("n_nationkey", text.canonical_hash(nation, ["n_nationkey", "n_name"]).alias("h"))
 
 
 @query("""

@@ -126,7 +126,7 @@ def context_bundles(spark, t):
     missing = F.when(F.col("o_orderstatus") == "P", F.array(F.lit("tone"))).otherwise(F.array().cast("array<string>"))
     rows = rows.select(F.col("o_orderkey").alias("request_id"), F.col("o_orderpriority").alias("content_type"), F.coalesce("evidence", F.array().cast("array<bigint>")).alias("evidence"), missing.alias("missing_fields"))
     fields = ["request_id", "content_type", "evidence", "missing_fields"]
-    out = rows.select("request_id", text.canonical_hash(fields).alias("bundle_hash"), F.char_length(F.to_json(F.struct(*sorted(fields)))).alias("n"), F.array_join("missing_fields", ",").alias("blocked_reason"), F.lit("").alias("rerank_model"))
+    out = rows.select("request_id", text.canonical_hash(rows, fields).alias("bundle_hash"), F.char_length(text.canonical_json(rows, fields)).alias("n"), F.array_join("missing_fields", ",").alias("blocked_reason"), F.lit("").alias("rerank_model"))
     return retrieval.disabled_if_empty(retrieval.disabled_if_empty(out, ["blocked_reason"], "none"), ["rerank_model"])
 
 
@@ -155,9 +155,10 @@ def report_rollup(spark, t):
 SELECT p1.p_partkey, s1.s_name AS state, s2.s_name AS next_state FROM part p1 JOIN supplier s1 ON p1.p_size % 10 = s1.s_suppkey JOIN supplier s2 ON s2.s_suppkey = s1.s_suppkey + 1 WHERE p1.p_brand = 'Brand#12'""")
 def self_join_states(spark, t):
     """A register joined twice: a state and the one that follows it; the brand is a parameter."""
-    t("part").createOrReplaceTempView("lq_part")
-    t("supplier").createOrReplaceTempView("lq_states")
-    return spark.sql("SELECT p_partkey, a.s_name AS state, b.s_name AS next_state FROM lq_part JOIN lq_states a ON p_size % 10 = a.s_suppkey JOIN lq_states b ON b.s_suppkey = a.s_suppkey + 1 WHERE p_brand = :brand", args={"brand": "Brand#12"})
+    a, b = t("supplier").alias("a"), t("supplier").alias("b")
+    rows = t("part").where(F.col("p_brand") == "Brand#12")
+    both = rows.join(a, F.expr("p_size % 10 = a.s_suppkey")).join(b, F.expr("b.s_suppkey = a.s_suppkey + 1"))
+    return both.selectExpr("p_partkey", "a.s_name AS state", "b.s_name AS next_state")
 
 
 @query("""
@@ -268,8 +269,7 @@ def incremental_projection(spark, t):
     """New documents alone are unfolded into rows and added; what is there stays as it is."""
     old = t("orders").where("o_orderstatus = 'F'")
     nested = t("lineitem").where("l_quantity > 48").join(old.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_anti")
-    nested = nested.groupBy("l_orderkey").agg(F.collect_list(F.struct("l_linenumber", "l_suppkey")).alias("rows"))
-    fresh = nested.select("l_orderkey", F.inline("rows")).withColumn("src", F.lit("new"))
+    fresh = nested.select("l_orderkey", "l_linenumber", "l_suppkey", F.lit("new").alias("src"))
     return fresh.unionByName(old.select(F.col("o_orderkey").alias("l_orderkey"), F.lit(0).alias("l_linenumber"), F.col("o_custkey").alias("l_suppkey"), F.lit("old").alias("src")))
 
 
