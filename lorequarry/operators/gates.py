@@ -47,6 +47,46 @@ def row_gates(rows: DataFrame, packs: DataFrame, run_id: str, synthetic: Mapping
     return rows.select("view", "pk", F.inline(broken))
 
 
+#: The ids that tie a row to its compile run.
+RUN_IDS = ("source_manifest_hash", "view_schema_version", "compile_run_id")
+
+
+def lineage_gate(rows: DataFrame, packs: DataFrame, expected: Mapping[str, str] | None, synthetic: Mapping[str, str], views: Sequence[str], plural: str = "source_pack_ids") -> DataFrame:
+    """S1 in full, (view, pk, error), of `rows` (view, pk, source_pack_id, RUN_IDS and `plural`).
+
+    Each filled id of RUN_IDS equals the recomputed one in `expected`; the source is filled and names
+    a row of `packs` (pack_id), or, in views of `synthetic`, begins with their prefix; `plural` is
+    null, or a JSON list of filled ids that all name packs. Without expected ids, or with a view of
+    `views` that has no row, the gate fails for that alone: it cannot vouch for what it cannot
+    compare. Such errors have no pk. Views that are not in `synthetic` are resolved.
+    """
+    spark = rows.sparkSession
+    whole = "view string, pk string, error string"
+    if expected is None or any(not expected.get(c) for c in RUN_IDS):
+        return spark.createDataFrame([(None, None, "expected_ids_missing")], whole)
+    there = packs.select(F.trim("pack_id").alias("_pack")).distinct().withColumn("_found", F.lit(True))
+    prefix = reduce(lambda w, kv: w.when(F.col("view") == kv[0], kv[1]), synthetic.items(), F.when(F.lit(False), ""))
+    source = _text("source_pack_id")
+    own = rows.withColumn("_pack", source).join(there, "_pack", "left")
+    listed = F.try_parse_json(plural)
+    is_list = F.coalesce(F.schema_of_variant(listed).startswith("ARRAY"), F.lit(False))
+    unread = (_text(plural) != "") & ~is_list
+    rules = [
+        *((f"{c}_mismatch", (_text(c) != "") & (_text(c) != expected[c])) for c in RUN_IDS),
+        ("empty_source", source == ""),
+        ("orphan_source", (source != "") & prefix.isNull() & F.col("_found").isNull()),
+        ("wrong_prefix", (source != "") & prefix.isNotNull() & ~source.startswith(prefix)),
+        ("malformed_plural", unread),
+    ]
+    bad = own.select("view", F.col("pk").cast("string").alias("pk"), F.explode(F.array_compact(F.array(*(F.when(F.coalesce(r, F.lit(True)), e) for e, r in rules)))).alias("error"))
+    each = rows.where(is_list).select("view", F.col("pk").cast("string").alias("pk"), F.explode(F.try_variant_get(listed, "$", "array<variant>")).alias("v"))
+    each = each.select("view", "pk", F.trim(F.coalesce(F.try_variant_get("v", "$", "string"), F.lit(""))).alias("_pack")).join(there, "_pack", "left")
+    refs = each.where("_pack = '' OR _found IS NULL").select("view", "pk", F.when(F.col("_pack") == "", "empty_plural").otherwise("orphan_plural").alias("error"))
+    named = spark.createDataFrame([(v,) for v in views], "view string")
+    empty = named.join(rows.select("view").distinct(), "view", "left_anti").select("view", F.lit(None).cast("string").alias("pk"), F.lit("empty_view").alias("error"))
+    return bad.unionByName(refs).unionByName(empty)
+
+
 def part_gate(rows: DataFrame, pk: str, parts: Column, files: DataFrame, path: str) -> DataFrame:
     """S5, (pk, part): parts of a source cell that no file of the inventory is; a row without parts
     is one with a null part."""

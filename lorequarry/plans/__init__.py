@@ -1,3 +1,3 @@
 """Importing this package registers all queries in `catalog`."""
 
-from . import bundles, catalog, compiled, evidence, gates, governance, preflight, serving  # noqa: F401
+from . import bundles, catalog, compiled, evidence, gates, governance, preflight, serving, views  # noqa: F401

@@ -53,8 +53,12 @@ SELECT o_orderkey, 'KP ' || replace(lower(o_orderpriority), '-', ' ') AS title,
 FROM orders LEFT JOIN e ON l_orderkey = o_orderkey WHERE o_totalprice > 1000""")
 def pack_view(spark, t):
     """The pack view's projection; packs of at most 1000 count as drafts and are left out."""
-    entry = F.struct("l_linenumber", F.when(F.col("l_linenumber") % 2 == 0, F.concat(F.lit("EV-"), "l_partkey")).alias("id"), F.when(F.col("l_linenumber") % 2 == 1, F.concat(F.lit(" EV-"), "l_suppkey", F.lit(" "))).alias("bare"))
-    evidence = t("lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(entry)).alias("evidence"), F.bool_or(F.col("l_returnflag") == "R").alias("returned"))
+    even = F.col("l_linenumber") % 2 == 0
+    entry = F.struct("l_linenumber", F.when(even, F.col("l_partkey")).alias("id"), F.when(~even, F.col("l_suppkey")).alias("bare"))
+    # numbers are shuffled; their texts are made after
+    named = lambda x: F.struct(x["l_linenumber"].alias("l_linenumber"), F.concat(F.lit("EV-"), x["id"]).alias("id"), F.concat(F.lit(" EV-"), x["bare"], F.lit(" ")).alias("bare"))
+    evidence = t("lineitem").groupBy("l_orderkey").agg(F.collect_list(entry).alias("e"), F.bool_or(F.col("l_returnflag") == "R").alias("returned"))
+    evidence = evidence.select("l_orderkey", "returned", F.array_sort(F.transform("e", named)).alias("evidence"))
     packs = t("orders").where("o_totalprice > 1000").join(evidence, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     status, calls = F.col("o_orderstatus"), F.when(F.col("o_orderstatus") == "F", F.array(F.lit(1)))
     level = F.element_at(F.array(F.lit("direct_quote"), F.lit("paraphrase_mid"), F.lit("inferred")), (F.col("o_orderkey") % 3 + 1).cast("int"))
@@ -122,13 +126,13 @@ def content_type_view(spark, t):
 
 
 @query("""
-SELECT c_custkey, CASE c_nationkey % 5 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 3 WHEN 3 THEN 4 END AS precedence,
-  CASE WHEN c_nationkey % 5 = 3 AND c_custkey % 2 = 0 THEN lower(c_mktsegment) ELSE '' END AS target_content_type
-FROM customer WHERE c_nationkey % 5 <> 4 AND c_acctbal > 0""")
+SELECT c_custkey, c_nationkey % 4 + 1 AS precedence,
+  CASE WHEN c_nationkey % 4 = 3 AND c_custkey % 2 = 0 THEN lower(c_mktsegment) ELSE '' END AS target_content_type
+FROM customer WHERE c_mktsegment <> 'HOUSEHOLD'""")
 def brand_overlay_view(spark, t):
-    """Overlays of brand layers alone: base rows (a fifth of the nations) are pruned."""
-    kind = F.element_at(F.array(*(F.lit(k) for k in cases.PRECEDENCE)), (F.col("c_nationkey") % 5 + 1).cast("int"))
-    rows = t("customer").where("c_nationkey % 5 <> 4 AND c_acctbal > 0").withColumn("kind", kind)
+    """Overlays of brand layers alone: rows of the base layer (one segment here) are pruned."""
+    kind = F.element_at(F.array(*(F.lit(k) for k in cases.PRECEDENCE)), (F.col("c_nationkey") % 4 + 1).cast("int"))
+    rows = t("customer").where("c_mktsegment <> 'HOUSEHOLD'").withColumn("kind", kind)
     id_ = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("KP-x-ctype-"), F.lower("c_mktsegment"))).otherwise("KP-x")
     target = F.when(F.col("kind") == "content_type_overlay", cases.after_marker(id_, "-ctype-")).otherwise("")
     return rows.select("c_custkey", cases.lookup(F.col("kind"), cases.PRECEDENCE).alias("precedence"), target.alias("target_content_type"))

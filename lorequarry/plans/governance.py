@@ -10,7 +10,7 @@ from .catalog import query
 
 
 @query("""
-WITH v AS (SELECT c_nationkey AS key, false AS is_base, c_custkey AS ord, c_mktsegment AS value FROM customer WHERE c_acctbal > 9000 AND c_nationkey % 6 <> 5
+WITH v AS (SELECT c_nationkey AS key, false AS is_base, c_custkey AS ord, c_mktsegment AS value FROM customer
   UNION ALL SELECT s_nationkey, true, s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN 'BUILDING' ELSE 'S' || s_suppkey % 3 END FROM supplier),
 s AS (SELECT key, bool_or(NOT is_base) AS brand, bool_or(is_base) AS base FROM v GROUP BY 1),
 p AS (SELECT n_nationkey AS key, CASE n_nationkey % 5 WHEN 0 THEN 'override' WHEN 1 THEN 'append' WHEN 2 THEN 'block' WHEN 3 THEN 'needs_review' ELSE 'other' END AS action, n_nationkey % 2 = 0 AS allowed FROM nation),
@@ -20,7 +20,7 @@ m AS (SELECT key, is_base, ord, value FROM (SELECT *, row_number() OVER (PARTITI
   UNION ALL SELECT key, is_base, ord, value FROM v JOIN d USING (key) WHERE action IN ('override', 'block', 'needs_review') AND is_base <> brand)
 SELECT d.key, action, decision, is_base, ord, value FROM d LEFT JOIN m ON d.key = m.key""")
 def policy_merge(spark, t):
-    brand = t("customer").where("c_acctbal > 9000 AND c_nationkey % 6 <> 5").selectExpr("c_nationkey AS key", "'brand_x' AS layer", "c_custkey AS ord", "c_mktsegment AS value")
+    brand = t("customer").selectExpr("c_nationkey AS key", "'brand_x' AS layer", "c_custkey AS ord", "c_mktsegment AS value")
     base = t("supplier").selectExpr("s_nationkey AS key", "'domain_general' AS layer", "s_suppkey AS ord", "CASE WHEN s_suppkey % 2 = 0 THEN 'BUILDING' ELSE 'S' || s_suppkey % 3 END AS value")
     rules = t("nation").selectExpr("n_nationkey AS key", "CASE n_nationkey % 5 WHEN 0 THEN 'override' WHEN 1 THEN 'append' WHEN 2 THEN 'block' WHEN 3 THEN 'needs_review' ELSE 'other' END AS action", "n_nationkey % 2 = 0 AS allow_override")
     merged, decisions = policy.merge(brand.unionByName(base), rules)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import json
+import os
 import re
-from collections.abc import Callable, Mapping, Sequence
+import time
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +20,41 @@ READS = ("select", "with", "show", "describe", "explain", "values")
 NAME = re.compile(r"[a-z_][a-z0-9_]*")
 
 
+@contextlib.contextmanager
+def locked(spark: SparkSession, path: str, wait: float = 120, stale: float = 3600) -> Iterator[None]:
+    """Hold the lock file `path`, which its file system creates for one caller alone.
+
+    The local one does so by the operating system, others by creation without overwriting, which
+    is atomic in HDFS but not in every object store. After `wait` seconds TimeoutError is raised; a lock older than `stale` seconds is taken as left
+    behind by a driver that was lost, and removed.
+    """
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    until, local = time.monotonic() + wait, system.getUri().getScheme() == "file"
+    if local:
+        os.makedirs(os.path.dirname(at.toUri().getPath()), exist_ok=True)
+    while True:
+        try:
+            if local:
+                os.close(os.open(at.toUri().getPath(), os.O_CREAT | os.O_EXCL))
+            else:
+                system.create(at, False).close()
+            break
+        except Exception as taken:
+            if not system.exists(at):
+                raise
+            with contextlib.suppress(Exception):  # it may be gone by now
+                if time.time() - system.getFileStatus(at).getModificationTime() / 1000 > stale:
+                    system.delete(at, False)
+            if time.monotonic() > until:
+                raise TimeoutError(f"{path} is held") from taken
+            time.sleep(0.1)
+    try:
+        yield
+    finally:
+        system.delete(at, False)
+
+
 def append_unseen(rows: DataFrame, path: str, keys: Sequence[str], order: Sequence[str] = (), buckets: int = 64) -> None:
     """Append the rows whose key the Parquet table at `path` lacks; running again adds nothing.
 
@@ -157,27 +195,33 @@ def ledger(spark: SparkSession, path: str, version: str, entry: Mapping[str, str
 def log_rows(rows: DataFrame, path: str, key: str, mirror: Callable[[DataFrame], object] | None = None, outbox: str | None = None) -> str:
     """Append to the log at `path`, then mirror; returns logged, mirrored or pending.
 
-    A null, repeated or known key raises ValueError before anything is written. If the mirror
-    fails, the rows go to the outbox as JSON lines with status pending; without an outbox its
-    error is raised.
+    A null, repeated or known key raises ValueError before anything is written. The rows are
+    made once, and a writer holds the log's lock from the check to the write, so that of two with
+    one key the second is refused. If the mirror fails, the rows go to the outbox as JSON lines
+    with status pending; without an outbox its error is raised.
     """
     spark = rows.sparkSession
-    bad = rows.groupBy(key).count().where((F.col("count") > 1) | F.col(key).isNull())
-    if not bad.isEmpty():
-        raise ValueError(f"{key} is null or repeated")
-    if exists(spark, path) and not rows.join(spark.read.parquet(path).select(key), key, "left_semi").isEmpty():
-        raise ValueError(f"{key} is in the log already")
-    rows.write.mode("append").parquet(path)
-    if mirror is None:
-        return "logged"
+    rows = rows.persist()
     try:
-        mirror(rows)
-        return "mirrored"
-    except Exception as failure:
-        if outbox is None:
-            raise
-        rows.withColumns({"status": F.lit("pending"), "error": F.lit(str(failure))}).write.mode("append").json(outbox)
-        return "pending"
+        bad = rows.groupBy(key).count().where((F.col("count") > 1) | F.col(key).isNull())
+        if not bad.isEmpty():
+            raise ValueError(f"{key} is null or repeated")
+        with locked(spark, f"{path.rstrip('/')}.lock"):
+            if exists(spark, path) and not rows.join(spark.read.parquet(path).select(key), key, "left_semi").isEmpty():
+                raise ValueError(f"{key} is in the log already")
+            rows.write.mode("append").parquet(path)
+        if mirror is None:
+            return "logged"
+        try:
+            mirror(rows)
+            return "mirrored"
+        except Exception as failure:
+            if outbox is None:
+                raise
+            rows.withColumns({"status": F.lit("pending"), "error": F.lit(str(failure))}).write.mode("append").json(outbox)
+            return "pending"
+    finally:
+        rows.unpersist()
 
 
 def reconcile(log: DataFrame, mirror: DataFrame, key: str, send: Callable[[DataFrame], object], outbox: str | None = None) -> tuple[int, int]:

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lorequarry.functions import cases, text
-from lorequarry.operators import bundles, documents, policy, vectors
+from lorequarry.operators import bundles, documents, gates, policy, vectors
 from lorequarry.operators.gates import CODES
 
 GOOD = {
@@ -165,3 +165,17 @@ def test_utc_in_another_zone(spark):
         assert tuple(df.select(cases.utc_text(F.col("t")), cases.utc_text(F.col("n"))).first()) == ("1970-01-01T00:00:00Z",) * 2
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_lineage_fails_closed(spark):
+    """Each rule of S1 by one row that breaks it alone; nothing to compare with is a failure too."""
+    good = ("v", "1", "P1", "m", "s", "r", None)
+    rows = [good, ("v", "2", " ", "m", "s", "r", None), ("v", "3", "P9", "m", "s", "r", None), ("c", "4", "CT-x", "m", "s", "r", '["P1", "P9", " ", null]'), ("c", "5", "P1", "", None, "r", "{}"), ("c", "6", "CT-y", "m", "s", "r", "[bad"), ("v", "7", "P1", "x", "y", "z", "[]"), ("v", "8", None, "m", "s", "r", "")]
+    df = spark.createDataFrame(rows, "view string, pk string, source_pack_id string, source_manifest_hash string, view_schema_version string, compile_run_id string, source_pack_ids string")
+    packs = spark.createDataFrame([("P1",), (" P1 ",)], "pack_id string")
+    ids = {"source_manifest_hash": "m", "view_schema_version": "s", "compile_run_id": "r"}
+    got = sorted(tuple(str(x) for x in r[1:]) for r in gates.lineage_gate(df, packs, ids, {"c": "CT-"}, ["v", "c", "w"]).collect())
+    assert got == sorted([("2", "empty_source"), ("3", "orphan_source"), ("4", "orphan_plural"), ("4", "empty_plural"), ("4", "empty_plural"), ("5", "wrong_prefix"), ("5", "malformed_plural"), ("6", "malformed_plural"), ("7", "source_manifest_hash_mismatch"), ("7", "view_schema_version_mismatch"), ("7", "compile_run_id_mismatch"), ("8", "empty_source"), ("None", "empty_view")])
+    for expected in (None, {}, {**ids, "compile_run_id": ""}):
+        assert [r["error"] for r in gates.lineage_gate(df, packs, expected, {}, ["v"]).collect()] == ["expected_ids_missing"]
+    assert gates.lineage_gate(df.limit(1), packs, ids, {}, ["v"]).count() == 0
