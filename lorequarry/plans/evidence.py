@@ -55,7 +55,8 @@ def cited_overlaps(spark, t):
     """The longest piece of each benchmark item in each document that holds a phrase of it: where it
     begins, how long it is, its share of the item in percent, and the line. SQL has no longest common substring."""
     cited = phrases.find(t("documents"), "doc_id", "text", _pieces(t, 16), "item_id", "p").select("doc_id", "item_id").distinct()
-    pairs = cited.join(t("documents").select("doc_id", "text"), "doc_id").join(t("benchmark").select("item_id", F.col("text").alias("quote")), "item_id")
+    # quotes go to the pairs by item, short rows; documents' texts are shuffled by document alone
+    pairs = cited.join(t("benchmark").select("item_id", F.col("text").alias("quote")), "item_id").join(t("documents").select("doc_id", "text"), "doc_id")
     found = pairs.withColumn("x", text.longest_overlap(F.col("text"), F.col("quote")))
     line = F.size(F.split(F.substr("text", F.lit(1), F.col("x.start")), "\n"))
     return found.select("doc_id", "item_id", "x.start", "x.length", F.floor(100 * F.col("x.length") / F.char_length("quote")).alias("percent"), line.alias("line"))
