@@ -246,7 +246,7 @@ def _in_blocks(met: DataFrame, comps: DataFrame, about: DataFrame, texts: DataFr
     dealt = dealt.join(members, ["a", "left", "right", "side", "rep"], "left_semi")
     ids = members.select(F.col("rep").alias("id")).distinct()
     own = _only(texts, "id", ids, members.count()).withColumnRenamed("id", "rep").join(sigs, "rep")
-    return dealt.join(own, "rep").groupBy("a", "left", "right").applyInArrow(run, "a long, b long").distinct()
+    return dealt.join(own, "rep").groupBy("a", "left", "right").applyInArrow(run, "a long, b long")
 
 
 def _only(df: DataFrame, column: str, ids: DataFrame, n: int) -> DataFrame:
@@ -309,7 +309,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
         return _salted(found.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct(), "a", "b")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        return cut(_with_both(pairs, texts, "text", pairs.count()).select("a", "b", "text_a", "text_b").mapInArrow(lean(_confirm(words, percent)), "a long, b long").distinct())
+        return _with_both(pairs, texts, "text", pairs.count()).select("a", "b", "text_a", "text_b").mapInArrow(lean(_confirm(words, percent)), "a long, b long")
 
     met = cut(members.join(_ways(members, pivot, "key"), ["key", "salt"]).where("a <> rep").select("a", "rep", "salt").distinct())
     pairs = cut(ordered(met.join(_ways(met, left, "a"), ["a", "salt"]).join(right, "rep").where(alike)))
