@@ -9,6 +9,7 @@ null inside JSON as null.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable, Iterable, Mapping
 from functools import reduce
 
@@ -26,42 +27,68 @@ def _no_errors() -> Column:
     return F.array().cast("array<string>")
 
 
-def _all(parts: Iterable[Column]) -> Column:
-    parts = list(parts)
-    return F.concat(*parts) if parts else _no_errors()
+def _all(parts: Iterable[Column | None]) -> Column | None:
+    """All errors of rules, None where none of them can have one."""
+    parts = [p for p in parts if p is not None]
+    return F.concat(*parts) if len(parts) > 1 else parts[0] if parts else None
 
 
-def _error(path: Column, word: str, bad: Column) -> Column:
-    """One error where `bad` is true."""
-    return F.when(bad, F.array(F.concat(F.when(path == "", "<root>").otherwise(path), F.lit(f": {word}")))).otherwise(_no_errors())
+def _listed(errors: Column | None) -> Column:
+    return _no_errors() if errors is None else errors
+
+
+def _error(path: Column, word: str, bad: Column | bool) -> Column | None:
+    """One error where `bad` is true; None if it never is."""
+    if bad is False:
+        return None
+    return F.when(F.lit(True) if bad is True else bad, F.array(F.concat(F.when(path == "", "<root>").otherwise(path), F.lit(f": {word}")))).otherwise(_no_errors())
 
 
 def _join(path: Column, name: Column) -> Column:
     return F.when(path == "", name).otherwise(F.concat(path, F.lit("/"), name))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with the value evaluated once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def variant_type(v: Column) -> Column:
+    """The type of a VARIANT value: ARRAY, OBJECT or that of a scalar.
+
+    `schema_of_variant` walks through all that a value holds, so only scalars are given to it.
+    """
+    return F.when(F.try_variant_get(v, "$", "array<variant>").isNotNull(), "ARRAY").when(F.try_variant_get(v, "$", "map<string,variant>").isNotNull(), "OBJECT").otherwise(F.schema_of_variant(v))
+
+
 class _Value:
     """A value with a Spark type; null is absent, except in a VARIANT, which has a null of its own."""
 
-    def __init__(self, column: Column, kind: T.DataType):
-        self.column, self.kind = column, kind
+    def __init__(self, column: Column, kind: T.DataType, said: Column | None = None):
+        self.column, self.kind, self.said = column, kind, said
         self.loose = isinstance(kind, T.VariantType)
 
-    def is_(self, name: str) -> Column:
-        """Whether a present value has this JSON type."""
+    def bound(self, body: Callable[[_Value], Column]) -> Column:
+        """body(self), with a VARIANT and its type evaluated once."""
+        if not self.loose or self.said is not None:
+            return body(self)
+        return let(self.column, lambda c: let(variant_type(c), lambda said: body(_Value(c, self.kind, said))))
+
+    def is_(self, name: str) -> Column | bool:
+        """Whether a present value has this JSON type; a bool where its Spark type says so."""
         c, k = self.column, self.kind
         if self.loose:
-            said = F.schema_of_variant(c)
+            said = self.said if self.said is not None else variant_type(c)
             number = said.isin("BIGINT", "DOUBLE", "FLOAT") | said.startswith("DECIMAL")
             return {
-                "string": said == "STRING", "boolean": said == "BOOLEAN", "null": said == "VOID", "number": number, "array": said.startswith("ARRAY"), "object": said.startswith("OBJECT"),
+                "string": said == "STRING", "boolean": said == "BOOLEAN", "null": said == "VOID", "number": number, "array": said == "ARRAY", "object": said == "OBJECT",
                 "integer": (said == "BIGINT") | (number & (F.try_variant_get(c, "$", "double") % 1 == 0)),
             }[name]
         whole = isinstance(k, T.IntegralType)
         static = {"string": isinstance(k, T.StringType), "boolean": isinstance(k, T.BooleanType), "null": False, "number": whole or isinstance(k, T.NumericType), "integer": whole, "array": isinstance(k, T.ArrayType), "object": isinstance(k, (T.StructType, T.MapType))}[name]
         if name == "integer" and not whole and isinstance(k, T.NumericType):
             return F.coalesce(c % 1 == 0, F.lit(False))
-        return F.lit(static)
+        return static
 
     def text(self) -> Column:
         """The string, null for other types."""
@@ -90,7 +117,17 @@ class _Value:
             return F.when(self.column.isNotNull(), F.array_compact(F.array(*(F.when(self.column[f.name].isNotNull(), F.lit(f.name)) for f in self.kind))))
         return F.lit(None).cast("array<string>")
 
+    def lacks(self, name: str) -> Column:
+        """Whether an object is without this member, null or false for other types."""
+        if self.loose:
+            return self.is_("object") & self.member(name).column.isNull()
+        if isinstance(self.kind, T.StructType):
+            return self.column.isNotNull() & (self.column[name].isNull() if name in self.kind.names else F.lit(True))
+        return ~F.array_contains(self.keys(), name)
+
     def member(self, name: str) -> _Value | None:
+        if self.loose and re.fullmatch("[A-Za-z_][A-Za-z0-9_]*", name):
+            return _Value(F.try_variant_get(self.column, f"$.{name}", "variant"), T.VariantType())
         if self.loose:
             members = F.when(self.is_("object"), F.try_variant_get(self.column, "$", "map<string,variant>"))
             return _Value(F.try_element_at(members, F.lit(name)), T.VariantType())
@@ -118,8 +155,11 @@ class _Row(_Value):
     def __init__(self, fields: T.StructType, cells: Mapping[str, Mapping]):
         self.fields, self.cells, self.loose = fields, cells, False
 
-    def is_(self, name: str) -> Column:
-        return F.lit(name == "object")
+    def lacks(self, name: str) -> Column:
+        return F.col(f"`{name}`").isNull() if name in self.fields.names else F.lit(True)
+
+    def is_(self, name: str) -> bool:
+        return name == "object"
 
     def text(self) -> Column:
         return F.lit(None).cast("string")
@@ -189,17 +229,23 @@ class Compiler:
 
     def row_errors(self, schema: Mapping, fields: T.StructType) -> Column:
         """Errors of a table's rows, sorted."""
-        return F.array_sort(F.array_distinct(self.errors(_Row(fields, self.cell_types(schema)), schema, F.lit(""))))
+        return F.sort_array(F.array_distinct(_listed(self.errors(_Row(fields, self.cell_types(schema)), schema, F.lit("")))))
 
     def json_errors(self, schema: Mapping, column: Column) -> Column:
         """Errors of a column of JSON texts; one that cannot be read has the error `<root>: json`."""
-        v = F.try_parse_json(column)
-        found = F.array_sort(F.array_distinct(self.errors(_Value(v, T.VariantType()), schema, F.lit(""))))
-        return F.when(v.isNull(), F.array(F.lit("<root>: json"))).otherwise(found)
+        found = lambda v: F.sort_array(F.array_distinct(_listed(self.errors(v, schema, F.lit("")))))
+        read = _Value(F.try_parse_json(column), T.VariantType())
+        return read.bound(lambda v: F.when(v.column.isNull(), F.array(F.lit("<root>: json"))).otherwise(found(v)))
 
-    def errors(self, value: _Value, schema: Mapping | bool, path: Column, refs: tuple = ()) -> Column:
+    def errors(self, value: _Value, schema: Mapping | bool, path: Column, refs: tuple = ()) -> Column | None:
+        """The errors of a value; None where it can have none."""
         if isinstance(schema, bool):
-            return _no_errors() if schema else _error(path, "false", F.lit(True))
+            return _error(path, "false", not schema)
+        if not value.loose:
+            return self._all_words(value, schema, path, refs)
+        return value.bound(lambda v: _listed(self._all_words(v, schema, path, refs)))
+
+    def _all_words(self, value: _Value, schema: Mapping, path: Column, refs: tuple) -> Column | None:
         parts = []
         for word, want in schema.items():
             if word in _NOTES or word in ("then", "else"):
@@ -218,14 +264,18 @@ class Compiler:
         return _all(parts)
 
     def _fits(self, value, schema, path, refs) -> Column:
-        return F.size(self.errors(value, schema, path, refs)) == 0
+        return F.size(_listed(self.errors(value, schema, path, refs))) == 0
 
     def _ref(self):
         raise NotImplementedError
 
     def _type(self, v, want, path):
         names = [want] if isinstance(want, str) else want
-        return _error(path, "type", ~reduce(Column.__or__, [v.is_(n) for n in names]))
+        known = [v.is_(n) for n in names]
+        if any(k is True for k in known):
+            return None
+        known = [k for k in known if k is not False]
+        return _error(path, "type", ~reduce(Column.__or__, known) if known else True)
 
     def _enum(self, v, want, path):
         return _error(path, "enum", ~v.written().isin([json.dumps(x, ensure_ascii=False, separators=(",", ":"), sort_keys=True) for x in want]))
@@ -258,37 +308,40 @@ class Compiler:
         return _error(path, "multipleOf", v.number() % want != 0)
 
     def _required(self, v, want, path):
-        keys = v.keys()
-        return _all(_error(_join(path, F.lit(n)), "required", ~F.array_contains(keys, n)) for n in want)
+        return _all(_error(_join(path, F.lit(n)), "required", v.lacks(n)) for n in want)
 
     def _minProperties(self, v, want, path):
         return _error(path, "minProperties", F.size(v.keys()) < want)
 
     def _minItems(self, v, want, path):
-        return _error(path, "minItems", F.size(v.items()[0]) < want) if v.items() else _no_errors()
+        return _error(path, "minItems", F.size(v.items()[0]) < want) if v.items() else None
 
     def _maxItems(self, v, want, path):
-        return _error(path, "maxItems", F.size(v.items()[0]) > want) if v.items() else _no_errors()
+        return _error(path, "maxItems", F.size(v.items()[0]) > want) if v.items() else None
 
     def _uniqueItems(self, v, want, path):
         if not want or not v.items():
-            return _no_errors()
+            return None
         each, kind = v.items()
         texts = F.transform(each, lambda x: _Value(x, kind).written())
-        return _error(path, "uniqueItems", F.size(F.array_distinct(texts)) < F.size(texts))
+        return let(texts, lambda t: _error(path, "uniqueItems", F.size(F.array_distinct(t)) < F.size(t)))
 
     def _properties(self, v, want, path, schema, refs):
         parts = []
         for name, sub in want.items():
             member = v.member(name)
             if member is not None:
-                found = self.errors(member, sub, _join(path, F.lit(name)))
-                parts.append(F.when(member.column.isNotNull(), found).otherwise(_no_errors()))
+                at = _join(path, F.lit(name))
+                if not member.loose:
+                    found = self.errors(member, sub, at)
+                    parts.append(None if found is None else F.when(member.column.isNotNull(), found).otherwise(_no_errors()))
+                else:
+                    parts.append(member.bound(lambda m, sub=sub, at=at: F.when(m.column.isNotNull(), _listed(self.errors(m, sub, at))).otherwise(_no_errors())))
         return _all(parts)
 
     def _additionalProperties(self, v, want, path, schema, refs):
         if want is True:
-            return _no_errors()
+            return None
         if want is not False:
             raise ValueError("cannot check additionalProperties that have a schema")
         names = F.array(*(F.lit(n) for n in schema.get("properties", {}))).cast("array<string>")
@@ -298,18 +351,23 @@ class Compiler:
 
     def _items(self, v, want, path, schema, refs):
         if not v.items():
-            return _no_errors()
+            return None
         each, kind = v.items()
-        absent = F.lit(False) if isinstance(kind, T.VariantType) else None
         one = lambda x, i: self.errors(_Value(x, kind), want, _join(path, i.cast("string")))
+        if isinstance(kind, T.VariantType):
+            found = F.transform(each, lambda x, i: _listed(one(x, i)))
+            return F.coalesce(F.flatten(found), _no_errors())
         # a null element of a typed array is a null, which has no type but null's
-        null = lambda i: _error(_join(path, i.cast("string")), "type", F.lit(True))
-        found = F.transform(each, lambda x, i: one(x, i) if absent is not None else F.when(x.isNull(), null(i)).otherwise(one(x, i)))
-        return F.coalesce(F.flatten(found), _no_errors())
+        null = lambda i: _error(_join(path, i.cast("string")), "type", True)
+        found = F.flatten(F.transform(each, lambda x, i: F.when(x.isNull(), null(i)).otherwise(_listed(one(x, i)))))
+        if self.errors(_Value(F.lit(None), kind), want, path) is None:
+            # only nulls can be wrong
+            return F.when(F.exists(each, lambda x: x.isNull()), found).otherwise(_no_errors())
+        return F.coalesce(found, _no_errors())
 
     def _contains(self, v, want, path, schema, refs):
         if not v.items():
-            return _no_errors()
+            return None
         each, kind = v.items()
         return _error(path, "contains", ~F.exists(each, lambda x: self._fits(_Value(x, kind), want, path, ())))
 
@@ -326,14 +384,18 @@ class Compiler:
         return _error(path, "not", self._fits(v, want, path, refs))
 
     def _if(self, v, want, path, schema, refs):
-        return F.when(self._fits(v, want, path, refs), self.errors(v, schema.get("then", True), path, refs)).otherwise(self.errors(v, schema.get("else", True), path, refs))
+        return F.when(self._fits(v, want, path, refs), _listed(self.errors(v, schema.get("then", True), path, refs))).otherwise(_listed(self.errors(v, schema.get("else", True), path, refs)))
+
+
+def row_errors(df: DataFrame, document: Mapping, definition: str | list[str]) -> Column:
+    """The sorted errors of each row of `df` against all the named definitions."""
+    names = [definition] if isinstance(definition, str) else definition
+    return Compiler(document).row_errors({"allOf": [{"$ref": f"#/$defs/{n}"} for n in names]}, df.schema)
 
 
 def violations(df: DataFrame, document: Mapping, definition: str | list[str], keys: list[str]) -> DataFrame:
     """(keys, error): a row for each error of each row of `df` against all the named definitions."""
-    names = [definition] if isinstance(definition, str) else definition
-    schema = {"allOf": [{"$ref": f"#/$defs/{n}"} for n in names]}
-    return df.select(*keys, F.explode(Compiler(document).row_errors(schema, df.schema)).alias("error"))
+    return df.select(*keys, F.explode(row_errors(df, document, definition)).alias("error"))
 
 
 def preflight(tables: list[tuple[str, DataFrame | None, Mapping, str | list[str], list[str]]], most: int = MOST_ERRORS) -> DataFrame:
@@ -346,16 +408,15 @@ def preflight(tables: list[tuple[str, DataFrame | None, Mapping, str | list[str]
         if df is None:
             return _failed(spark, name, "the table is missing")
         try:
-            bad = violations(df, document, definition, keys)
+            bad, errors = violations(df, document, definition, keys), row_errors(df, document, definition)
         except ValueError as why:
             return _failed(spark, name, str(why))
         label = F.concat(F.array_join(F.array(*(F.col(k).cast("string") for k in keys)), ","), F.lit(" "), F.col("error"))
         # each task keeps the first few; the rest are only counted
         first = bad.orderBy(*keys, "error").limit(most).agg(F.sort_array(F.collect_list(F.struct(*keys, "error", label.alias("_e")))).alias("f"))
-        n = bad.agg(F.count(F.lit(1)).alias("n_violations"))
-        rows = df.agg(F.count(F.lit(1)).alias("checked_rows"))
-        # three tables of one row
-        both = rows.crossJoin(F.broadcast(n)).crossJoin(F.broadcast(first))
+        counts = df.agg(F.count(F.lit(1)).alias("checked_rows"), F.coalesce(F.sum(F.size(errors)), F.lit(0).cast("long")).alias("n_violations"))
+        # two tables of one row
+        both = counts.crossJoin(F.broadcast(first))
         return both.select(F.lit(name).alias("name"), F.when(F.col("n_violations") > 0, "fail").otherwise("pass").alias("status"), "checked_rows", "n_violations", F.col("f._e").alias("first"), (F.col("n_violations") > most).alias("truncated"))
 
     spark = next((df.sparkSession for _, df, *_ in tables if df is not None), None) or SparkSession.active()
