@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import canonical_json, canonical_text, sha256_id
 from .gates import CODES, GRANULARITY, LAYER
@@ -55,17 +56,22 @@ def assemble(requests: DataFrame, items: DataFrame) -> DataFrame:
     `evidence_id`, parts first, each once as first seen, that of vector rows with its layer. A
     request's items are collected into its row, as many as its policy lets through.
     """
-    by_ord = lambda part: F.transform(F.array_sort(F.collect_list(F.when(F.col("part") == part, F.struct("ord", "item"))), lambda a, b: F.when(a["ord"] < b["ord"], -1).when(a["ord"] > b["ord"], 1).otherwise(0)), lambda x: x["item"])
-    grouped = items.groupBy("request_id").agg(*(by_ord(p).alias(p) for p in [*(p for p in PARTS), "vector"]))
+    # one list and one sort a request; maps have no order, their entries have
+    listed = F.sort_array(F.collect_list(F.struct("ord", "part", F.map_entries("item").alias("item"))))
+    of = lambda part: F.transform(F.filter("_items", lambda x: x["part"] == part), lambda x: F.map_from_entries(x["item"]))
+    grouped = items.groupBy("request_id").agg(listed.alias("_items")).select("request_id", *(of(p).alias(p) for p in [*PARTS, "vector"]))
     empty = F.array().cast("array<map<string,string>>")
     rows = requests.join(grouped, "request_id", "left").withColumns({p: F.coalesce(F.col(p), empty) for p in [*PARTS, "vector"]})
-    named = lambda x: F.element_at(x, "evidence_id")
-    own = F.transform(F.concat("domain_packs", "play_cards", "runtime_assets"), lambda x: F.create_map(F.lit("evidence_id"), F.try_element_at(x, F.lit("evidence_id"))))
-    seen = F.transform("vector", lambda x: F.create_map(F.lit("evidence_id"), F.try_element_at(x, F.lit("evidence_id")), F.lit("brand_layer"), F.try_element_at(x, F.lit("brand_layer"))))
-    all_ = F.filter(F.concat(own, seen), lambda x: named(x) != "")
-    rows = rows.withColumn("_all", all_).withColumn("_ids", F.transform("_all", named))
-    first = F.filter("_all", lambda x, i: F.array_position("_ids", named(x)) == i + 1)
-    return rows.withColumn("evidence", first).select(FIELDS)
+    named = lambda x, layer: F.struct(F.try_element_at(x, F.lit("evidence_id")).alias("e"), layer.alias("layer"))
+    layered = lambda x: F.struct(F.try_element_at(x, F.lit("brand_layer")).alias("v"))
+    own = F.transform(F.concat("domain_packs", "play_cards", "runtime_assets"), lambda x: named(x, F.lit(None).cast("struct<v:string>")))
+    seen = F.transform("vector", lambda x: named(x, layered(x)))
+    rows = rows.withColumn("_all", F.filter(F.concat(own, seen), lambda x: x["e"] != ""))
+    # most requests name nothing twice
+    first = F.when(F.size(F.array_distinct("_all.e")) == F.size("_all"), F.col("_all")).otherwise(F.filter("_all", lambda x, i: F.array_position(F.col("_all.e"), x["e"]) == i + 1))
+    id_ = F.lit("evidence_id")
+    evidence = F.transform(first, lambda x: F.when(x["layer"].isNull(), F.create_map(id_, x["e"])).otherwise(F.create_map(id_, x["e"], F.lit("brand_layer"), x["layer"]["v"])))
+    return rows.withColumn("evidence", evidence).select(FIELDS)
 
 
 def with_json(bundles: DataFrame) -> DataFrame:
@@ -100,7 +106,7 @@ def log_rows(bundles: DataFrame, extra: Mapping[str, Column], models: Mapping[st
         **{c: extra[c] for c in ("user_query_hash", "classified_intent", "selected_recipe_id")},
     }
     out = bundles.select(*(cells[c].cast("string").alias(c) for c in LOG_FIELDS), "errors")
-    empty = F.array_compact(F.array(*(F.when(F.coalesce(F.col(c), F.lit("")) == "", F.lit(f"{c}: empty")) for c in LOG_FIELDS)))
+    empty = F.array_except(F.array(*(F.when(F.coalesce(F.col(c), F.lit("")) == "", F.lit(f"{c}: empty")) for c in LOG_FIELDS)), F.array(F.lit(None).cast("string")))
     return out.withColumn("log_errors", F.concat("errors", empty)).drop("errors")
 
 
@@ -117,9 +123,10 @@ def replay(asked: DataFrame, log: DataFrame, views: DataFrame, tenants: DataFram
     governed = ["compile_run_id", "source_manifest_hash", "view_schema_version"]
     now = views.agg(*(F.when(F.count_distinct(c) == 1, F.min(c)).alias(f"_{c}") for c in governed))
     listed = lambda c: F.coalesce(F.from_json(c, "array<string>"), F.array().cast("array<string>"))
-    each = log.select("request_id", F.explode(F.array(*(F.struct(F.lit(v).alias("view"), listed(c).alias("ids")) for c, v in ids.items()))).alias("x")).select("request_id", "x.view", F.explode("x.ids").alias("id"))
+    of = lambda c, view: F.transform(listed(c), lambda x: F.struct(F.lit(view).alias("view"), x.alias("id")))
+    named = F.flatten(F.array(*(of(c, v) for c, v in ids.items())))
+    each = log.select("request_id", "allowed_layers", "compile_run_id", F.inline(named))
     met = each.join(views.select("view", "id", F.col("brand_layer").alias("_layer"), F.col("compile_run_id").alias("_run")), ["view", "id"], "left")
-    met = met.join(log.select("request_id", "allowed_layers", "compile_run_id"), "request_id")
     lost = F.col("_layer").isNull() | ~F.col("_run").eqNullSafe(F.col("compile_run_id"))
     foreign = ~F.array_contains(listed("allowed_layers"), F.col("_layer"))
     # an order-free digest of what the ids lead to, so that no request's rows are collected
@@ -130,7 +137,8 @@ def replay(asked: DataFrame, log: DataFrame, views: DataFrame, tenants: DataFram
     rows = rows.join(F.broadcast(now))  # one row
     bundle = F.col("context_bundle_json")
     read = canonical_text(bundle)
-    cell = lambda c: F.get_json_object(bundle, f"$.{c}")
+    same = ("request_id", "tenant_id", "resolved_brand_layer", "content_type", "fallback_status")
+    cells = F.from_json(bundle, T.StructType([T.StructField(c, T.StringType()) for c in same]))
     wrong = lambda ok: ~F.coalesce(ok, F.lit(False))
     both = lambda pairs: F.forall(F.array(*(a.eqNullSafe(b) for a, b in pairs)), lambda x: x)
     code = (
@@ -141,7 +149,7 @@ def replay(asked: DataFrame, log: DataFrame, views: DataFrame, tenants: DataFram
         .when(F.col("_lost"), CODES["unresolved_id"])
         .when(F.col("_foreign"), CODES["foreign_layer"])
         .when(wrong((F.size(Compiler({}).json_errors(SCHEMA, bundle)) == 0) & (sha256_id(read) == F.col("context_bundle_hash"))), CODES["hash_drift"])
-        .when(wrong(both([(cell(c), F.col(c)) for c in ("request_id", "tenant_id", "resolved_brand_layer", "content_type", "fallback_status")])), CODES["field_drift"])
+        .when(wrong(cells.eqNullSafe(F.struct(*(F.col(c) for c in same)))), CODES["field_drift"])
         .otherwise(CODES["ok"])
     )
     signed = F.to_json(F.struct(*sorted(c for c in LOG_FIELDS if c not in ("created_at", "context_bundle_json")), F.coalesce("_seen", F.lit("0")).alias("seen")), {"ignoreNullFields": "false"})
