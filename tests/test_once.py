@@ -1,8 +1,9 @@
 """What a row costs: cells read once, types asked once, rows handed on once."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from lorequarry.operators import schema
+from lorequarry.operators import documents, schema
 
 
 def _plan(df):
@@ -25,3 +26,27 @@ def test_odd_names_and_json_nulls_of_members(spark):
     df = spark.createDataFrame([('{"a b":1,"n":null}',), ('{"a b":"x","n":0,"it\'s":2}',), ('[]',), ('{}',)], "t string")
     got = [r[0] for r in df.select(schema.Compiler({}).json_errors(rule, F.col("t"))).collect()]
     assert got == [[], ["a b: type", "it's: maximum", "n: type"], [], ["a b: required", "n: required"]]
+
+
+def test_relations_together_equal_those_apart_and_store_nothing(spark):
+    docs = spark.createDataFrame([(1, '{"p":{"a":[{"x":1,"y":"s"},{"x":"no"},3,null],"b":[{"x":"7","y":"not its own"}]}}'), (2, "bad"), (3, None), (4, '{"p":{"a":{"x":1},"b":[]}}')], "id int, doc string")
+    wanted = {"$.p.a": "x int, y string", "$.p.b": "x int", "$.q": "z string"}
+    out = documents.parted(docs, "id", "doc", wanted)
+    assert out.columns == ["relation", "id", "place", "x", "y", "z"] and "Scan ExistingRDD" not in _plan(out.select("place")).replace(_plan(docs), "")
+    got = sorted((tuple(r) for r in out.collect()), key=str)
+    want = [(path, r["id"], r["place"], *(r[c] if c in r else None for c in "xyz")) for path, df in documents.relations(docs, "id", "doc", wanted).items() for r in df.collect()]
+    assert got == sorted(want, key=str) and len(got) == 5
+    with pytest.raises(ValueError, match="two types"):
+        documents.parted(docs, "id", "doc", {"$.a": "x int", "$.b": "x string"})
+
+
+def test_leaves_of_any_depth_in_one_pass(spark):
+    """Brackets in strings and in unreadable texts are not depth; no level is stored before the sixteenth."""
+    deep = "[" * 20 + "1" + "]" * 20
+    texts = ['{"a":"[[[[\\"{{","b":{"c":[]}}', "[" * 3000, '"[[" ', deep]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, doc string")
+    assert [r[0] for r in df.orderBy("id").select(documents.depth(documents.shape(F.col("doc")))).collect()] == [3, 3000, 0, 20]
+    got = sorted((tuple(r) for r in documents.leaves(df, "id", "doc").collect()), key=str)
+    assert got == sorted([(0, "/a", "string", '[[[["{{'), (0, "/b/c", "array", None), (1, "", "unreadable", None), (2, "", "string", "[["), (3, "/0" * 20, "number", "1")], key=str)
+    flat = documents.leaves(df.where("id < 1"), "id", "doc")
+    assert "Union" not in _plan(flat) and _plan(flat).count("variant_explode") == 3
