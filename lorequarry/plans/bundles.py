@@ -91,7 +91,7 @@ def bundle_replay(spark, t):
 
 def _orders_as_json(t):
     """An order with its customer and lines as one JSON document."""
-    lines = t("lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(F.col("l_linenumber").alias("n"), F.col("l_partkey").alias("part"), F.struct(F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status")).alias("marks")))).alias("lines"))
+    lines = t("lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct(F.col("l_linenumber").alias("n"), F.col("l_partkey").alias("part"), F.struct(F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status")).alias("marks")))).alias("lines"))
     rows = t("orders").join(lines, F.col("l_orderkey") == F.col("o_orderkey"), "left").join(t("customer"), F.col("c_custkey") == F.col("o_custkey"), "left")
     doc = F.struct(F.struct(F.col("c_name").alias("name"), F.array(F.struct(F.col("c_mktsegment").alias("segment"))).alias("segments")).alias("customer"), "lines", F.array().cast("array<string>").alias("notes"))
     return rows.select("o_orderkey", F.to_json(doc).alias("doc"))
@@ -115,12 +115,10 @@ NINE = {"pack": "l_returnflag = 'A'", "card": "l_returnflag = 'N'", "asset": "l_
 @query(" UNION ALL ".join(f"SELECT '{name}' AS relation, l_orderkey AS document, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) - 1 AS place, 'P' || l_partkey AS id, l_linenumber AS line FROM lineitem WHERE {rule}" for name, rule in NINE.items()))
 def nine_relations(spark, t):
     """One nested document a pack, parted into its nine relations by one reading."""
-    row = F.struct(F.col("l_linenumber").alias("line"), F.col("l_partkey").alias("k"), F.concat(F.lit("P"), "l_partkey").alias("id"))
-    lists = [F.array_sort(F.collect_list(F.when(F.expr(rule), row))).alias(name) for name, rule in NINE.items()]
-    docs = t("lineitem").groupBy(F.col("l_orderkey").alias("document")).agg(*lists).select("document", F.to_json(F.struct(F.struct(*NINE).alias("projection"))).alias("doc"))
-    found = documents.relations(docs, "document", "doc", {f"$.projection.{name}": "id string, line int" for name in NINE})
-    parts = [df.select(F.lit(path.rpartition(".")[2]).alias("relation"), "document", F.col("place").cast("long").alias("place"), "id", "line") for path, df in found.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    fits = [F.coalesce(F.expr(rule), F.lit(False)).alias(name) for name, rule in NINE.items()]
+    row = F.struct(F.col("l_linenumber").alias("line"), F.col("l_partkey").alias("k"), F.concat(F.lit("P"), "l_partkey").alias("id"), *fits)
+    packs = t("lineitem").groupBy(F.col("l_orderkey").alias("document")).agg(F.sort_array(F.collect_list(row)).alias("rows"))
+    of = lambda name: F.transform(F.filter("rows", lambda x: x[name]), lambda x: F.struct(x["line"].alias("line"), x["k"].alias("k"), x["id"].alias("id"))).alias(name)
+    docs = packs.select("document", F.to_json(F.struct(F.struct(*(of(name) for name in NINE)).alias("projection"))).alias("doc"))
+    found = documents.parted(docs, "document", "doc", {f"$.projection.{name}": "id string, line int" for name in NINE})
+    return found.select(F.substring_index("relation", ".", -1).alias("relation"), "document", F.col("place").cast("long").alias("place"), "id", "line")
