@@ -70,7 +70,8 @@ def sorted_keys(value: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.ArrayType):
         return F.transform(value, lambda x: sorted_keys(x, kind.elementType))
     if isinstance(kind, T.MapType) and isinstance(kind.valueType, T.AtomicType):
-        return F.map_from_entries(F.sort_array(F.map_entries(value)))
+        # most maps are in order already
+        return F.when(F.map_keys(value) == F.sort_array(F.map_keys(value)), value).otherwise(F.map_from_entries(F.sort_array(F.map_entries(value))))
     if isinstance(kind, T.MapType):
         keys = F.array_sort(F.map_keys(value))
         return F.map_from_arrays(keys, F.transform(keys, lambda k: sorted_keys(F.element_at(value, k), kind.valueType)))

@@ -56,8 +56,8 @@ def assemble(requests: DataFrame, items: DataFrame) -> DataFrame:
     `evidence_id`, parts first, each once as first seen, that of vector rows with its layer. A
     request's items are collected into its row, as many as its policy lets through.
     """
-    # one list and one sort a request; maps have no order, their entries have
-    listed = F.sort_array(F.collect_list(F.struct("ord", "part", F.map_entries("item").alias("item"))))
+    # one list and one sort a request; maps have no order, their entries have, and stay sorted by key
+    listed = F.sort_array(F.collect_list(F.struct("ord", "part", F.sort_array(F.map_entries("item")).alias("item"))))
     of = lambda part: F.transform(F.filter("_items", lambda x: x["part"] == part), lambda x: F.map_from_entries(x["item"]))
     grouped = items.groupBy("request_id").agg(listed.alias("_items")).select("request_id", *(of(p).alias(p) for p in [*PARTS, "vector"]))
     empty = F.array().cast("array<map<string,string>>")
@@ -70,7 +70,7 @@ def assemble(requests: DataFrame, items: DataFrame) -> DataFrame:
     # most requests name nothing twice
     first = F.when(F.size(F.array_distinct("_all.e")) == F.size("_all"), F.col("_all")).otherwise(F.filter("_all", lambda x, i: F.array_position(F.col("_all.e"), x["e"]) == i + 1))
     id_ = F.lit("evidence_id")
-    evidence = F.transform(first, lambda x: F.when(x["layer"].isNull(), F.create_map(id_, x["e"])).otherwise(F.create_map(id_, x["e"], F.lit("brand_layer"), x["layer"]["v"])))
+    evidence = F.transform(first, lambda x: F.when(x["layer"].isNull(), F.create_map(id_, x["e"])).otherwise(F.create_map(F.lit("brand_layer"), x["layer"]["v"], id_, x["e"])))
     return rows.withColumn("evidence", evidence).select(FIELDS)
 
 

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lorequarry.operators import documents, schema
+from lorequarry.operators import bundles, documents, schema
 
 
 def _plan(df):
@@ -50,3 +50,21 @@ def test_leaves_of_any_depth_in_one_pass(spark):
     assert got == sorted([(0, "/a", "string", '[[[["{{'), (0, "/b/c", "array", None), (1, "", "unreadable", None), (2, "", "string", "[["), (3, "/0" * 20, "number", "1")], key=str)
     flat = documents.leaves(df.where("id < 1"), "id", "doc")
     assert "Union" not in _plan(flat) and _plan(flat).count("variant_explode") == 3
+
+
+def test_a_stored_bundle_is_parsed_once_for_all_its_rules(spark):
+    df = spark.createDataFrame([('{"request_id":1}',)], "t string")
+    errors = df.select(schema.Compiler({}).json_errors(bundles.SCHEMA, F.col("t")))
+    assert errors._jdf.queryExecution().optimizedPlan().toString().lower().count("parsejson") == 1
+    assert "request_id: type" in errors.first()[0] and "governance: required" in errors.first()[0]
+
+
+def test_a_requests_items_are_one_list(spark):
+    """One list for all parts, and maps whose keys stand in order are written as they are."""
+    rest = [c for c in bundles.FIELDS if c not in (*bundles.PARTS, "evidence")]
+    requests = spark.createDataFrame([tuple("r" for _ in rest)], ", ".join(f"{c} string" for c in rest))
+    items = spark.createDataFrame([("r", "vector", 2, {"evidence_id": "e", "brand_layer": "x"}), ("r", "play_cards", 1, {"id": "c", "evidence_id": "e"}), ("r", "vector", 1, {"evidence_id": "f", "brand_layer": None})], "request_id string, part string, ord int, item map<string,string>")
+    out = bundles.assemble(requests, items)
+    assert _plan(out).count("collect_list(") == 1
+    row = out.first()
+    assert list(row["play_cards"][0]) == ["evidence_id", "id"] and row["evidence"] == [{"evidence_id": "e"}, {"brand_layer": None, "evidence_id": "f"}]
