@@ -280,7 +280,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
     feats = cut(docs.mapInArrow(lean(_features(words, rows, bands)), "doc_id long, n_shingles long, set_a long, set_b long, keys binary, sig array<long>"))
     real = _salted(feats.where("n_shingles > 0 AND doc_id IS NOT NULL"), "doc_id")
     a_set = ["set_a", "set_b", "n_shingles"]
-    classes = cut(real.groupBy(a_set).agg(F.min("doc_id").alias("rep")))
+    # written: a join that sees the filter of `real` would get a runtime Bloom filter for each key,
+    # 1 MB apiece from each task, merged in one task and sent through the driver
+    sets = cut(real.select("doc_id", *a_set, "salt"))
+    classes = cut(sets.groupBy(a_set).agg(F.min("doc_id").alias("rep")))
     ones = classes.select(F.col("rep").alias("doc_id"))
     # a doc_id with two texts is one node: its sets share bands through that id
     reps = real.join(ones, "doc_id", "left_semi")
@@ -319,8 +322,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, rows: in
         comps = cut(components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(more)))
 
     # an id with several texts ties its classes together
-    sets = real.select("doc_id", *a_set, "salt")
-    twice = real.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
+    twice = sets.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
     if not twice.isEmpty():
         tied = sets.join(twice, "doc_id", "left_semi").join(classes, a_set).where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
         comps = cut(components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(tied)))

@@ -6,7 +6,7 @@ import time
 import numpy as np
 import pytest
 
-from lorequarry.llm import linededup, packing, quality, warc
+from lorequarry.llm import linededup, minhash, packing, quality, warc
 
 
 @pytest.mark.parametrize("n", [20, 500, 50_000])
@@ -157,3 +157,23 @@ def test_nothing_stays_behind_when_a_query_fails(spark, monkeypatch):
     with pytest.raises(ZeroDivisionError):
         linededup.dedup_lines(spark.createDataFrame([(1, "a long enough line"), (2, "another long line")], "doc_id long, text string"))
     assert len(gone) == 1 and spark.conf.get(setting, None) == before and {t.name for t in spark.catalog.listTables()} == tables
+
+
+def test_near_duplicates_get_no_runtime_filters(spark, docs_of, tmp_path):
+    """The last join gathers no Bloom filters of fixed size in one task and sends none through the driver."""
+    text = "one two three four five six seven eight"
+    docs = docs_of([(5, text), (2, text), (3, "nothing like the others at all"), (4, None), (None, text), (5, text + " nine")])
+    docs.write.parquet(str(tmp_path / "docs"))  # files have a size, by which Spark decides
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    # what Spark does with large tables
+    large = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0"}
+    before = {k: spark.conf.get(k) for k in large}
+    try:
+        for k, v in large.items():
+            spark.conf.set(k, v)
+        got = minhash.near_duplicates(docs)
+        assert "might_contain" not in got._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted((r["doc_id"] or 0, r["component_id"]) for r in got.collect()) == [(0, None), (2, 2), (3, 3), (4, 4), (5, 2), (5, 2)]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
